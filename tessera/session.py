@@ -35,6 +35,7 @@ def build_session(master: str = "local[8]", app: str = "tessera",
     session to the library functions instead; they only read its settings."""
     b = (SparkSession.builder.master(master).appName(app)
          .config("spark.ui.enabled", "false")
+         .config("spark.ui.showConsoleProgress", "false")
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
          .config("spark.driver.memory", "16g")
          .config("spark.sql.warehouse.dir", os.path.join(_local_scratch_root(), "warehouse")))
