@@ -58,7 +58,9 @@ def top_k_per_key(df: DataFrame, key: str, order: list[Column], k: int, tiebreak
             .where(F.col("_r") <= k).drop("_r"))
 
 
-RANK_ORDER = [F.col("cou").desc(), F.col("word").desc()]
+def rank_order() -> list[Column]:
+    """Count descending, then word descending."""
+    return [F.col("cou").desc(), F.col("word").desc()]
 
 
 @dataclass
@@ -89,7 +91,7 @@ def direction_tables(dictionary: DataFrame, reverse: bool, k: int | None = None,
                 prefixes("w", F.greatest(F.lit(1), F.col("m")), F.length("w") - 1)).alias("x"))
              .select(F.col("x.p").alias("p"), "word", "cou"))
     if k is not None:
-        index = top_k_per_key(index, "p", RANK_ORDER, k, "word", salt_buckets)
+        index = top_k_per_key(index, "p", rank_order(), k, "word", salt_buckets)
     nodes = (d.select(F.explode(prefixes("w", 1, F.length("w"))).alias("x"))
              .select(F.col("x.p").alias("p")).distinct())
     return DirectionTables(nodes=nodes, index=index, m=dm, reverse=reverse)
@@ -145,12 +147,14 @@ def complete_words(inputs: DataFrame, dictionary: DataFrame, k: int | None = Non
               .join(hp.withColumnRenamed("pass", "hpass"), "q", "left")
               .where(F.col("tpass") > F.coalesce(F.col("hpass"), F.lit(0))).select("q"))
     cands = hc.unionByName(tc.join(longer, "q", "left_semi"))
-    merged = cands.groupBy("q", "word").agg(F.max("cou").alias("cou"))
-    ranked = merged.withColumn(
-        "rank", F.row_number().over(Window.partitionBy("q").orderBy(*RANK_ORDER)))
+    # A word has one count, so dense_rank over (cou, word) numbers the distinct
+    # words 1, 2, ...; duplicates (same word from several arms) share a rank
+    # and are dropped after the window, on its partitioning (no new shuffle).
+    ranked = cands.withColumn(
+        "rank", F.dense_rank().over(Window.partitionBy("q").orderBy(*rank_order())))
     if k is not None:
         ranked = ranked.where(F.col("rank") <= k)
-    return ranked.select("q", "rank", "word", "cou")
+    return ranked.select("q", "rank", "word", "cou").distinct()
 
 
 def reach(rows: DataFrame, inputs_col: str, t: DirectionTables) -> DataFrame:

@@ -1,7 +1,10 @@
 """Relational operators of the declared-table queries (batch form).
 
 Each function takes DataFrames and returns a DataFrame; nothing is collected.
-Money is summed as ``decimal(18,2)`` so results are exact and order-free.
+Money (two decimals) is summed as whole cents in ``bigint``: exact and
+order-free like a ``decimal(18,2)`` sum, but without the wide-decimal
+arithmetic a decimal sum falls into. Cents leave the engine as
+``cents / 100.0``, the double nearest to the exact decimal.
 """
 
 from __future__ import annotations
@@ -11,11 +14,13 @@ from pyspark.sql import functions as F
 
 from tessera.operators.joins import DEFAULT_BROADCAST_ROWS, lookup_join
 
-MONEY = "decimal(18,2)"
+def cents(c: str | Column) -> Column:
+    """Amount with two decimals -> whole cents (half up), as bigint."""
+    return F.round((F.col(c) if isinstance(c, str) else c) * 100).cast("bigint")
 
 
-def money(c: str | Column) -> Column:
-    return (F.col(c) if isinstance(c, str) else c).cast(MONEY)
+def from_cents(c: str | Column) -> Column:
+    return (F.col(c) if isinstance(c, str) else c) / F.lit(100.0)
 
 
 def derived_table_star(df: DataFrame, cols: list[str], alias: str = "T") -> DataFrame:
@@ -24,21 +29,21 @@ def derived_table_star(df: DataFrame, cols: list[str], alias: str = "T") -> Data
 
 
 def group_sum_two_keys(df: DataFrame, a: str, b: str, c: str, d: str) -> DataFrame:
-    """``SELECT b, a, sum(c) c, sum(d) d FROM df GROUP BY a, b``.
+    """``SELECT b, a, sum(c) c, sum(d) d FROM df GROUP BY a, b``; c, d in cents.
 
     Partial aggregation runs before the shuffle, so only one row per (a, b)
     and map task crosses the network.
     """
     return (df.groupBy(F.col(a).alias("a"), F.col(b).alias("b"))
-            .agg(F.sum(money(c)).alias("c"), F.sum(money(d)).alias("d")))
+            .agg(F.sum(cents(c)).alias("c"), F.sum(cents(d)).alias("d")))
 
 
 def rollup_by_b(t: DataFrame) -> DataFrame:
     """Outer level: ``SELECT b, count(a), sum(c), sum(d) GROUP BY b``."""
     return t.groupBy("b").agg(
         F.count("a").alias("cnt_a"),
-        F.sum("c").cast("double").alias("sum_c"),
-        F.sum("d").cast("double").alias("sum_d"))
+        from_cents(F.sum("c")).alias("sum_c"),
+        from_cents(F.sum("d")).alias("sum_d"))
 
 
 def flagship_lookup_rollup(facts: DataFrame, dim: DataFrame, *, a: str, b: str, c: str,

@@ -15,7 +15,8 @@ from tessera.operators import completion as C
 from tessera.operators import keywords as kw
 from tessera.plans import completion_sql as S
 from tessera.plans.registry import query
-from tessera.sources.tables import table
+from tessera.session import cut_lineage
+from tessera.sources.tables import table, text_table
 
 TOP_K = 5
 MIN_DICT_COUNT = 5
@@ -23,28 +24,36 @@ MIN_INPUT_LEN = 4
 
 
 def learned_dictionary(spark, sf_dir):
-    return kw.token_counts(table(spark, sf_dir, "documents"), "text", min_count=MIN_DICT_COUNT)
+    return kw.token_counts(text_table(spark, sf_dir, "documents", ["text"]), "text", min_count=MIN_DICT_COUNT)
 
 
 def conversation_inputs(spark, sf_dir):
-    toks = kw.tokenize(table(spark, sf_dir, "conversations"), "text")
+    toks = kw.tokenize(text_table(spark, sf_dir, "conversations", ["text"]), "text")
     return C.prepare_inputs(toks.where(F.length("word") >= MIN_INPUT_LEN), "word")
 
 
 LARGE_BASE = f"{S.LEARNED_DICT_CTES},\n{S.CONV_INPUT_CTES}"
 
 
+def _materialized(spark, sf_dir):
+    """Dictionary and inputs feed every branch of both directions: write each
+    once to the shared checkpoint folder instead of re-tokenizing the corpus
+    per branch."""
+    return (cut_lineage(conversation_inputs(spark, sf_dir)),
+            cut_lineage(learned_dictionary(spark, sf_dir)))
+
+
 @query("complete_words", S.completion_sql(LARGE_BASE, "learned_dict", TOP_K))
 def complete_words(spark, sf_dir):
-    r = C.complete_words(conversation_inputs(spark, sf_dir), learned_dictionary(spark, sf_dir),
-                         k=TOP_K)
+    inputs, d = _materialized(spark, sf_dir)
+    r = C.complete_words(inputs, d, k=TOP_K)
     return r.withColumn("rank", F.col("rank").cast("bigint"))
 
 
 @query("matches_both_ways", S.completion_sql(LARGE_BASE, "learned_dict", TOP_K, both=True))
 def matches_both_ways(spark, sf_dir):
-    d = learned_dictionary(spark, sf_dir)
-    r = C.complete_words(conversation_inputs(spark, sf_dir), d, k=TOP_K)
+    inputs, d = _materialized(spark, sf_dir)
+    r = C.complete_words(inputs, d, k=TOP_K)
     return C.matches_both_ways(r, d).withColumn("rank", F.col("rank").cast("bigint"))
 
 
@@ -55,7 +64,7 @@ KEYWORD_BASE = (f"{S.COMPLETION_DICT_CTES},\n{S.LAST_TOKEN_CTE},\n"
 
 @query("rank_completions", S.completion_sql(KEYWORD_BASE, "completion_dict", None))
 def rank_completions(spark, sf_dir):
-    saved = kw.keyword_frequency(table(spark, sf_dir, "documents"), "text", kw.reserved_words(spark))
+    saved = kw.keyword_frequency(text_table(spark, sf_dir, "documents", ["text"]), "text", kw.reserved_words(spark))
     d = kw.completion_dictionary(spark, saved)
     typed = table(spark, sf_dir, "conversations").select(last_token_expr("text").alias("token"))
     r = C.complete_words(C.prepare_inputs(typed, "token"), d, k=None)

@@ -116,7 +116,7 @@ from lineitem group by l_suppkey, l_returnflag""")
 def group_sum_two_keys(spark, sf_dir):
     t = rel.group_sum_two_keys(table(spark, sf_dir, "lineitem"),
                                "l_suppkey", "l_returnflag", "l_quantity", "l_extendedprice")
-    return t.select("a", "b", F.col("c").cast("double").alias("c"), F.col("d").cast("double").alias("d"))
+    return t.select("a", "b", rel.from_cents("c").alias("c"), rel.from_cents("d").alias("d"))
 
 
 @query("two_level_agg", """

@@ -22,3 +22,19 @@ def register_views(spark: SparkSession, sf_dir: str, names=TABLE_NAMES) -> None:
     """Temp views named like the tables, for ``spark.sql`` texts."""
     for n in names:
         table(spark, sf_dir, n).createOrReplaceTempView(n)
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Fan a scan out to the cluster's parallelism when it has fewer splits.
+
+    A file written as one row group scans in one task; per-row work on it
+    (tokenizing, exploding) would then run on one core. Large inputs already
+    have more splits than cores and are returned unchanged (no shuffle).
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+
+
+def text_table(spark: SparkSession, sf_dir: str, name: str, cols: list[str]) -> DataFrame:
+    """Only ``cols`` of a text-heavy table, spread for per-row work."""
+    return spread(table(spark, sf_dir, name).select(*cols))

@@ -1,0 +1,62 @@
+"""A plain character trie with the completion behaviour the Spark tables
+must reproduce; used only as a test model."""
+
+from __future__ import annotations
+
+
+class Node:
+    __slots__ = ("ch", "children", "stop", "cou")
+
+    def __init__(self, ch):
+        self.ch, self.children, self.stop, self.cou = ch, {}, False, 0
+
+
+class Trie:
+    def __init__(self, counts):
+        self.root = Node(" ")
+        for word, cou in counts.items():
+            node = self.root
+            for ch in word:
+                node = node.children.setdefault(ch, Node(ch))
+            node.stop = True
+            node.cou += cou
+
+    def _walk(self, word):
+        node, loc = self.root, 0
+        while loc < len(word) and word[loc] in node.children:
+            node = node.children[word[loc]]
+            loc += 1
+        return (list(node.children.values()) if loc > 0 else []), loc
+
+    def _dfs(self, out, buf, node):
+        if not node.children or node.stop:
+            out.append((buf + node.ch, node.cou))
+        else:
+            for c in node.children.values():
+                self._dfs(out, buf + node.ch, c)
+
+    def attempt(self, word):
+        kids, loc = self._walk(word)
+        found = []
+        for k in kids:
+            self._dfs(found, "", k)
+        res = {(word[:loc] + w, c) for w, c in found}
+        if 1 < loc < len(word):
+            kids, loc = self._walk(word[:loc - 1])
+            found = []
+            for k in kids:
+                self._dfs(found, "", k)
+            res |= {(word[:loc] + w, c) for w, c in found}
+        return res, loc
+
+
+def complete(counts, word, head=None, tail=None):
+    head = head or Trie(counts)
+    tail = tail or Trie({w[::-1]: c for w, c in counts.items()})
+    word = word.lower()
+    h, hp = head.attempt(word)
+    t, tp = tail.attempt(word[::-1])
+    res = set(h)
+    if tp > hp:
+        res |= {(w[::-1], c) for w, c in t}
+    return [w for w, c in sorted(res, key=lambda x: (x[1], x[0]), reverse=True)]
