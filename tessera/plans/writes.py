@@ -56,10 +56,13 @@ def insert_select(spark, sf_dir):
     return spark.table(name)
 
 
-@query("statement_set", """
+STATEMENT_SET_SQL = """
 select 'finished' as target, o_orderkey, o_totalprice from orders where o_orderstatus = 'F'
 union all
-select 'open', o_orderkey, o_totalprice from orders where o_orderstatus <> 'F'""")
+select 'open', o_orderkey, o_totalprice from orders where o_orderstatus <> 'F'"""
+
+
+@query("statement_set", STATEMENT_SET_SQL)
 def statement_set(spark, sf_dir):
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
     a, b = scratch_path(spark, "finished"), scratch_path(spark, "open")
