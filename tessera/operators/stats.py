@@ -3,9 +3,11 @@ partition-spec operations over a table's partition values.
 
 Column statistics are one aggregate pass over all columns (partial
 aggregation per task), reshaped to long form with ``stack``. Distinct counts
-are exact on request (Spark plans several exact distincts with an Expand,
-one copy of the input per column) and HyperLogLog++ otherwise, which merges
-partial sketches and never copies the input.
+are HyperLogLog++ sketches inside that pass by default. Exact distinct counts
+are separate branches, one per column, each reading only its column and
+de-duplicating it with a partial aggregate before the shuffle -- not several
+``count(distinct)`` in one aggregate, which Spark plans with an Expand that
+copies every input row once per column.
 """
 
 from __future__ import annotations
@@ -43,7 +45,7 @@ def _stat_columns(df: DataFrame, exact_distinct: bool):
         dt = f.dataType
         if not isinstance(dt, _STRINGY + _NUMERIC + _TIMES + (T.BooleanType,)):
             continue  # nested and binary columns: no order, no length
-        ndv = F.count_distinct(c) if exact_distinct else F.approx_count_distinct(c)
+        ndv = F.lit(None) if exact_distinct else F.approx_count_distinct(c)
         num = isinstance(dt, _NUMERIC)
         aggs += [
             F.count(c).alias(f"nn{i}"),
@@ -72,10 +74,34 @@ def column_stats(df: DataFrame, group_cols: list[str] | None = None,
     aggs, stack = _stat_columns(body, exact_distinct)
     total = F.count(F.lit(1)).alias("row_count")
     wide = df.groupBy(*group_cols).agg(total, *aggs) if group_cols else df.agg(total, *aggs)
-    return (wide.selectExpr(*[f"`{g}`" for g in group_cols], "row_count", stack)
-            .withColumn("nulls", F.col("row_count") - F.col("non_nulls"))
-            .select(*group_cols, "column_name", "row_count", "nulls", "ndv", "min_num", "max_num",
-                    "min_str", "max_str", "avg_len", "max_len"))
+    long = (wide.selectExpr(*[f"`{g}`" for g in group_cols], "row_count", stack)
+            .withColumn("nulls", F.col("row_count") - F.col("non_nulls")))
+    if exact_distinct:
+        long = long.drop("ndv").join(exact_ndv(df, group_cols, _stat_names(body)),
+                                     [*group_cols, "column_name"], "left")
+        long = long.withColumn("ndv", F.coalesce(F.col("ndv"), F.lit(0)).cast("bigint"))
+    return long.select(*group_cols, "column_name", "row_count", "nulls", "ndv", "min_num",
+                       "max_num", "min_str", "max_str", "avg_len", "max_len")
+
+
+def _stat_names(df: DataFrame) -> list[str]:
+    ok = _STRINGY + _NUMERIC + _TIMES + (T.BooleanType,)
+    return [f.name for f in df.schema.fields if isinstance(f.dataType, ok)]
+
+
+def exact_ndv(df: DataFrame, group_cols: list[str], cols: list[str]) -> DataFrame:
+    """(group..., column_name, ndv): exact distinct non-null values per column,
+    one pruned, partially aggregated branch per column, unioned in one job."""
+    branches = []
+    for c in cols:
+        v = df.select(*group_cols, F.col(f"`{c}`").alias("_v")).where(F.col("_v").isNotNull())
+        branches.append(v.distinct()
+                        .groupBy(*group_cols).agg(F.count(F.lit(1)).alias("ndv"))
+                        .withColumn("column_name", F.lit(c)))
+    out = branches[0]
+    for b in branches[1:]:
+        out = out.unionByName(b)
+    return out
 
 
 def partition_stats(df: DataFrame, part_cols: list[str]) -> DataFrame:
