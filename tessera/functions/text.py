@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed value: a token is a maximal run of these characters.
+# Fixed value: tokens are separated by any character outside this class.
 TOKEN_SPLIT = "[^a-zA-Z0-9_]"
 
 
@@ -14,9 +14,14 @@ def _c(c: str | Column) -> Column:
 
 
 def tokens(text: str | Column) -> Column:
-    """array<string>: lower-cased tokens of ``text``, empty pieces dropped."""
-    parts = F.split(_c(text), TOKEN_SPLIT)
-    return F.filter(F.transform(parts, lambda t: F.lower(F.trim(t))), lambda t: t != F.lit(""))
+    """array<string>: lower-cased tokens of ``text``, empty pieces dropped.
+
+    Splitting on runs of separators yields the same non-empty pieces as
+    splitting on single ones, without the empty strings in between; pieces
+    hold only word characters, so there is nothing to trim.
+    """
+    parts = F.split(_c(text), TOKEN_SPLIT + "+")
+    return F.filter(F.transform(parts, lambda t: F.lower(t)), lambda t: t != F.lit(""))
 
 
 def last_token(source: str | Column) -> Column:

@@ -18,9 +18,10 @@ tail pass):
    strictly longer than the head pass; ordered by count descending, then word
    descending.
 
-Everything is an equi join on prefix strings: no trie, no nested-loop or
-cartesian join, no per-row Python. The dictionary-side tables (nodes, m,
-index) are built once and may be cached by the caller.
+Everything is an equi join on (direction, prefix string): no trie, no
+nested-loop or cartesian join, no per-row Python. Both directions travel
+through the same joins and aggregates, told apart by a ``dir`` column
+(0 = head, 1 = tail), so each step is one shuffle for both.
 
 For a top-``k`` answer the index is cut to the top ``k`` words per prefix
 first. This is exact: the top ``k`` of a union of candidate lists lies inside
@@ -39,9 +40,11 @@ from pyspark.sql import functions as F
 from tessera.functions.text import prefixes
 
 DEFAULT_SALT_BUCKETS = 16
+HEAD, TAIL = 0, 1
+BOTH = (HEAD, TAIL)
 
 
-def top_k_per_key(df: DataFrame, key: str, order: list[Column], k: int, tiebreak: str,
+def top_k_per_key(df: DataFrame, key: list[str], order: list[Column], k: int, tiebreak: str,
                   salt_buckets: int = DEFAULT_SALT_BUCKETS) -> DataFrame:
     """Rows with rank <= k within ``key`` under ``order``, exact.
 
@@ -51,9 +54,9 @@ def top_k_per_key(df: DataFrame, key: str, order: list[Column], k: int, tiebreak
     tasks before anything is ranked per key.
     """
     salted = df.withColumn("_salt", F.pmod(F.xxhash64(F.col(tiebreak)), F.lit(salt_buckets)))
-    w1 = Window.partitionBy(key, "_salt").orderBy(*order)
+    w1 = Window.partitionBy(*key, "_salt").orderBy(*order)
     stage1 = salted.withColumn("_r", F.row_number().over(w1)).where(F.col("_r") <= k)
-    w2 = Window.partitionBy(key).orderBy(*order)
+    w2 = Window.partitionBy(*key).orderBy(*order)
     return (stage1.drop("_r", "_salt").withColumn("_r", F.row_number().over(w2))
             .where(F.col("_r") <= k).drop("_r"))
 
@@ -64,66 +67,67 @@ def rank_order() -> list[Column]:
 
 
 @dataclass
-class DirectionTables:
-    nodes: DataFrame   # (p): every prefix of every dictionary word in this direction
-    index: DataFrame   # (p, word, cou): p -> its completions (word as written)
-    m: DataFrame       # (w, word, cou, m): longest proper dictionary prefix length
-    reverse: bool
-
-
-def _oriented(dictionary: DataFrame, reverse: bool) -> DataFrame:
-    w = F.reverse(F.col("word")) if reverse else F.col("word")
-    return dictionary.select(w.alias("w"), "word", "cou")
-
-
-def direction_tables(dictionary: DataFrame, reverse: bool, k: int | None = None,
-                     salt_buckets: int = DEFAULT_SALT_BUCKETS) -> DirectionTables:
-    """Dictionary-side tables for one direction (G5, G6). ``dictionary`` must
-    hold one row per non-empty word: (word string, cou bigint)."""
-    d = _oriented(dictionary, reverse)
-    proper = (d.select("w", F.explode(prefixes("w", 1, F.length("w") - 1)).alias("x"))
-              .select("w", F.col("x.i").alias("i"), F.col("x.p").alias("p")))
+class CompletionTables:
+    nodes: DataFrame   # (dir, p): every prefix of every oriented dictionary word
+    index: DataFrame   # (dir, p, word, cou): p -> its completions (word as written)
+    m: DataFrame       # (dir, w, word, cou, m): longest proper dictionary prefix length
+    dirs: tuple
+
+
+def _oriented(df: DataFrame, col: str, out: str, dirs, keep: list[str]) -> DataFrame:
+    """(dir, out, keep...) rows: ``col`` as written (head) and reversed (tail)."""
+    parts = []
+    for d in dirs:
+        v = F.col(col) if d == HEAD else F.reverse(F.col(col))
+        parts.append(df.select(F.lit(d).alias("dir"), v.alias(out), *keep))
+    u = parts[0]
+    for p in parts[1:]:
+        u = u.unionByName(p)
+    return u
+
+
+def completion_tables(dictionary: DataFrame, k: int | None = None, dirs=BOTH,
+                      salt_buckets: int = DEFAULT_SALT_BUCKETS) -> CompletionTables:
+    """Dictionary-side tables (G5, G6). ``dictionary`` must hold one row per
+    non-empty word: (word string, cou bigint)."""
+    d = _oriented(dictionary, "word", "w", dirs, ["word", "cou"])
+    proper = (d.select("dir", "w", F.explode(prefixes("w", 1, F.length("w") - 1)).alias("x"))
+              .select("dir", "w", F.col("x.i").alias("i"), F.col("x.p").alias("p")))
     # m(v): the longest proper prefix of v that is itself a dictionary word.
-    m = (proper.join(d.select(F.col("w").alias("p")), "p", "left_semi")
-         .groupBy("w").agg(F.max("i").alias("m")))
-    dm = d.join(m, "w", "left").withColumn("m", F.coalesce(F.col("m"), F.lit(0)))
-    index = (dm.select("word", "cou", F.explode(
+    m = (proper.join(d.select("dir", F.col("w").alias("p")), ["dir", "p"], "left_semi")
+         .groupBy("dir", "w").agg(F.max("i").alias("m")))
+    dm = d.join(m, ["dir", "w"], "left").withColumn("m", F.coalesce(F.col("m"), F.lit(0)))
+    index = (dm.select("dir", "word", "cou", F.explode(
                 prefixes("w", F.greatest(F.lit(1), F.col("m")), F.length("w") - 1)).alias("x"))
-             .select(F.col("x.p").alias("p"), "word", "cou"))
+             .select("dir", F.col("x.p").alias("p"), "word", "cou"))
     if k is not None:
-        index = top_k_per_key(index, "p", rank_order(), k, "word", salt_buckets)
-    nodes = (d.select(F.explode(prefixes("w", 1, F.length("w"))).alias("x"))
-             .select(F.col("x.p").alias("p")).distinct())
-    return DirectionTables(nodes=nodes, index=index, m=dm, reverse=reverse)
+        index = top_k_per_key(index, ["dir", "p"], rank_order(), k, "word", salt_buckets)
+    nodes = (d.select("dir", F.explode(prefixes("w", 1, F.length("w"))).alias("x"))
+             .select("dir", F.col("x.p").alias("p")).distinct())
+    return CompletionTables(nodes=nodes, index=index, m=dm, dirs=tuple(dirs))
 
 
-def longest_prefix_match(inputs: DataFrame, t: DirectionTables) -> DataFrame:
-    """(q, x, L) for inputs with L >= 1 (G7); ``x`` is q in this direction."""
-    x = F.reverse(F.col("q")) if t.reverse else F.col("q")
-    qp = (inputs.select("q", x.alias("x"))
-          .select("q", "x", F.explode(prefixes("x", 1, F.length("x"))).alias("y"))
-          .select("q", "x", F.col("y.i").alias("i"), F.col("y.p").alias("p")))
-    return (qp.join(t.nodes, "p", "left_semi")
-            .groupBy("q", "x").agg(F.max("i").alias("L")))
+def longest_prefix_match(inputs: DataFrame, t: CompletionTables) -> DataFrame:
+    """(dir, q, x, L) for inputs with L >= 1 (G7, G9); ``x`` is q oriented."""
+    qx = _oriented(inputs, "q", "x", t.dirs, ["q"])
+    qp = (qx.select("dir", "q", "x", F.explode(prefixes("x", 1, F.length("x"))).alias("y"))
+          .select("dir", "q", "x", F.col("y.i").alias("i"), F.col("y.p").alias("p")))
+    return (qp.join(t.nodes, ["dir", "p"], "left_semi")
+            .groupBy("dir", "q", "x").agg(F.max("i").alias("L")))
 
 
 def relaxed_arms(matched: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Arms (q, p) and pass length (q, pass) per input."""
+    """Arms (dir, q, p) and pass length (dir, q, pass) per input."""
     relax = (F.col("L") > 1) & (F.col("L") < F.length("x"))
-    arms = (matched.select("q", "x", F.explode(
+    arms = (matched.select("dir", "q", "x", F.explode(
                 F.when(relax, F.array(F.col("L"), F.col("L") - 1)).otherwise(F.array(F.col("L"))))
                 .alias("j"))
-            .select("q", F.substring("x", F.lit(1), F.col("j")).alias("p")))
-    passes = matched.select("q", F.when(relax, F.col("L") - 1).otherwise(F.col("L")).alias("pass"))
+            .select("dir", "q", F.substring("x", F.lit(1), F.col("j")).alias("p")))
+    passes = matched.select("dir", "q",
+                            F.when(relax, F.col("L") - 1).otherwise(F.col("L")).alias("pass"))
     return arms, passes
 
 
-def direction_candidates(inputs: DataFrame, t: DirectionTables) -> tuple[DataFrame, DataFrame]:
-    """(q, word, cou) candidates and (q, pass) for one direction."""
-    arms, passes = relaxed_arms(longest_prefix_match(inputs, t))
-    return arms.join(t.index, "p").select("q", "word", "cou"), passes
-
-
 def prepare_inputs(raw: DataFrame, col: str) -> DataFrame:
     """Distinct, lower-cased, non-empty input words (q)."""
     return (raw.select(F.lower(F.col(col)).alias("q")).where(F.col("q").isNotNull()
@@ -131,22 +135,23 @@ def prepare_inputs(raw: DataFrame, col: str) -> DataFrame:
 
 
 def complete_words(inputs: DataFrame, dictionary: DataFrame, k: int | None = None,
-                   head: DirectionTables | None = None, tail: DirectionTables | None = None,
+                   tables: CompletionTables | None = None,
                    salt_buckets: int = DEFAULT_SALT_BUCKETS) -> DataFrame:
     """(q, rank, word, cou): ranked completions of every input word.
 
     ``inputs`` has a column ``q`` (see ``prepare_inputs``); ``k`` keeps the
     first k per input (None = the whole list).
     """
-    head = head or direction_tables(dictionary, False, k, salt_buckets)
-    tail = tail or direction_tables(dictionary, True, k, salt_buckets)
-    hc, hp = direction_candidates(inputs, head)
-    tc, tp = direction_candidates(inputs, tail)
-    # Tail candidates count only where the tail matched strictly longer.
-    longer = (tp.withColumnRenamed("pass", "tpass")
-              .join(hp.withColumnRenamed("pass", "hpass"), "q", "left")
-              .where(F.col("tpass") > F.coalesce(F.col("hpass"), F.lit(0))).select("q"))
-    cands = hc.unionByName(tc.join(longer, "q", "left_semi"))
+    t = tables or completion_tables(dictionary, k, BOTH, salt_buckets)
+    arms, passes = relaxed_arms(longest_prefix_match(inputs, t))
+    # Tail candidates count only where the tail matched strictly longer:
+    # one aggregate over both directions' pass lengths.
+    use_tail = passes.groupBy("q").agg(
+        (F.coalesce(F.max(F.when(F.col("dir") == TAIL, F.col("pass"))), F.lit(0))
+         > F.coalesce(F.max(F.when(F.col("dir") == HEAD, F.col("pass"))), F.lit(0)))
+        .alias("use_tail"))
+    cands = (arms.join(t.index, ["dir", "p"]).join(use_tail, "q")
+             .where((F.col("dir") == HEAD) | F.col("use_tail")))
     # A word has one count, so dense_rank over (cou, word) numbers the distinct
     # words 1, 2, ...; duplicates (same word from several arms) share a rank
     # and are dropped after the window, on its partitioning (no new shuffle).
@@ -157,28 +162,20 @@ def complete_words(inputs: DataFrame, dictionary: DataFrame, k: int | None = Non
     return ranked.select("q", "rank", "word", "cou").distinct()
 
 
-def reach(rows: DataFrame, inputs_col: str, t: DirectionTables) -> DataFrame:
-    """rows (q, word, ...) + boolean ``reached``: ``word`` is a completion of
-    one of q's arms in this direction (exact membership, no candidate list)."""
-    arms, _ = relaxed_arms(longest_prefix_match(
-        rows.select(F.col(inputs_col).alias("q")).distinct(), t))
-    wm = t.m.select("word", "w", "m")
-    hit = (rows.select(F.col(inputs_col).alias("q"), "word").distinct()
-           .join(arms, "q").join(wm, "word")
-           .where(F.col("w").startswith(F.col("p")) & (F.length("p") < F.length("w"))
-                  & (F.length("p") >= F.greatest(F.lit(1), F.col("m"))))
-           .select("q", "word").distinct().withColumn("reached", F.lit(True)))
-    return (rows.join(hit.withColumnRenamed("q", inputs_col), [inputs_col, "word"], "left")
-            .withColumn("reached", F.coalesce(F.col("reached"), F.lit(False))))
-
-
 def matches_both_ways(ranked: DataFrame, dictionary: DataFrame,
-                      head: DirectionTables | None = None,
-                      tail: DirectionTables | None = None) -> DataFrame:
-    """ranked (q, rank, word, cou) + ``both``: the word is reached by the head
-    and by the tail pass (G13), checked exactly even when lists were cut."""
-    head = head or direction_tables(dictionary, False)
-    tail = tail or direction_tables(dictionary, True)
-    h = reach(ranked, "q", head).withColumnRenamed("reached", "_h")
-    ht = reach(h, "q", tail).withColumnRenamed("reached", "_t")
-    return ht.select("q", "rank", "word", "cou", (F.col("_h") & F.col("_t")).alias("both"))
+                      tables: CompletionTables | None = None) -> DataFrame:
+    """ranked (q, rank, word, cou) + ``both``: the word is a completion of one
+    of q's arms in the head pass and in the tail pass (G13). Checked exactly
+    per result row (prefix test against the arms), so it holds even when the
+    candidate lists were cut to the top k."""
+    t = tables or completion_tables(dictionary, None, BOTH)
+    qs = ranked.select("q").distinct()
+    arms, _ = relaxed_arms(longest_prefix_match(qs, t))
+    hits = (ranked.select("q", "word").join(arms, "q")
+            .join(t.m.select("dir", "word", "w", "m"), ["dir", "word"])
+            .where(F.col("w").startswith(F.col("p")) & (F.length("p") < F.length("w"))
+                   & (F.length("p") >= F.greatest(F.lit(1), F.col("m"))))
+            .groupBy("q", "word").agg(F.countDistinct("dir").alias("_dirs")))
+    return (ranked.join(hits, ["q", "word"], "left")
+            .select("q", "rank", "word", "cou",
+                    (F.coalesce(F.col("_dirs"), F.lit(0)) == 2).alias("both")))

@@ -76,47 +76,46 @@ def _direction_sql(select: str) -> str:
             f"{S.direction_ctes('t', 'learned_dict', True)}\n{select}")
 
 
+def _direction_label():
+    return F.when(F.col("dir") == C.HEAD, "head").otherwise("tail").alias("direction")
+
+
 @query("prefix_nodes", _direction_sql(
     "select 'head' as direction, p from h_nodes union all select 'tail', p from t_nodes"))
 def prefix_nodes(spark, sf_dir):
-    d = learned_dictionary(spark, sf_dir)
-    h, t = C.direction_tables(d, False), C.direction_tables(d, True)
-    return (h.nodes.select(F.lit("head").alias("direction"), "p")
-            .unionByName(t.nodes.select(F.lit("tail").alias("direction"), "p")))
+    t = C.completion_tables(learned_dictionary(spark, sf_dir))
+    return t.nodes.select(_direction_label(), "p")
 
 
 @query("minimal_completions", _direction_sql(
     "select 'head' as direction, p, word, cou from h_index "
     "union all select 'tail', p, word, cou from t_index"))
 def minimal_completions(spark, sf_dir):
-    d = learned_dictionary(spark, sf_dir)
-    h, t = C.direction_tables(d, False), C.direction_tables(d, True)
-    return (h.index.select(F.lit("head").alias("direction"), "p", "word", "cou")
-            .unionByName(t.index.select(F.lit("tail").alias("direction"), "p", "word", "cou")))
+    t = C.completion_tables(learned_dictionary(spark, sf_dir))
+    return t.index.select(_direction_label(), "p", "word", "cou")
 
 
-def _match_cols(m):
-    return m.select("q", F.col("L").cast("bigint").alias("L"))
+def _one_direction(spark, sf_dir, d):
+    t = C.completion_tables(learned_dictionary(spark, sf_dir), dirs=(d,))
+    return C.longest_prefix_match(conversation_inputs(spark, sf_dir), t)
 
 
 @query("longest_prefix_match", _direction_sql("select q, L from h_L"))
 def longest_prefix_match(spark, sf_dir):
-    t = C.direction_tables(learned_dictionary(spark, sf_dir), False)
-    return _match_cols(C.longest_prefix_match(conversation_inputs(spark, sf_dir), t))
+    m = _one_direction(spark, sf_dir, C.HEAD)
+    return m.select("q", F.col("L").cast("bigint").alias("L"))
 
 
 @query("relaxed_match", _direction_sql(
     "select a.q, a.p, s.pass from h_arms a join h_pass s using (q)"))
 def relaxed_match(spark, sf_dir):
-    t = C.direction_tables(learned_dictionary(spark, sf_dir), False)
-    arms, passes = C.relaxed_arms(C.longest_prefix_match(conversation_inputs(spark, sf_dir), t))
-    return arms.join(passes, "q").select("q", "p", F.col("pass").cast("bigint").alias("pass"))
+    arms, passes = C.relaxed_arms(_one_direction(spark, sf_dir, C.HEAD))
+    return arms.join(passes, ["dir", "q"]).select("q", "p", F.col("pass").cast("bigint").alias("pass"))
 
 
 @query("suffix_match", _direction_sql(
     "select a.q, reverse(a.p) as suffix, s.pass from t_arms a join t_pass s using (q)"))
 def suffix_match(spark, sf_dir):
-    t = C.direction_tables(learned_dictionary(spark, sf_dir), True)
-    arms, passes = C.relaxed_arms(C.longest_prefix_match(conversation_inputs(spark, sf_dir), t))
-    return arms.join(passes, "q").select("q", F.reverse("p").alias("suffix"),
-                                         F.col("pass").cast("bigint").alias("pass"))
+    arms, passes = C.relaxed_arms(_one_direction(spark, sf_dir, C.TAIL))
+    return arms.join(passes, ["dir", "q"]).select("q", F.reverse("p").alias("suffix"),
+                                                  F.col("pass").cast("bigint").alias("pass"))
