@@ -21,8 +21,10 @@ def duplicate_keys(df: DataFrame, key: list[str]) -> DataFrame:
 def keep_one_per_key(df: DataFrame, key: list[str], order: list[str]) -> DataFrame:
     """One row per key: the smallest by ``order`` then the remaining columns.
 
-    ``min`` over a struct is an ordinary aggregate, so rows are reduced per
-    task before the shuffle; no window ranks a whole key group in one task.
+    ``min`` over a struct is an ordinary aggregate with a partial step, so
+    rows are reduced per map task before the shuffle; no window ranks a whole
+    key group in one task. (With string fields Spark runs it sort-based,
+    which spills instead of failing on memory.)
     """
     rest = [c for c in df.columns if c not in key and c not in order]
     packed = F.struct(*[F.col(c) for c in order + rest]).alias("_row")
