@@ -46,7 +46,7 @@ select vec_id, len(embedding) as dims, cast(embedding[1] as double) as first_val
 from embeddings""")
 def project_nested(spark, sf_dir):
     e = table(spark, sf_dir, "embeddings")
-    return e.select("vec_id", F.size("embedding").alias("dims"),
+    return e.select("vec_id", F.size("embedding").cast("bigint").alias("dims"),
                     F.element_at("embedding", 1).cast("double").alias("first_value"),
                     F.element_at("embedding", -1).cast("double").alias("last_value"))
 

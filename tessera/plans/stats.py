@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark.sql import functions as F
+
 from tessera.operators import stats as st
 from tessera.plans.registry import query
 from tessera.sources.tables import TABLE_NAMES, table
@@ -86,3 +88,22 @@ from lineitem where l_linestatus = 'O'""")
 def partitions_by_partial_spec(spark, sf_dir):
     parts = st.list_partitions(table(spark, sf_dir, "lineitem"), PART_COLS)
     return st.partitions_by_partial_spec(parts, PART_COLS, {"l_linestatus": "O"})
+
+
+@query("partition_exists", """
+with present as (select distinct l_returnflag, l_linestatus from lineitem),
+wanted as (select distinct l_returnflag, o_orderstatus as l_linestatus
+           from lineitem join orders on l_orderkey = o_orderkey)
+select w.l_returnflag, w.l_linestatus, p.l_returnflag is not null as exists
+from wanted w left join present p
+  on w.l_returnflag = p.l_returnflag and w.l_linestatus = p.l_linestatus""")
+def partition_exists(spark, sf_dir):
+    # Wanted specs come from the data: every (return flag, order status) pair
+    # seen on an order, asked of lineitem's (return flag, line status) partitions.
+    li = table(spark, sf_dir, "lineitem")
+    o = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"),
+                                              F.col("o_orderstatus").alias("l_linestatus"))
+    wanted = li.select("l_orderkey", "l_returnflag").join(o, "l_orderkey").select(
+        "l_returnflag", "l_linestatus").distinct()
+    parts = st.list_partitions(li, PART_COLS)
+    return st.partitions_exist(parts, wanted, PART_COLS)
