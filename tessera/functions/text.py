@@ -7,21 +7,26 @@ from pyspark.sql import functions as F
 
 # Fixed value: tokens are separated by any character outside this class.
 TOKEN_SPLIT = "[^a-zA-Z0-9_]"
+TOKEN_RUN = "[a-zA-Z0-9_]+"
 
 
 def _c(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def tokens(text: str | Column) -> Column:
-    """array<string>: lower-cased tokens of ``text``, empty pieces dropped.
+def raw_tokens(text: str | Column) -> Column:
+    """array<string>: the maximal runs of word characters, as written.
 
-    Splitting on runs of separators yields the same non-empty pieces as
-    splitting on single ones, without the empty strings in between; pieces
-    hold only word characters, so there is nothing to trim.
+    These are exactly the non-empty pieces of a split on ``TOKEN_SPLIT``;
+    extracting the runs skips the empty pieces and is several times faster
+    than splitting.
     """
-    parts = F.split(_c(text), TOKEN_SPLIT + "+")
-    return F.filter(F.transform(parts, lambda t: F.lower(t)), lambda t: t != F.lit(""))
+    return F.regexp_extract_all(_c(text), F.lit(TOKEN_RUN), 0)
+
+
+def tokens(text: str | Column) -> Column:
+    """array<string>: lower-cased tokens of ``text``."""
+    return F.transform(raw_tokens(text), lambda t: F.lower(t))
 
 
 def last_token(source: str | Column) -> Column:

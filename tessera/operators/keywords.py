@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.functions.text import tokens
+from tessera.functions.text import raw_tokens
 
 # ---- fixed values (must equal the reference dictionary) -------------------
 # SQL reserved keywords, in their published order; lower-cased on use.
@@ -103,8 +103,12 @@ def fixed_counts(spark: SparkSession, words, cou: int = 1) -> DataFrame:
 
 
 def tokenize(df: DataFrame, text_col: str, keep: list[str] | None = None) -> DataFrame:
-    """One row per token of ``text_col`` (G1); ``keep`` columns ride along."""
-    return df.select(*(keep or []), F.explode(tokens(text_col)).alias("word"))
+    """One row per token of ``text_col``, lower-cased (G1); ``keep`` columns
+    ride along. Lower-casing runs after the explode, inside whole-stage
+    codegen."""
+    keep = keep or []
+    return (df.select(*keep, F.explode(raw_tokens(text_col)).alias("_t"))
+            .select(*keep, F.lower("_t").alias("word")))
 
 
 def keyword_filter(tokens_df: DataFrame, dictionary: DataFrame) -> DataFrame:
