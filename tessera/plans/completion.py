@@ -16,7 +16,7 @@ from tessera.operators import keywords as kw
 from tessera.plans import completion_sql as S
 from tessera.plans.registry import query
 from tessera.session import cut_lineage
-from tessera.sources.tables import table, text_table
+from tessera.sources.tables import spread, table, text_table
 
 TOP_K = 5
 MIN_DICT_COUNT = 5
@@ -38,9 +38,12 @@ LARGE_BASE = f"{S.LEARNED_DICT_CTES},\n{S.CONV_INPUT_CTES}"
 def _materialized(spark, sf_dir):
     """Dictionary and inputs feed every branch of both directions: write each
     once to the shared checkpoint folder instead of re-tokenizing the corpus
-    per branch."""
-    return (cut_lineage(conversation_inputs(spark, sf_dir)),
-            cut_lineage(learned_dictionary(spark, sf_dir)))
+    per branch. Both are small after de-duplication, and adaptive execution
+    packs them into one or two partitions; every word is then exploded into
+    its prefixes, so they are spread to the cluster's parallelism first
+    (a no-op once they have more partitions than that)."""
+    return (cut_lineage(spread(conversation_inputs(spark, sf_dir))),
+            cut_lineage(spread(learned_dictionary(spark, sf_dir))))
 
 
 @query("complete_words", S.completion_sql(LARGE_BASE, "learned_dict", TOP_K))

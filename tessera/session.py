@@ -26,6 +26,11 @@ SCALE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Small-data setting for local runs: keep shuffle outputs of a few hundred
+    # KB in several partitions, since several steps explode each row into its
+    # prefixes after the shuffle. At cluster scale partitions are far larger
+    # and this has no effect.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "256KB",
 }
 
 
