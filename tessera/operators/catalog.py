@@ -190,3 +190,48 @@ def schema_conformance(spark: SparkSession, data: DataFrame, declared: DataFrame
             .select("name", F.col("type_text").alias("declared"), "spark_type", "actual_type",
                     F.col("cast_failures").cast("bigint").alias("cast_failures"),
                     status.alias("status")))
+
+
+def column_ddl(schema_root: int, schema_type: str) -> str:
+    """Spark type of one declared column: simple text (root 0) or JSON tree."""
+    return TY.simple_type_ddl(schema_type) if schema_root == 0 else TY.tree_to_ddl(schema_type)
+
+
+def register_declared_tables(spark: SparkSession, md: Metadata, rows: int = 1000,
+                             kafka_available: bool = False) -> DataFrame:
+    """Make every declared table of ``md`` queryable as a temp view named like
+    the table; returns (table_name, connector, status, schema) per table.
+
+    Definitions are metadata (a handful of rows per table), assembled by the
+    Spark jobs above and read on the driver to create the views. Generated
+    tables get ``rows`` rows; Kafka tables need the Kafka package, otherwise
+    they are reported and skipped.
+    """
+    from tessera.sources import datagen as G
+    from tessera.sources import kafka as K
+
+    audit = {r.table_id: r for r in connector_audit(md.conn_info).collect()}
+    conn_of = connector_audit(md.conn_info).select("table_id", "connector")
+    opts = option_prefix(option_pairs_unique(md.conn_info), conn_of)
+    defs = table_definitions(Metadata(md.databases, opts, md.schemas)).collect()
+    out = []
+    for d in defs:
+        a = audit.get(d.table_id)
+        connector = a.connector if a else None
+        cols = [(c.schema_name, column_ddl(c.schema_root, c.schema_type)) for c in (d.columns or [])]
+        schema = ", ".join(f"`{n}` {t}" for n, t in cols)
+        status = a.status if a else "no connector"
+        if status == "ok" and connector == "datagen":
+            n = int((d.options or {}).get("number-of-rows", rows))
+            G.generate_declared(spark.range(n), "id", cols).createOrReplaceTempView(d.table_name)
+            status = "registered"
+        elif status == "ok" and connector == "kafka":
+            if kafka_available:
+                K.kafka_source(spark, dict(d.options), value_schema=schema).createOrReplaceTempView(
+                    d.table_name)
+                status = "registered"
+            else:
+                status = "kafka package not available"
+        out.append((d.table_name, connector, status, schema))
+    return spark.createDataFrame(out, "table_name string, connector string, status string, "
+                                      "schema string")

@@ -67,3 +67,77 @@ def datagen_stream(spark: SparkSession, fields: list[Field], rows_per_second: in
     s = r.load()
     return s.selectExpr("value as id", "timestamp as ts",
                         *[f"{field_sql(f, i, 'value')} as {f.name}" for i, f in enumerate(fields)])
+
+
+# ---- declared types (simple or nested) -------------------------------------
+
+def _rand(seed: str) -> str:
+    """Pseudo-random non-negative integer below 2^31 from an integer SQL
+    expression (same step as ``field_sql``)."""
+    return f"(((({seed}) % {LCG_M}) * {LCG_A} + {LCG_C}) % {LCG_M})"
+
+
+def typed_value_sql(ddl: str, seed: str) -> str:
+    """SQL expression generating a value of Spark type ``ddl`` (as printed by
+    ``simpleString``: ``array<...>``, ``map<k,v>``, ``struct<a:t,...>``, simple
+    types) from integer ``seed``. Nested values hold two elements / entries."""
+    t = ddl.strip()
+    low = t.lower()
+    r = _rand(seed)
+    if low.startswith("array<"):
+        inner = t[6:-1]
+        return f"array({typed_value_sql(inner, f'{seed} * 31 + 1')}, {typed_value_sql(inner, f'{seed} * 31 + 2')})"
+    if low.startswith("map<"):
+        k, v = _split_top(t[4:-1])
+        return (f"map({typed_value_sql(k, f'{seed} * 37 + 1')}, {typed_value_sql(v, f'{seed} * 37 + 2')}, "
+                f"{typed_value_sql(k, f'{seed} * 37 + 3')}, {typed_value_sql(v, f'{seed} * 37 + 4')})")
+    if low.startswith("struct<"):
+        parts = []
+        for i, f in enumerate(_split_top(t[7:-1])):
+            name, ftype = f.split(":", 1)
+            parts.append(f"'{name.strip('`')}', {typed_value_sql(ftype, f'{seed} * 41 + {i + 1}')}")
+        return f"named_struct({', '.join(parts)})"
+    if low in ("int", "bigint", "smallint"):
+        return f"cast({r} % 1000 as {low})"
+    if low in ("double", "float"):
+        return f"cast(cast({r} % 1000000 as double) / 100 as {low})"
+    if low.startswith("decimal"):
+        return f"cast(cast({r} % 100000000 as double) / 100 as {low})"
+    if low == "string":
+        return f"substr(md5(cast({r} as string)), 1, 12)"
+    if low == "boolean":
+        return f"({r} % 2 = 0)"
+    if low == "binary":
+        return f"unhex(substr(md5(cast({r} as string)), 1, 8))"
+    if low == "date":
+        return f"date_add(date'2020-01-01', cast({r} % 3650 as int))"
+    if low.startswith("timestamp"):
+        return f"cast(timestamp_seconds(1577836800 + {r} % 315360000) as timestamp_ntz)"
+    if low.startswith("time"):
+        return (f"cast(format_string('%02d:%02d:%02d', cast({r} % 24 as int), "
+                f"cast({r} % 60 as int), cast(({r} div 60) % 60 as int)) as time(0))")
+    raise ValueError(f"cannot generate values of type {ddl}")
+
+
+def _split_top(body: str) -> list[str]:
+    """Split 'a:int,b:map<string,int>' at top-level commas."""
+    out, depth, cur = [], 0, ""
+    for ch in body:
+        if ch == "<":
+            depth += 1
+        elif ch == ">":
+            depth -= 1
+        if ch == "," and depth == 0:
+            out.append(cur)
+            cur = ""
+        else:
+            cur += ch
+    out.append(cur)
+    return out
+
+
+def generate_declared(ids: DataFrame, id_col: str, columns: list[tuple[str, str]]) -> DataFrame:
+    """Rows for declared columns (name, Spark type DDL) from the ids of a
+    DataFrame: the generated-table connector for any declared schema."""
+    return ids.select(F.col(id_col).alias("id")).selectExpr(
+        *[f"{typed_value_sql(t, f'id + {i * 7919}')} as `{n}`" for i, (n, t) in enumerate(columns)])

@@ -90,3 +90,18 @@ def test_overlay_and_describe(spark):
     assert desc["ts"].extras.startswith("AS to_timestamp") and "INTERVAL '5 SECOND'" in desc["ts"].watermark
     bad = CAT.Overlay(columns=["nope"], watermark=("nope", "1 second"))
     assert CAT.check_overlay(base.columns, bad) == ["unknown column nope", "watermark on unknown column nope"]
+
+
+def test_register_declared_tables(spark):
+    res = {r.table_name: r for r in CAT.register_declared_tables(spark, fixture_metadata(spark), rows=50).collect()}
+    assert res["datagen_sou"].status == "registered"
+    assert res["ka_test"].status == "kafka package not available"
+    t = spark.table("datagen_sou")
+    assert t.count() == 50
+    types = dict(t.dtypes)
+    assert types["array_array"] == "array<array<string>>"
+    assert types["map_map_nested"] == "map<string,map<string,int>>"
+    assert types["nested_struct"] == "struct<start_time:time(0),inside_row:struct<ins:string>>"
+    assert types["price"] == "decimal(32,2)" and types["order_time"] == "timestamp_ntz"
+    row = spark.sql("select map_map_nested, nested_struct.inside_row.ins, tags from datagen_sou").first()
+    assert len(row.tags) == 2 and len(row.map_map_nested) == 2 and len(row.ins) == 12
