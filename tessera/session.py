@@ -10,6 +10,7 @@ import os
 import tempfile
 import uuid
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 # Settings the query semantics depend on. Time zone: FROM_UNIXTIME and
@@ -78,7 +79,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
     file system). Only when it is unset -- local tests -- a folder of our own is
     set, so that the same code path runs everywhere.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # pragma: no cover - sessions without a driver-side context
+        return spark.conf.get("spark.checkpoint.dir", None) or os.path.join(
+            _local_scratch_root(), "checkpoints")
     current = sc.getCheckpointDir()
     if current:
         return current
@@ -95,7 +100,20 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
-    """Reliable checkpoint into the shared folder (survives executor loss)."""
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint of ``df`` into the shared checkpoint folder.
+
+    The Dataset is persisted for the duration of the checkpoint, so its plan
+    runs once: the eager count fills the cache and the checkpoint files are
+    written from it (without the cache the write would recompute the plan).
+    The result reads from shared storage, so losing an executor afterwards
+    costs nothing. Sizes of the result are unknown to the static planner;
+    joins on it are chosen at runtime by adaptive execution from measured
+    sizes, which is what the exploding steps downstream need.
+    """
     checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=eager)
+    held = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return held.checkpoint(eager=True)
+    finally:
+        held.unpersist()

@@ -31,8 +31,12 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     (tokenizing, exploding) would then run on one core. Large inputs already
     have more splits than cores and are returned unchanged (no shuffle).
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()
+    except Exception:  # pragma: no cover - no driver-side context: leave as is
+        return df
+    return df.repartition(target) if current < target else df
 
 
 def text_table(spark: SparkSession, sf_dir: str, name: str, cols: list[str]) -> DataFrame:
