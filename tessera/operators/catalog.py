@@ -223,7 +223,8 @@ def register_declared_tables(spark: SparkSession, md: Metadata, rows: int = 1000
         status = a.status if a else "no connector"
         if status == "ok" and connector == "datagen":
             n = int((d.options or {}).get("number-of-rows", rows))
-            G.generate_declared(spark.range(n), "id", cols).createOrReplaceTempView(d.table_name)
+            G.generate_declared(spark.range(n), "id", cols, dict(d.options or {})) \
+                .createOrReplaceTempView(d.table_name)
             status = "registered"
         elif status == "ok" and connector == "kafka":
             if kafka_available:

@@ -136,8 +136,48 @@ def _split_top(body: str) -> list[str]:
     return out
 
 
-def generate_declared(ids: DataFrame, id_col: str, columns: list[tuple[str, str]]) -> DataFrame:
-    """Rows for declared columns (name, Spark type DDL) from the ids of a
-    DataFrame: the generated-table connector for any declared schema."""
+_SIMPLE_FIELD_TYPES = {"int": "INT", "bigint": "BIGINT", "smallint": "SMALLINT",
+                       "double": "DOUBLE", "float": "FLOAT", "string": "STRING"}
+
+
+def declared_columns_sql(columns: list[tuple[str, str]], options: dict[str, str] | None = None,
+                         id_col: str = "id") -> list[str]:
+    """SQL of every declared column (name, Spark type DDL).
+
+    Generator options follow the declared-table form
+    ``fields.<name>.kind`` (random | sequence), ``fields.<name>.min``,
+    ``fields.<name>.max``, ``fields.<name>.length``; they apply to numeric
+    and string columns. Other columns get type-driven values.
+    """
+    options = options or {}
+    out = []
+    for i, (name, ddl) in enumerate(columns):
+        opt = {k[len(f"fields.{name}."):]: v for k, v in options.items()
+               if k.startswith(f"fields.{name}.")}
+        low = ddl.lower()
+        simple = _SIMPLE_FIELD_TYPES.get(low) or (ddl.upper() if low.startswith("decimal") else None)
+        if opt and simple:
+            f = Field(name, simple, kind=opt.get("kind", "random"),
+                      min=float(opt.get("min", 0)), max=float(opt.get("max", 100)),
+                      length=int(opt.get("length", 8)))
+            out.append(f"{field_sql(f, i, id_col)} as `{name}`")
+        else:
+            out.append(f"{typed_value_sql(ddl, f'{id_col} + {i * 7919}')} as `{name}`")
+    return out
+
+
+def generate_declared(ids: DataFrame, id_col: str, columns: list[tuple[str, str]],
+                      options: dict[str, str] | None = None) -> DataFrame:
+    """Rows for declared columns from the ids of a DataFrame: the
+    generated-table connector for any declared schema."""
     return ids.select(F.col(id_col).alias("id")).selectExpr(
-        *[f"{typed_value_sql(t, f'id + {i * 7919}')} as `{n}`" for i, (n, t) in enumerate(columns)])
+        *declared_columns_sql(columns, options, "id"))
+
+
+def generate_declared_stream(spark: SparkSession, columns: list[tuple[str, str]],
+                             options: dict[str, str] | None = None) -> DataFrame:
+    """Unbounded form: the ``rate`` source at ``rows-per-second``."""
+    options = options or {}
+    s = (spark.readStream.format("rate")
+         .option("rowsPerSecond", int(options.get("rows-per-second", 10000))).load())
+    return s.selectExpr(*declared_columns_sql(columns, options, "value"))

@@ -62,19 +62,48 @@ def _specific_offsets(text: str, topic: str) -> dict:
     return {topic: out}
 
 
+def decode_kafka_rows(df: DataFrame, table_options: dict[str, str], schema: str) -> DataFrame:
+    """Rows of a declared Kafka table from Kafka records (key, value binary).
+
+    ``schema`` is the declared physical schema (DDL). With ``key.format`` =
+    json, the ``key.fields`` columns come from the key, stored with the
+    ``key.fields-prefix`` in front of their names; ``value.fields-include`` =
+    EXCEPT_KEY leaves them out of the value, ALL (default) reads every column
+    from the value. Bad JSON fails the job unless ``json.ignore-parse-errors``
+    is true (then the row's fields are null).
+    """
+    from pyspark.sql import types as T
+    _, rows, _ = kafka_options(table_options)
+    st = T._parse_datatype_string(schema)
+    key_fields = [k.strip() for k in rows.get("key.fields", "").split(";") if k.strip()]
+    prefix = rows.get("key.fields-prefix", "")
+    mode = "PERMISSIVE" if rows.get("json.ignore-parse-errors", "false") == "true" else "FAILFAST"
+    value_fmt = rows.get("value.format", rows.get("format"))
+    except_key = rows.get("value.fields-include", "ALL").upper() == "EXCEPT_KEY"
+    value_fields = [f for f in st.fields if not (except_key and f.name in key_fields)]
+    cols = []
+    from_key: set[str] = set()
+    if key_fields and rows.get("key.format") == "json":
+        from_key = set(key_fields)
+        kst = T.StructType([T.StructField(f.name[len(prefix):] if f.name.startswith(prefix) else f.name,
+                                          f.dataType) for f in st.fields if f.name in key_fields])
+        k = F.from_json(F.col("key").cast("string"), kst, {"mode": mode})
+        cols += [k[f.name[len(prefix):] if f.name.startswith(prefix) else f.name].alias(f.name)
+                 for f in st.fields if f.name in key_fields]
+    if value_fmt == "json":
+        v = F.from_json(F.col("value").cast("string"), T.StructType(value_fields), {"mode": mode})
+        cols += [v[f.name].alias(f.name) for f in value_fields if f.name not in from_key]
+    return df.select(*cols)
+
+
 def kafka_source(spark: SparkSession, table_options: dict[str, str], value_schema: str | None = None,
                  min_partitions: int | None = None) -> DataFrame:
     """Streaming DataFrame of a declared Kafka table (needs the Kafka package on
-    the cluster). JSON values are parsed with the declared schema; a parallelism
-    request maps to ``minPartitions``."""
-    opts, rows, _ = kafka_options(table_options)
+    the cluster). Records are decoded with ``decode_kafka_rows``; a
+    parallelism request maps to ``minPartitions``."""
+    opts, _, _ = kafka_options(table_options)
     r = spark.readStream.format("kafka").options(**opts)
     if min_partitions:
         r = r.option("minPartitions", str(min_partitions))
     df = r.load()
-    fmt = rows.get("value.format", rows.get("format"))
-    if value_schema and fmt == "json":
-        mode = "PERMISSIVE" if rows.get("json.ignore-parse-errors", "false") == "true" else "FAILFAST"
-        df = df.select(F.from_json(F.col("value").cast("string"), value_schema, {"mode": mode})
-                       .alias("v"), "timestamp").select("v.*", "timestamp")
-    return df
+    return decode_kafka_rows(df, table_options, value_schema) if value_schema else df

@@ -84,3 +84,32 @@ def test_statement_set_rules_and_sinks(spark):
     assert ss.execute() == 2 and ss.execute() == 0      # list cleared after execute
     assert spark.read.parquet(a).count() == 10 and spark.read.parquet(b).count() == 5
     sinks.noop_sink(df)
+
+
+def test_decode_kafka_rows_key_and_value(spark):
+    recs = spark.createDataFrame(
+        [(b'{"id": 7}', b'{"id": 7, "name": "a", "cost": 1.5}'), (None, b'{"id": 8, "name": "b", "cost": 2.0}')],
+        "key binary, value binary")
+    opts = {"format": "json", "key.format": "json", "key.fields": "k_id", "key.fields-prefix": "k_",
+            "value.fields-include": "EXCEPT_KEY"}
+    rows = K.decode_kafka_rows(recs, opts, "k_id bigint, name string, cost double").collect()
+    assert [(r.k_id, r.name, r.cost) for r in rows] == [(7, "a", 1.5), (None, "b", 2.0)]
+    plain = K.decode_kafka_rows(recs, {"format": "json"}, "id bigint, name string").collect()
+    assert [(r.id, r.name) for r in plain] == [(7, "a"), (8, "b")]
+    bad = spark.createDataFrame([(None, b'{"id": ')], "key binary, value binary")
+    lenient = K.decode_kafka_rows(bad, {"format": "json", "json.ignore-parse-errors": "true"}, "id bigint")
+    assert lenient.first().id is None
+    with pytest.raises(Exception):
+        K.decode_kafka_rows(bad, {"format": "json"}, "id bigint").collect()
+
+
+def test_generator_options_for_declared_columns(spark):
+    cols = [("user_id", "int"), ("cost", "double"), ("ts", "timestamp_ntz"), ("tags", "array<string>")]
+    opts = {"fields.user_id.kind": "random", "fields.user_id.min": "1", "fields.user_id.max": "10",
+            "fields.cost.min": "1", "fields.cost.max": "100", "rows-per-second": "5"}
+    df = G.generate_declared(spark.range(500), "id", cols, opts)
+    assert dict(df.dtypes) == {"user_id": "int", "cost": "double", "ts": "timestamp_ntz", "tags": "array<string>"}
+    r = df.agg(F.min("user_id"), F.max("user_id"), F.min("cost"), F.max("cost")).first()
+    assert r[0] >= 1 and r[1] <= 10 and r[2] >= 1 and r[3] <= 100
+    s = G.generate_declared_stream(spark, cols, opts)
+    assert s.isStreaming and s.columns == ["user_id", "cost", "ts", "tags"]
