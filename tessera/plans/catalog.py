@@ -17,18 +17,21 @@ from tessera.sources.tables import table
 
 
 def lineitem_metadata(spark, sf_dir) -> Metadata:
-    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
-    key = F.concat(F.lit("line_"), F.col("l_linenumber").cast("string"))
-    dbs = li.select(F.col("l_orderkey").alias("table_id")).distinct().select(
+    """The three metadata tables of the stand-in estate, all derived from one
+    reduction of ``lineitem`` to a row per (table, key): table = order, key =
+    line number, value = the largest part key of that line."""
+    li = table(spark, sf_dir, "lineitem")
+    pairs = li.groupBy(
+        F.col("l_orderkey").alias("table_id"),
+        F.concat(F.lit("line_"), F.col("l_linenumber").cast("string")).alias("key")).agg(
+        F.max(F.col("l_partkey").cast("string")).alias("value"))
+    dbs = pairs.select("table_id").distinct().select(
         "table_id", F.lit("lineitem").alias("db_name"),
         F.concat(F.lit("order_"), F.col("table_id").cast("string")).alias("table_name"),
         F.lit(None).cast("string").alias("comment"))
-    conn = li.select(F.col("l_orderkey").alias("table_id"), key.alias("key"),
-                     F.col("l_partkey").cast("string").alias("value"))
-    cols = li.select(F.col("l_orderkey").alias("table_id"), F.lit(0).alias("schema_root"),
-                     key.alias("schema_name"), F.lit("BIGINT").alias("schema_type"),
-                     F.lit(None).cast("string").alias("comment")).distinct()
-    return Metadata(dbs, conn, cols)
+    cols = pairs.select("table_id", F.lit(0).alias("schema_root"), F.col("key").alias("schema_name"),
+                        F.lit("BIGINT").alias("schema_type"), F.lit(None).cast("string").alias("comment"))
+    return Metadata(dbs, pairs, cols)
 
 
 @query("table_definitions", """
