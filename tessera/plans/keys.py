@@ -34,14 +34,21 @@ def dedup_by_key(spark, sf_dir):
     return K.keep_one_per_key(table(spark, sf_dir, "lineitem"), LINE_KEY, KEEP_ORDER)
 
 
-@query("late_row_audit", f"""
+LATE_ROW_SQL = f"""
 select event_id, user_id, arrival, ts, watermark,
        coalesce(ts <= watermark, false) as late
 from (select event_id, user_id, arrival, ts,
              max(ts) over (partition by user_id order by arrival
                            rows between unbounded preceding and 1 preceding)
                - interval 10 days as watermark
-      from (select event_id, user_id, ts, {ARRIVAL} as arrival from events))""")
+      from (select event_id, user_id, ts, {ARRIVAL} as arrival from events))"""
+
+
+def query_sql(name: str) -> str:
+    return {"late_row_audit": LATE_ROW_SQL}[name]
+
+
+@query("late_row_audit", LATE_ROW_SQL)
 def late_row_audit(spark, sf_dir):
     ev = table(spark, sf_dir, "events").select(
         "event_id", "user_id", "ts", F.expr(ARRIVAL).alias("arrival"))

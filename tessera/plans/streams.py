@@ -13,8 +13,10 @@ from tessera.operators import joins
 from tessera.operators import relational as rel
 from tessera.plans import relational as batch_rel
 from tessera.plans import writes as batch_writes
+from tessera.plans import keys as batch_keys
 from tessera.plans.registry import query
 from tessera.sources.tables import table
+from tessera.streaming import stateful as ST
 from tessera.streaming import streams as S
 
 PIECES = 4
@@ -114,3 +116,18 @@ def stream_statement_set(spark, sf_dir):
                 F.lit("finished").alias("target"), "o_orderkey", "o_totalprice")
             .unionByName(spark.read.parquet(targets["open"]).select(
                 F.lit("open").alias("target"), "o_orderkey", "o_totalprice")))
+
+
+@query("stream_late_row_audit", batch_keys.query_sql("late_row_audit"))
+def stream_late_row_audit(spark, sf_dir):
+    # Events replayed in arrival order; per-user state holds the latest event
+    # time seen, each row is flagged against it as it arrives.
+    ev = table(spark, sf_dir, "events").select(
+        "event_id", "user_id", "ts", F.expr(batch_keys.ARRIVAL).alias("arrival"))
+    path = S.stage_as_files(ev, PIECES, "arrival")
+    stream = S.file_replay(spark, path, ev.schema)
+    out = ST.late_rows_stream(stream, "user_id", "event_id", "arrival", "ts", 10 * 86400)
+    r = spark.read.parquet(S.append_to(out, spark))
+    ntz = lambda c: F.timestamp_micros(F.col(c)).cast("timestamp_ntz")
+    return r.select("event_id", F.col("key").alias("user_id"), "arrival", ntz("ts_us").alias("ts"),
+                    ntz("watermark_us").alias("watermark"), "late")
