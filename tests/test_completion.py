@@ -2,7 +2,6 @@ import os
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 from tessera.functions.text import last_token
 from tessera.operators import completion as C
