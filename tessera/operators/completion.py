@@ -75,15 +75,16 @@ class CompletionTables:
 
 
 def _oriented(df: DataFrame, col: str, out: str, dirs, keep: list[str]) -> DataFrame:
-    """(dir, out, keep...) rows: ``col`` as written (head) and reversed (tail)."""
-    parts = []
-    for d in dirs:
-        v = F.col(col) if d == HEAD else F.reverse(F.col(col))
-        parts.append(df.select(F.lit(d).alias("dir"), v.alias(out), *keep))
-    u = parts[0]
-    for p in parts[1:]:
-        u = u.unionByName(p)
-    return u
+    """(dir, out, keep...) rows: ``col`` as written (head) and reversed (tail).
+
+    One pass over ``df``: each row becomes one row per direction through an
+    explode, so the input plan is read once, not once per direction.
+    """
+    variants = [F.struct(F.lit(d).alias("dir"),
+                         (F.col(col) if d == HEAD else F.reverse(F.col(col))).alias(out))
+                for d in dirs]
+    return (df.select(*keep, F.explode(F.array(*variants)).alias("_o"))
+            .select(F.col("_o.dir").alias("dir"), F.col(f"_o.{out}").alias(out), *keep))
 
 
 def completion_tables(dictionary: DataFrame, k: int | None = None, dirs=BOTH,

@@ -36,13 +36,15 @@ LARGE_BASE = f"{S.LEARNED_DICT_CTES},\n{S.CONV_INPUT_CTES}"
 
 
 def _materialized(spark, sf_dir):
-    """Dictionary and inputs feed every branch of both directions: write each
-    once to the shared checkpoint folder instead of re-tokenizing the corpus
-    per branch. Both are small after de-duplication, and adaptive execution
+    """The learned dictionary feeds every dictionary-side table (prefixes,
+    longest proper word prefix, index, nodes): it is written once to the
+    shared checkpoint folder instead of re-tokenizing the corpus per use.
+    The inputs are read once (both directions come from one explode) and
+    only spread. Both are small after de-duplication, and adaptive execution
     packs them into one or two partitions; every word is then exploded into
-    its prefixes, so they are spread to the cluster's parallelism first
-    (a no-op once they have more partitions than that)."""
-    return (cut_lineage(spread(conversation_inputs(spark, sf_dir))),
+    its prefixes, so they are spread to the cluster's parallelism first (a
+    no-op once they have more partitions than that)."""
+    return (spread(conversation_inputs(spark, sf_dir)),
             cut_lineage(spread(learned_dictionary(spark, sf_dir))))
 
 
