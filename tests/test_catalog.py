@@ -105,3 +105,11 @@ def test_register_declared_tables(spark):
     assert types["price"] == "decimal(32,2)" and types["order_time"] == "timestamp_ntz"
     row = spark.sql("select map_map_nested, nested_struct.inside_row.ins, tags from datagen_sou").first()
     assert len(row.tags) == 2 and len(row.map_map_nested) == 2 and len(row.ins) == 12
+
+
+def test_overlay_copies_computed_columns_without_watermark(spark):
+    base = spark.createDataFrame([(1646027324,)], "event_time bigint")
+    ov = CAT.Overlay(computed={"secs": "event_time div 1000"})
+    view = CAT.table_overlay(base, ov)
+    assert view.columns == ["event_time", "secs"] and view.first().secs == 1646027
+    assert not view.isStreaming
