@@ -69,3 +69,18 @@ def freq_dict_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "freq-dict")
     TF.write_freq_dict(freq, path)
     return TF.read_freq_dict(spark, path)
+
+
+@query("corpus_scan", """
+select lang, count(*) as lines, cast(sum(length(line)) as bigint) as chars
+from (select lang, unnest(string_split(text, chr(10))) as line from documents)
+group by lang""")
+def corpus_scan(spark, sf_dir):
+    # The documents as a folder tree of text files (one folder per language),
+    # then a recursive scan of the whole tree.
+    path = scratch_path(spark, "corpus")
+    TF.write_corpus(text_table(spark, sf_dir, "documents", ["lang", "text"]), "text", path, "lang")
+    lines = TF.corpus_scan(spark, path)
+    return (lines.withColumn("lang", F.regexp_extract("file", r"/lang=([^/]+)/", 1))
+            .groupBy("lang").agg(F.count(F.lit(1)).alias("lines"),
+                                 F.sum(F.length("line")).cast("bigint").alias("chars")))
