@@ -1,4 +1,4 @@
-"""Streaming queries, checked against batch results.
+"""Streaming queries, checked against batch results.
 
 Each query replays a test table as ordered file pieces (several
 micro-batches), runs the stream with ``availableNow`` and returns the batch
