@@ -38,8 +38,8 @@ def stage_as_files(df: DataFrame, pieces: int, order_col: str | None = None) ->
     (df.repartitionByRange(pieces, order_col).withColumn("_piece", F.spark_partition_id())
      .write.partitionBy("_piece").parquet(stage))
     present = sorted(r[0] for r in spark.read.parquet(stage).select("_piece").distinct().collect())
-    for i in present:  # at most ``pieces`` small copy jobs, in range order
-        spark.read.parquet(f"{stage}/_piece={i}").write.mode("append").parquet(path)
+    for i in present:  # at most ``pieces`` copy jobs, in range order, one file each
+        spark.read.parquet(f"{stage}/_piece={i}").coalesce(1).write.mode("append").parquet(path)
     return path
 
 
