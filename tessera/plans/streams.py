@@ -1,8 +1,8 @@
 """Streaming queries, checked against batch results.
 
-Each query replays a test table as ordered file pieces (several
-micro-batches), runs the stream with ``availableNow`` and returns the batch
-read of what the stream produced.
+Each query replays a test table in ordered pieces (one micro-batch per
+piece, the query restarted from its checkpoint between pieces) and returns
+the batch read of what the stream produced.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from tessera.plans import relational as batch_rel
 from tessera.plans import writes as batch_writes
 from tessera.plans import keys as batch_keys
 from tessera.plans.registry import query
+from tessera.session import scratch_path
 from tessera.sources.tables import table
 from tessera.streaming import stateful as ST
 from tessera.streaming import streams as S
@@ -22,10 +23,14 @@ from tessera.streaming import streams as S
 PIECES = 4
 
 
-def _replay(spark, sf_dir, name, cols, order_col):
-    df = table(spark, sf_dir, name).select(*cols)
-    path = S.stage_as_files(df, PIECES, order_col)
-    return S.file_replay(spark, path, df.schema)
+def _replay(spark, sf_dir, name, cols, order_col) -> S.Replay:
+    return S.Replay(table(spark, sf_dir, name).select(*cols), PIECES, order_col)
+
+
+def _appended(spark, replay: S.Replay, transform):
+    out = scratch_path(spark, "stream-out")
+    replay.drive(S.append_writer(out, transform))
+    return spark.read.parquet(out)
 
 
 LINE_COLS = ["l_orderkey", "l_linenumber", "l_suppkey", "l_returnflag", "l_quantity",
@@ -33,9 +38,11 @@ LINE_COLS = ["l_orderkey", "l_linenumber", "l_suppkey", "l_returnflag", "l_quant
 
 
 def _stream_first_level(spark, sf_dir):
-    li = _replay(spark, sf_dir, "lineitem", LINE_COLS, "l_shipdate")
-    agg = rel.group_sum_two_keys(li, "l_suppkey", "l_returnflag", "l_quantity", "l_extendedprice")
-    return S.upsert_aggregate(agg, ["a", "b"], spark).read()
+    replay = _replay(spark, sf_dir, "lineitem", LINE_COLS, "l_shipdate")
+    log = S.UpsertLog(spark, scratch_path(spark, "upsert-log"), ["a", "b"])
+    replay.drive(S.upsert_writer(log, lambda li: rel.group_sum_two_keys(
+        li, "l_suppkey", "l_returnflag", "l_quantity", "l_extendedprice")))
+    return log.read()
 
 
 @query("stream_group_sum", """
@@ -62,28 +69,37 @@ def stream_flagship(spark, sf_dir):
 select l_orderkey, l_linenumber, l_suppkey, s_name, s_acctbal
 from lineitem join supplier on l_suppkey = s_suppkey""")
 def stream_lookup_join(spark, sf_dir):
-    li = _replay(spark, sf_dir, "lineitem", ["l_orderkey", "l_linenumber", "l_suppkey",
-                                             "l_shipdate"], "l_shipdate")
+    replay = _replay(spark, sf_dir, "lineitem", ["l_orderkey", "l_linenumber", "l_suppkey",
+                                                 "l_shipdate"], "l_shipdate")
     s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_acctbal")
-    j = joins.lookup_join(li, s, li["l_suppkey"] == s["s_suppkey"]).drop("s_suppkey", "l_shipdate")
-    return spark.read.parquet(S.append_to(j, spark))
+    small = joins.fits_broadcast(s)
+
+    def join(li):
+        dim = F.broadcast(s) if small else s
+        return li.join(dim, li["l_suppkey"] == dim["s_suppkey"]).drop("s_suppkey", "l_shipdate")
+    return _appended(spark, replay, join)
 
 
 @query("stream_dedup_by_key", """
 select distinct l_orderkey, l_linenumber from lineitem""")
 def stream_dedup_by_key(spark, sf_dir):
-    li = _replay(spark, sf_dir, "lineitem", ["l_orderkey", "l_linenumber", "l_shipdate"],
-                 "l_shipdate")
-    d = S.dedup_stream(li, ["l_orderkey", "l_linenumber"], "l_shipdate", "5000 days")
-    return spark.read.parquet(S.append_to(d, spark)).select("l_orderkey", "l_linenumber")
+    replay = _replay(spark, sf_dir, "lineitem", ["l_orderkey", "l_linenumber", "l_shipdate"],
+                     "l_shipdate")
+    out = _appended(spark, replay, lambda li: S.dedup_stream(
+        li, ["l_orderkey", "l_linenumber"], "l_shipdate", "5000 days"))
+    return out.select("l_orderkey", "l_linenumber")
 
 
 def _windowed(spark, sf_dir, delay, width, by):
-    ev = _replay(spark, sf_dir, "events", ["event_id", "ts", "event_type", "value"], "ts")
-    ev = S.with_event_time(ev, "ts", delay)
-    agg = (ev.groupBy(F.window("ts", width).start.alias("window_start"), *by)
-           .agg(F.count(F.lit(1)).alias("n"), F.sum(rel.cents("value")).alias("value_cents")))
-    t = S.upsert_aggregate(agg, ["window_start", *by], spark).read()
+    replay = _replay(spark, sf_dir, "events", ["event_id", "ts", "event_type", "value"], "ts")
+
+    def agg(ev):
+        ev = S.with_event_time(ev, "ts", delay)
+        return (ev.groupBy(F.window("ts", width).start.alias("window_start"), *by)
+                .agg(F.count(F.lit(1)).alias("n"), F.sum(rel.cents("value")).alias("value_cents")))
+    log = S.UpsertLog(spark, scratch_path(spark, "upsert-log"), ["window_start", *by])
+    replay.drive(S.upsert_writer(log, agg))
+    t = log.read()
     return t.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), *by, "n",
                     rel.from_cents("value_cents").alias("value"))
 
@@ -106,12 +122,13 @@ def stream_watermark_zero(spark, sf_dir):
 
 @query("stream_statement_set", batch_writes.STATEMENT_SET_SQL)
 def stream_statement_set(spark, sf_dir):
-    o = _replay(spark, sf_dir, "orders", ["o_orderkey", "o_orderstatus", "o_totalprice",
-                                          "o_orderdate"], "o_orderdate")
-    targets = S.multi_sink(o, {
+    replay = _replay(spark, sf_dir, "orders", ["o_orderkey", "o_orderstatus", "o_totalprice",
+                                               "o_orderdate"], "o_orderdate")
+    targets = {"finished": scratch_path(spark, "finished"), "open": scratch_path(spark, "open")}
+    replay.drive(S.multi_sink_writer(targets, {
         "finished": lambda b: b.where(F.col("o_orderstatus") == "F").select("o_orderkey", "o_totalprice"),
         "open": lambda b: b.where(F.col("o_orderstatus") != "F").select("o_orderkey", "o_totalprice"),
-    }, spark)
+    }))
     return (spark.read.parquet(targets["finished"]).select(
                 F.lit("finished").alias("target"), "o_orderkey", "o_totalprice")
             .unionByName(spark.read.parquet(targets["open"]).select(
@@ -124,10 +141,8 @@ def stream_late_row_audit(spark, sf_dir):
     # time seen, each row is flagged against it as it arrives.
     ev = table(spark, sf_dir, "events").select(
         "event_id", "user_id", "ts", F.expr(batch_keys.ARRIVAL).alias("arrival"))
-    path = S.stage_as_files(ev, PIECES, "arrival")
-    stream = S.file_replay(spark, path, ev.schema)
-    out = ST.late_rows_stream(stream, "user_id", "event_id", "arrival", "ts", 10 * 86400)
-    r = spark.read.parquet(S.append_to(out, spark))
+    r = _appended(spark, S.Replay(ev, PIECES, "arrival"), lambda s: ST.late_rows_stream(
+        s, "user_id", "event_id", "arrival", "ts", 10 * 86400))
     ntz = lambda c: F.timestamp_micros(F.col(c)).cast("timestamp_ntz")
     return r.select("event_id", F.col("key").alias("user_id"), "arrival", ntz("ts_us").alias("ts"),
                     ntz("watermark_us").alias("watermark"), "late")

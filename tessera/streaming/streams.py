@@ -22,25 +22,37 @@ from pyspark.sql.streaming import StreamingQuery
 from tessera.session import scratch_path
 
 
-def stage_as_files(df: DataFrame, pieces: int, order_col: str | None = None) -> str:
-    """Write ``df`` as ``pieces`` files in the shared folder for a file replay.
-
-    With ``order_col`` the rows are range-partitioned on it (sampled bounds,
-    no single-task sort) and the pieces are then copied one after the other,
-    so file times -- the order a file stream picks files in -- follow it.
+class Replay:
+    """A table replayed as a stream in ordered pieces.
+
+    Rows are range-partitioned on ``order_col`` (sampled bounds, no
+    single-task sort) into ``pieces`` staged folders. ``drive`` then moves
+    one piece at a time into the source folder and restarts the streaming
+    query from the same checkpoint with ``availableNow``: each run sees
+    exactly the newly arrived files, so every piece is one micro-batch, in
+    order, however many files it has -- and every piece after the first is
+    a restart from the checkpoint, as after a driver failure.
     """
-    spark = df.sparkSession
-    path = scratch_path(spark, "replay")
-    if order_col is None:
-        df.repartition(pieces).write.mode("overwrite").parquet(path)
-        return path
-    stage = scratch_path(spark, "replay-stage")
-    (df.repartitionByRange(pieces, order_col).withColumn("_piece", F.spark_partition_id())
-     .write.partitionBy("_piece").parquet(stage))
-    present = sorted(r[0] for r in spark.read.parquet(stage).select("_piece").distinct().collect())
-    for i in present:  # at most ``pieces`` copy jobs, in range order, one file each
-        spark.read.parquet(f"{stage}/_piece={i}").coalesce(1).write.mode("append").parquet(path)
-    return path
+
+    def __init__(self, df: DataFrame, pieces: int, order_col: str):
+        self.spark = df.sparkSession
+        self.schema = df.schema
+        self.source = scratch_path(self.spark, "replay")
+        self.stage = scratch_path(self.spark, "replay-stage")
+        (df.repartitionByRange(pieces, order_col).withColumn("_piece", F.spark_partition_id())
+         .write.partitionBy("_piece").parquet(self.stage))
+        self.present = sorted(r[0] for r in self.spark.read.parquet(self.stage)
+                              .select("_piece").distinct().collect())
+
+    def stream(self) -> DataFrame:
+        return self.spark.readStream.schema(self.schema).parquet(self.source)
+
+    def drive(self, to_writer: Callable[[DataFrame], object]) -> None:
+        """``to_writer(stream) -> DataStreamWriter`` (sink and mode set)."""
+        checkpoint = scratch_path(self.spark, "ckpt")
+        for i in self.present:
+            self.spark.read.parquet(f"{self.stage}/_piece={i}").write.mode("append").parquet(self.source)
+            run_available(to_writer(self.stream()), checkpoint)
 
 
 def file_replay(spark: SparkSession, path: str, schema, files_per_batch: int = 1) -> DataFrame:
@@ -112,28 +124,23 @@ def run_available(stream_writer, checkpoint: str) -> StreamingQuery:
     return q
 
 
-def upsert_aggregate(agg_stream: DataFrame, key: list[str], spark: SparkSession) -> UpsertLog:
-    """Run an update-mode aggregate into an upsert log."""
-    log = UpsertLog(spark, scratch_path(spark, "upsert-log"), key)
-    run_available(agg_stream.writeStream.outputMode("update").foreachBatch(log.write),
-                  scratch_path(spark, "ckpt"))
-    return log
-
+def upsert_writer(log: UpsertLog, aggregate: Callable[[DataFrame], DataFrame]):
+    """Writer factory: an update-mode aggregate into an upsert log."""
+    return lambda stream: (aggregate(stream).writeStream.outputMode("update")
+                           .foreachBatch(log.write))
 
-def append_to(stream: DataFrame, spark: SparkSession) -> str:
-    """Run an append-mode stream into parquet files; returns the folder."""
-    out = scratch_path(spark, "stream-out")
-    run_available(stream.writeStream.outputMode("append").format("parquet").option("path", out),
-                  scratch_path(spark, "ckpt"))
-    return out
 
+def append_writer(out: str, transform: Callable[[DataFrame], DataFrame]):
+    """Writer factory: an append-mode stream into parquet files at ``out``."""
+    return lambda stream: (transform(stream).writeStream.outputMode("append")
+                           .format("parquet").option("path", out))
 
-def multi_sink(stream: DataFrame, writers: dict[str, Callable[[DataFrame], DataFrame]],
-               spark: SparkSession) -> dict[str, str]:
-    """Several outputs of one stream (D8): each batch is persisted once and
-    every writer's rows go to ``<target>/batch_id=<n>``."""
-    targets = {name: scratch_path(spark, name) for name in writers}
 
+def multi_sink_writer(targets: dict[str, str],
+                      writers: dict[str, Callable[[DataFrame], DataFrame]]):
+    """Writer factory: several outputs of one stream (D8). Each batch is
+    persisted once and every writer's rows go to ``<target>/batch_id=<n>``,
+    so a retried batch replaces its own output."""
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
@@ -141,6 +148,4 @@ def multi_sink(stream: DataFrame, writers: dict[str, Callable[[DataFrame], DataF
                 fn(batch).write.mode("overwrite").parquet(f"{targets[name]}/batch_id={batch_id}")
         finally:
             batch.unpersist()
-
-    run_available(stream.writeStream.foreachBatch(write), scratch_path(spark, "ckpt"))
-    return targets
+    return lambda stream: stream.writeStream.foreachBatch(write)

@@ -19,10 +19,11 @@ def test_upsert_log_replaces_and_compacts(spark):
 
 def test_update_mode_aggregate_over_batches(spark):
     df = spark.range(0, 1000).select((F.col("id") % 7).alias("k"), F.col("id").alias("v"))
-    path = S.stage_as_files(df, 4, "v")
-    stream = S.file_replay(spark, path, df.schema)
-    log = S.upsert_aggregate(stream.groupBy("k").agg(F.sum("v").alias("s")), ["k"], spark)
+    replay = S.Replay(df, 4, "v")
+    log = S.UpsertLog(spark, scratch_path(spark, "agg"), ["k"])
+    replay.drive(S.upsert_writer(log, lambda s: s.groupBy("k").agg(F.sum("v").alias("s"))))
     got = {r.k: r.s for r in log.read().collect()}
     want = {r.k: r.s for r in df.groupBy("k").agg(F.sum("v").alias("s")).collect()}
     assert got == want
+    # one micro-batch per piece, each after a restart from the checkpoint
     assert spark.read.parquet(log.path + "/log").select("batch_id").distinct().count() == 4
