@@ -103,8 +103,9 @@ def partition_lifecycle(spark, sf_dir):
 
 @query("rebalanced_write", "select o_orderkey, o_totalprice from orders")
 def rebalanced_write(spark, sf_dir):
-    # Source parallelism changed before the sink: 3 writing tasks, rows unchanged.
+    # Parallelism set before the sink (one writing task per core of the
+    # cluster), rows unchanged.
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
     path = scratch_path(spark, "rebalanced")
-    sinks.table_sink(o, path, overwrite=True, parallelism=3)
+    sinks.table_sink(o, path, overwrite=True, parallelism=spark.sparkContext.defaultParallelism)
     return spark.read.parquet(path)
