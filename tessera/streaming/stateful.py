@@ -13,6 +13,8 @@ micro-batch, so its size is bounded by the trigger, not by the stream.
 
 from __future__ import annotations
 
+import warnings
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -26,6 +28,10 @@ STATE_SCHEMA = "latest_us long"
 
 def _audit(delay_us: int):
     def fn(key, batches, state):
+        # PySpark's state serializer concatenates frames with all-NA columns,
+        # which pandas flags on every batch; the message is noise here.
+        warnings.filterwarnings("ignore", message="The behavior of DataFrame concatenation",
+                                category=FutureWarning)
         pdf = pd.concat(list(batches), ignore_index=True).sort_values("arrival", kind="stable")
         seen = state.get[0] if state.exists else None
         ts = pdf["ts_us"].to_numpy(dtype=np.int64)
