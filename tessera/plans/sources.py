@@ -47,9 +47,11 @@ GEN_FIELDS = [
 ]
 
 
+# The generator is integer arithmetic valid in both engines, so the oracle
+# evaluates the same field expressions in DuckDB.
 @query("datagen_source", "select id, " + ", ".join(
-    f"{G.field_sql(f, i).replace(' as string', ' as varchar')} as {f.name}"
-    for i, f in enumerate(GEN_FIELDS)) + " from (select o_orderkey as id from orders)")
+    f"{G.field_sql(f, i)} as {f.name}" for i, f in enumerate(GEN_FIELDS))
+    + " from (select o_orderkey as id from orders)")
 def datagen_source(spark, sf_dir):
     return G.generate_from_ids(table(spark, sf_dir, "orders"), "o_orderkey", GEN_FIELDS)
 
