@@ -146,3 +146,72 @@ from j left join fails f on j.name = f.name
 def schema_conformance(spark, sf_dir):
     declared = spark.createDataFrame(LINEITEM_DECLARED, "name string, type_text string")
     return CAT.schema_conformance(spark, table(spark, sf_dir, "lineitem"), declared)
+
+
+# ---- option rules over the stand-in estate ---------------------------------
+# Option rows: the lineitem (table, key) pairs plus one connector key per
+# order, named after its status (O -> kafka, F -> datagen, P -> jdbc, which
+# is not a known connector).
+CONNECTOR_OF_STATUS = "case o_orderstatus when 'O' then 'kafka' when 'F' then 'datagen' else 'jdbc' end"
+
+_ESTATE_SQL = f"""
+conn as (
+  select l_orderkey as table_id, 'line_' || l_linenumber as key, max(cast(l_partkey as varchar)) as value
+  from lineitem group by 1, 2
+  union all
+  select o_orderkey, 'connector', {CONNECTOR_OF_STATUS} from orders)"""
+
+
+def estate_options(spark, sf_dir):
+    pairs = lineitem_metadata(spark, sf_dir).conn_info
+    conn = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("table_id"), F.lit("connector").alias("key"),
+        F.expr(CONNECTOR_OF_STATUS).alias("value"))
+    return pairs.unionByName(conn)
+
+
+@query("connector_audit", f"""
+with {_ESTATE_SQL}
+select table_id, count_if(key = 'connector') as connectors,
+       max(case when key = 'connector' then value end) as connector,
+       case when count_if(key = 'connector') = 0 then 'no connector'
+            when count_if(key = 'connector') > 1 then 'several connectors'
+            when max(case when key = 'connector' then value end) not in ('kafka', 'datagen')
+              then 'unknown connector'
+            else 'ok' end as status
+from conn group by table_id""")
+def connector_audit(spark, sf_dir):
+    return CAT.connector_audit(estate_options(spark, sf_dir))
+
+
+_OWN = ", ".join(f"'{k}'" for k in CAT.KAFKA_OWN_KEYS)
+
+
+@query("option_prefix", f"""
+with {_ESTATE_SQL},
+c as (select table_id, max(case when key = 'connector' then value end) as connector
+      from conn group by table_id)
+select conn.table_id,
+       case when c.connector = 'kafka' and conn.key not in ({_OWN})
+                 and not starts_with(conn.key, 'properties.')
+            then 'properties.' || conn.key else conn.key end as key,
+       conn.value
+from conn left join c on conn.table_id = c.table_id""")
+def option_prefix(spark, sf_dir):
+    conn = estate_options(spark, sf_dir)
+    return CAT.option_prefix(conn, CAT.connector_audit(conn).select("table_id", "connector"))
+
+
+@query("option_override", f"""
+with {_ESTATE_SQL},
+u as (select o_orderkey as table_id, 'line_1' as key, o_orderpriority as value from orders)
+select coalesce(t.table_id, u.table_id) as table_id, coalesce(t.key, u.key) as key,
+       coalesce(u.value, t.value) as value,
+       case when u.value is not null then 'user' else 'template' end as source
+from conn t full join u on t.table_id = u.table_id and t.key = u.key""")
+def option_override(spark, sf_dir):
+    # User options (priority as 'line_1') win over the declared ones.
+    user = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("table_id"), F.lit("line_1").alias("key"),
+        F.col("o_orderpriority").alias("value"))
+    return CAT.option_override(estate_options(spark, sf_dir), user)
