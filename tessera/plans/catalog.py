@@ -172,7 +172,7 @@ def estate_options(spark, sf_dir):
 
 @query("connector_audit", f"""
 with {_ESTATE_SQL}
-select table_id, count_if(key = 'connector') as connectors,
+select table_id, cast(count_if(key = 'connector') as bigint) as connectors,
        max(case when key = 'connector' then value end) as connector,
        case when count_if(key = 'connector') = 0 then 'no connector'
             when count_if(key = 'connector') > 1 then 'several connectors'
