@@ -51,5 +51,7 @@ def replace_partitions(df: DataFrame, table_name: str) -> None:
 
 def drop_partition(spark: SparkSession, table_name: str, spec: dict[str, str]) -> None:
     """Remove one partition of a catalog table (E9 drop)."""
-    parts = ", ".join(f"{k} = '{v}'" for k, v in spec.items())
+    def literal(v) -> str:
+        return "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
+    parts = ", ".join(f"`{k}` = {literal(v)}" for k, v in spec.items())
     spark.sql(f"ALTER TABLE {table_name} DROP IF EXISTS PARTITION ({parts})")

@@ -113,3 +113,12 @@ def test_generator_options_for_declared_columns(spark):
     assert r[0] >= 1 and r[1] <= 10 and r[2] >= 1 and r[3] <= 100
     s = G.generate_declared_stream(spark, cols, opts)
     assert s.isStreaming and s.columns == ["user_id", "cost", "ts", "tags"]
+
+
+def test_partition_replace_and_drop_with_quoted_values(spark):
+    name = "parts_quoted_test"
+    df = spark.createDataFrame([(1, "it's"), (2, "plain"), (3, "plain")], "v int, k string")
+    sinks.create_partitioned_table(spark, name, df, ["k"], scratch_path(spark, name))
+    sinks.replace_partitions(spark.createDataFrame([(9, "plain")], "v int, k string"), name)
+    sinks.drop_partition(spark, name, {"k": "it's"})
+    assert sorted(tuple(r) for r in spark.table(name).collect()) == [(9, "plain")]
