@@ -95,7 +95,8 @@ def typed_value_sql(ddl: str, seed: str) -> str:
         parts = []
         for i, f in enumerate(_split_top(t[7:-1])):
             name, ftype = f.split(":", 1)
-            parts.append(f"'{name.strip('`')}', {typed_value_sql(ftype, f'{seed} * 41 + {i + 1}')}")
+            label = name.strip('`').replace("\\", "\\\\").replace("'", "\\'")
+            parts.append(f"'{label}', {typed_value_sql(ftype, f'{seed} * 41 + {i + 1}')}")
         return f"named_struct({', '.join(parts)})"
     if low in ("int", "bigint", "smallint"):
         return f"cast({r} % 1000 as {low})"
@@ -136,6 +137,11 @@ def _split_top(body: str) -> list[str]:
     return out
 
 
+def _ident(name: str) -> str:
+    """A column name as a quoted SQL identifier."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 _SIMPLE_FIELD_TYPES = {"int": "INT", "bigint": "BIGINT", "smallint": "SMALLINT",
                        "double": "DOUBLE", "float": "FLOAT", "string": "STRING"}
 
@@ -160,9 +166,9 @@ def declared_columns_sql(columns: list[tuple[str, str]], options: dict[str, str]
             f = Field(name, simple, kind=opt.get("kind", "random"),
                       min=float(opt.get("min", 0)), max=float(opt.get("max", 100)),
                       length=int(opt.get("length", 8)))
-            out.append(f"{field_sql(f, i, id_col)} as `{name}`")
+            out.append(f"{field_sql(f, i, id_col)} as {_ident(name)}")
         else:
-            out.append(f"{typed_value_sql(ddl, f'{id_col} + {i * 7919}')} as `{name}`")
+            out.append(f"{typed_value_sql(ddl, f'{id_col} + {i * 7919}')} as {_ident(name)}")
     return out
 
 

@@ -122,3 +122,8 @@ def test_partition_replace_and_drop_with_quoted_values(spark):
     sinks.replace_partitions(spark.createDataFrame([(9, "plain")], "v int, k string"), name)
     sinks.drop_partition(spark, name, {"k": "it's"})
     assert sorted(tuple(r) for r in spark.table(name).collect()) == [(9, "plain")]
+
+
+def test_generator_quotes_odd_names(spark):
+    df = G.generate_declared(spark.range(3), "id", [("we`ird", "int"), ("s", "struct<`it's`:string>")])
+    assert df.columns == ["we`ird", "s"] and df.first().s["it's"] is not None
