@@ -48,3 +48,13 @@ def prefixes(word: str | Column, first: Column | int, last: Column | int) -> Col
     hi = F.lit(last) if isinstance(last, int) else last
     seq = F.when(lo <= hi, F.sequence(lo, hi)).otherwise(F.array().cast("array<int>"))
     return F.transform(seq, lambda i: F.struct(i.alias("i"), F.substring(w, 1, i).alias("p")))
+
+
+def sql_ident(name: str) -> str:
+    """A column name as a quoted SQL identifier."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def sql_string(value: str) -> str:
+    """A SQL string literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"

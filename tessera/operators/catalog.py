@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions import types as TY
+from tessera.functions.text import sql_ident, sql_string
 from tessera.sources.metadata import Metadata
 
 # The registered connectors and, per connector, the option keys
@@ -173,10 +174,10 @@ def schema_conformance(spark: SparkSession, data: DataFrame, declared: DataFrame
     decl = {r.name: r.spark_type for r in both.where(
         F.col("actual_type").isNotNull() & F.col("spark_type").isNotNull()).collect()}
     if decl:
-        fails = data.agg(*[F.count_if(F.col(f"`{n}`").isNotNull()
-                                      & F.expr(f"try_cast(`{n}` as {t})").isNull()).alias(n)
+        fails = data.agg(*[F.count_if(F.col(sql_ident(n)).isNotNull()
+                                      & F.expr(f"try_cast({sql_ident(n)} as {t})").isNull()).alias(n)
                            for n, t in sorted(decl.items())])
-        stack = ", ".join(f"'{n}', `{n}`" for n in sorted(decl))
+        stack = ", ".join(f"{sql_string(n)}, {sql_ident(n)}" for n in sorted(decl))
         fail_rows = fails.selectExpr(f"stack({len(decl)}, {stack}) as (name, cast_failures)")
     else:
         fail_rows = spark.createDataFrame([], "name string, cast_failures bigint")
@@ -219,7 +220,7 @@ def register_declared_tables(spark: SparkSession, md: Metadata, rows: int = 1000
         a = audit.get(d.table_id)
         connector = a.connector if a else None
         cols = [(c.schema_name, column_ddl(c.schema_root, c.schema_type)) for c in (d.columns or [])]
-        schema = ", ".join(f"`{n}` {t}" for n, t in cols)
+        schema = ", ".join(f"{sql_ident(n)} {t}" for n, t in cols)
         status = a.status if a else "no connector"
         if status == "ok" and connector == "datagen":
             n = int((d.options or {}).get("number-of-rows", rows))

@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tessera.functions.text import sql_ident, sql_string
+
 _STRINGY = (T.StringType, T.VarcharType, T.CharType)
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType,
             T.DecimalType)
@@ -41,7 +43,7 @@ def _stat_columns(df: DataFrame, exact_distinct: bool):
     aggs: list[Column] = []
     rows: list[str] = []
     for i, f in enumerate(df.schema.fields):
-        c = F.col(f"`{f.name}`")
+        c = F.col(sql_ident(f.name))
         dt = f.dataType
         if not isinstance(dt, _STRINGY + _NUMERIC + _TIMES + (T.BooleanType,)):
             continue  # nested and binary columns: no order, no length
@@ -58,7 +60,7 @@ def _stat_columns(df: DataFrame, exact_distinct: bool):
             (F.max(F.length(c)).cast("bigint") if isinstance(dt, _STRINGY)
              else F.lit(None).cast("bigint")).alias(f"ml{i}"),
         ]
-        rows.append(f"'{f.name}', nn{i}, nd{i}, mnn{i}, mxn{i}, mns{i}, mxs{i}, al{i}, ml{i}")
+        rows.append(f"{sql_string(f.name)}, nn{i}, nd{i}, mnn{i}, mxn{i}, mns{i}, mxs{i}, al{i}, ml{i}")
     stack = (f"stack({len(rows)}, {', '.join(rows)}) as (column_name, non_nulls, ndv, "
              "min_num, max_num, min_str, max_str, avg_len, max_len)")
     return aggs, stack
@@ -74,7 +76,7 @@ def column_stats(df: DataFrame, group_cols: list[str] | None = None,
     aggs, stack = _stat_columns(body, exact_distinct)
     total = F.count(F.lit(1)).alias("row_count")
     wide = df.groupBy(*group_cols).agg(total, *aggs) if group_cols else df.agg(total, *aggs)
-    long = (wide.selectExpr(*[f"`{g}`" for g in group_cols], "row_count", stack)
+    long = (wide.selectExpr(*[sql_ident(g) for g in group_cols], "row_count", stack)
             .withColumn("nulls", F.col("row_count") - F.col("non_nulls")))
     if exact_distinct:
         long = long.drop("ndv").join(exact_ndv(df, group_cols, _stat_names(body)),
@@ -94,7 +96,7 @@ def exact_ndv(df: DataFrame, group_cols: list[str], cols: list[str]) -> DataFram
     one pruned, partially aggregated branch per column, unioned in one job."""
     branches = []
     for c in cols:
-        v = df.select(*group_cols, F.col(f"`{c}`").alias("_v")).where(F.col("_v").isNotNull())
+        v = df.select(*group_cols, F.col(sql_ident(c)).alias("_v")).where(F.col("_v").isNotNull())
         branches.append(v.distinct()
                         .groupBy(*group_cols).agg(F.count(F.lit(1)).alias("ndv"))
                         .withColumn("column_name", F.lit(c)))

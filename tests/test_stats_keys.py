@@ -49,3 +49,9 @@ def test_prior_max_matches_plain_window(spark):
 
 def test_fits_broadcast_bound(spark):
     assert fits_broadcast(spark.range(10), 10) and not fits_broadcast(spark.range(11), 10)
+
+
+def test_column_stats_odd_names(spark):
+    df = spark.createDataFrame([(1, "a"), (2, None)], "`it's` int, `we``ird` string")
+    got = {r.column_name: (r.nulls, r.ndv) for r in st.column_stats(df, exact_distinct=True).collect()}
+    assert got == {"it's": (0, 2), "we`ird": (1, 1)}
