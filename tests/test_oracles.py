@@ -7,11 +7,11 @@ import math
 import duckdb
 import pytest
 
-import __spark_entry__ as E
+from tessera.plans import registry as E
 from tessera.sources.tables import TABLE_NAMES
 from tests.conftest import SF001
 
-ORACLES = E.oracle_sql()
+ORACLES = E.oracles()
 QUERIES = E.queries()
 
 
@@ -56,5 +56,6 @@ def test_query_matches_oracle(spark, duck, name):
 
 
 def test_entry_smoke(spark):
-    df = E.entry(spark)
+    import __spark_entry__
+    df = __spark_entry__.entry(spark)
     assert df.columns == ["b", "cnt_a", "sum_c", "sum_d"] and df.count() >= 0
