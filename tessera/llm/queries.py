@@ -4,23 +4,37 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tessera.llm import decontamination, jaccard_join, language_id, mixing, token_counts, toxicity
 from tessera.llm.common import table
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from tessera.llm.toxicity import toxicity
-    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_groups(table(spark, sf_dir, "documents"))
+
+
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
 
 
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from tessera.llm.token_counts import token_counts
-    return token_counts(table(spark, sf_dir, "documents"))
+    return token_counts.token_counts(table(spark, sf_dir, "documents"))
 
 
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from tessera.llm.language_id import language_id
-    return language_id(table(spark, sf_dir, "documents"))
+    return language_id.language_id(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op8_token_counts, op10_language_id)}
-ORACLES: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (
+    op1_toxicity, op2_decontamination, op5_jaccard_join, op7_mixing, op8_token_counts, op10_language_id)}
+ORACLES = {
+    "op2_decontamination": decontamination.ORACLE,
+    "op7_mixing": mixing.ORACLE,
+}
