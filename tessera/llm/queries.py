@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import decontamination, jaccard_join, language_id, mixing, token_counts, toxicity
+from tessera.llm import chat, decontamination, jaccard_join, language_id, mixing, token_counts, toxicity, url_filters
 from tessera.llm.common import table
 
 
@@ -16,10 +16,18 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filters.url_filter_query(spark, sf_dir)
+
+
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_groups(table(spark, sf_dir, "documents"))
 
 
+def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.chat_digests(table(spark, sf_dir, "conversations"))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
@@ -33,8 +41,11 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_toxicity, op2_decontamination, op5_jaccard_join, op7_mixing, op8_token_counts, op10_language_id)}
+    op1_toxicity, op2_decontamination, op3_url_filters, op5_jaccard_join, op6_chat_formatting, op7_mixing,
+    op8_token_counts, op10_language_id)}
 ORACLES = {
     "op2_decontamination": decontamination.ORACLE,
+    "op3_url_filters": url_filters.ORACLE,
+    "op6_chat_formatting": chat.ORACLE,
     "op7_mixing": mixing.ORACLE,
 }
