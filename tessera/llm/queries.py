@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import chat, decontamination, jaccard_join, language_id, mixing, token_counts, toxicity, url_filters
+from tessera.llm import chat, decontamination, jaccard_join, language_id, licenses, mixing, token_counts, toxicity, url_filters
 from tessera.llm.common import table
 
 
@@ -36,16 +36,21 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"))
 
 
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_report(table(spark, sf_dir, "documents"))
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.language_id(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {f.__name__: f for f in (
     op1_toxicity, op2_decontamination, op3_url_filters, op5_jaccard_join, op6_chat_formatting, op7_mixing,
-    op8_token_counts, op10_language_id)}
+    op8_token_counts, op9_license_scan, op10_language_id)}
 ORACLES = {
     "op2_decontamination": decontamination.ORACLE,
     "op3_url_filters": url_filters.ORACLE,
     "op6_chat_formatting": chat.ORACLE,
     "op7_mixing": mixing.ORACLE,
+    "op9_license_scan": licenses.ORACLE,
 }

@@ -27,6 +27,9 @@ _BYTE = mix(np.arange(1, 257, dtype=np.uint64) * _U(0xD1342543DE82EF95))
 _BYTE[0x41:0x5B] = _BYTE[0x61:0x7B]
 _IS_WORD = np.ones(256, bool)
 _IS_WORD[list(_SPACES)] = False
+#: Instead: runs of ASCII letters and digits and of bytes beyond ASCII.
+LETTERS = np.zeros(256, bool)
+LETTERS[128:] = LETTERS[0x30:0x3A] = LETTERS[0x41:0x5B] = LETTERS[0x61:0x7B] = True
 _ORDER = mix(np.arange(1, 65, dtype=np.uint64) * _U(0xA0761D6478BD642F)) | _U(1)
 _powers: dict[str, np.ndarray] = {}
 
@@ -42,11 +45,11 @@ def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers["p"], _powers["q"]
 
 
-def word_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def word_bounds(data: np.ndarray, offsets: np.ndarray, kind: np.ndarray = _IS_WORD) -> tuple[np.ndarray, np.ndarray]:
     """Start and end byte of every word; words end where their row ends."""
     if not len(data):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    inside = _IS_WORD[data]
+    inside = kind[data]
     before = np.empty_like(inside)
     before[0] = False
     before[1:] = inside[:-1]
@@ -61,9 +64,9 @@ def word_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     return starts, np.flatnonzero(inside & ~after) + 1
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(data: np.ndarray, offsets: np.ndarray, kind: np.ndarray = _IS_WORD) -> tuple[np.ndarray, np.ndarray]:
     """(hash of every word, number of words in each row)."""
-    starts, ends = word_bounds(data, offsets)
+    starts, ends = word_bounds(data, offsets, kind)
     counts = np.diff(np.searchsorted(starts, offsets, side="left"))
     out = np.empty(len(starts), np.uint64)
     a = 0
@@ -97,4 +100,5 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, k: int):
     words, counts = word_hashes(data, offsets)
     ends = np.cumsum(counts)
     for i in range(len(counts)):
-        yield np.unique(shingles(words[ends[i] - counts[i]:ends[i]], k))
+        own = np.sort(shingles(words[ends[i] - counts[i]:ends[i]], k))
+        yield own[np.append(True, own[1:] != own[:-1])] if len(own) else own
