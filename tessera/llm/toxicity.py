@@ -301,10 +301,11 @@ def train(documents: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOC
     rank = F.row_number().over(Window.partitionBy("toxic").orderBy("order", "doc_id", "text"))
     # Ids first: only the sample's texts are moved.
     chosen = (texts.select("doc_id", "order").join(known, "doc_id").withColumn("text", F.lit(""))
-              .withColumn("rank", rank)
+              .withColumn("rank", rank).where(F.col("rank") <= 2 * sample_docs)
               .where(F.col("rank") <= F.when(F.col("toxic") == 1, sample_docs).otherwise(2 * sample_docs))
               .select("doc_id", "toxic").dropDuplicates(["doc_id"]))
-    sample = texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "toxic")
+    sample = texts.join(F.broadcast(chosen), "doc_id").select(
+        F.lit(0).alias("one"), "doc_id", "text", "toxic")
 
     def fit_all(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values(["doc_id", "text"], kind="stable")
@@ -317,7 +318,7 @@ def train(documents: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOC
                              "weight": np.concatenate([model.weights[at], rest])})
 
     # The sample has at most 3 * sample_docs rows of max_train_chars characters: one bounded group.
-    fitted = (sample.groupBy(F.lit(0)).applyInPandas(fit_all, "feature bigint, weight double")).toPandas()
+    fitted = (sample.groupBy("one").applyInPandas(fit_all, "feature bigint, weight double")).toPandas()
     if fitted.empty:
         return None
     weights = np.zeros(1 << FEATURE_BITS)
