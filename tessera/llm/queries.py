@@ -4,7 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import chat, decontamination, jaccard_join, language_id, licenses, mixing, token_counts, toxicity, url_filters
+from tessera.llm import (
+    chat,
+    decontamination,
+    fingerprints,
+    jaccard_join,
+    language_id,
+    licenses,
+    mixing,
+    token_counts,
+    toxicity,
+    url_filters,
+)
 from tessera.llm.common import table
 
 
@@ -20,6 +31,10 @@ def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.url_filter_query(spark, sf_dir)
 
 
+def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.document_fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_groups(table(spark, sf_dir, "documents"))
 
@@ -45,7 +60,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_toxicity, op2_decontamination, op3_url_filters, op5_jaccard_join, op6_chat_formatting, op7_mixing,
+    op1_toxicity, op2_decontamination, op3_url_filters, op4_fingerprints, op5_jaccard_join, op6_chat_formatting, op7_mixing,
     op8_token_counts, op9_license_scan, op10_language_id)}
 ORACLES = {
     "op2_decontamination": decontamination.ORACLE,
