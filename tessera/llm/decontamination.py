@@ -121,6 +121,17 @@ def decontaminate(documents: DataFrame, benchmark: DataFrame, window: int = WIND
             .withColumn("contaminated", (F.col("n_hit") > 0) & (hit_share * F.col("n_hit") >= F.col("n_words"))))
 
 
+def uncontaminated(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW,
+                   hit_share: int = HIT_SHARE) -> DataFrame:
+    """The rows of ``documents``, all columns, that are not contaminated."""
+    key = F.struct(F.col("doc_id"), F.xxhash64("text").alias("text_hash"))
+    judged = decontaminate(documents.select(key.alias("doc_id"), "text"), benchmark, window, hit_share)
+    gone = written(judged.where("contaminated").select(
+        F.col("doc_id.doc_id").alias("gone_id"), F.col("doc_id.text_hash").alias("gone_hash")).distinct(), "contaminated")
+    same = F.col("doc_id").eqNullSafe(F.col("gone_id")) & (F.xxhash64("text") == F.col("gone_hash"))
+    return documents.join(small(gone), same, "left_anti")
+
+
 ORACLE = r"""
 WITH d AS (
   SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(

@@ -430,3 +430,15 @@ def jaccard_groups(documents: DataFrame, k: int = SHINGLE_WORDS, threshold: int
             .join(ids, "class_id", "left")
             .select("doc_id", F.col("n").alias("n_shingles"),
                     F.coalesce("root_doc", "doc_id").alias("component_id")))
+
+
+def one_of_each(documents: DataFrame, k: int = SHINGLE_WORDS, threshold: int = THRESHOLD) -> DataFrame:
+    """The rows of ``documents``, all columns, with one document of each component:
+    the one of smallest doc_id. Of rows with the same doc_id and text one stays."""
+    groups = written(jaccard_groups(documents, k, threshold).select("doc_id", "component_id"), "groups")
+    # Most documents stay, so the ids that go, or that need a closer look, are joined.
+    looked_at = written(groups.where("doc_id is not null").groupBy("doc_id").agg(
+        F.min("component_id").alias("root"), F.count("*").alias("n")).where("root <> doc_id or n > 1"), "not-first")
+    kept = documents.join(small(looked_at.select("doc_id")), "doc_id", "left_anti")
+    repeated = documents.join(small(looked_at.where("root = doc_id").select("doc_id")), "doc_id", "left_semi")
+    return kept.unionByName(repeated.dropDuplicates(["doc_id", "text"])).select(*documents.columns)

@@ -291,28 +291,33 @@ def train(labelled: DataFrame, docs_per_lang: int = DOCS_PER_LANG,
     return names, prior, list(pieces), np.array([fitted[n] for n in names]).reshape(len(names), -1).T
 
 
+def _predictions(batch: pa.RecordBatch, scorer: Scorer) -> tuple[list[str], list[float]]:
+    texts = batch.column(batch.schema.get_field_index("text"))
+    labels: list[str] = []
+    scores: list[float] = []
+    part: list[str] = []
+    size = 0
+    for i in range(batch.num_rows):
+        part.append(texts[i].as_py() or "")
+        size += len(part[-1])
+        if size > 1 << 21 or i + 1 == batch.num_rows:
+            a, b = scorer.predict(part)
+            labels += a
+            scores += b.tolist()
+            part, size = [], 0
+    return labels, scores
+
+
 def identify(docs: DataFrame, model) -> DataFrame:
-    """``docs`` (doc_id, text and any other columns) with lang_pred and score."""
-    names, prior, pieces, table = model
-    shared = docs.sparkSession.sparkContext.broadcast((names, prior, pieces, table))
+    """doc_id, lang_pred and score for every row of ``docs`` (doc_id, text)."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(*shared.value)
         for batch in batches:
-            labels: list[str] = []
-            scores: list[float] = []
-            part: list[str] = []
-            size = 0
-            for i in range(batch.num_rows):
-                part.append(batch.column(1)[i].as_py() or "")
-                size += len(part[-1])
-                if size > 1 << 21 or i + 1 == batch.num_rows:
-                    a, b = scorer.predict(part)
-                    labels += a
-                    scores += b.tolist()
-                    part, size = [], 0
+            labels, scores = _predictions(batch, scorer)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(labels, pa.string()), pa.array(scores, pa.float64())],
                 ["doc_id", "lang_pred", "score"])
@@ -320,9 +325,27 @@ def identify(docs: DataFrame, model) -> DataFrame:
     return rows.mapInArrow(run, f"doc_id {kind}, lang_pred string, score double")
 
 
+def identified(docs: DataFrame, model, min_score: float = 0.5) -> DataFrame:
+    """The rows of ``docs``, all columns, whose language is determined with a
+    score of at least ``min_score``. Decided row by row; nothing is shuffled."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = Scorer(*shared.value)
+        for batch in batches:
+            labels, scores = _predictions(batch, scorer)
+            yield batch.filter(pa.array([a != UNDETERMINED and b >= min_score
+                                         for a, b in zip(labels, scores, strict=True)], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
+def trained(docs: DataFrame):
+    """The model learned from the rows outside fold 2 of 4."""
+    return train(docs.where(fold(F.col("doc_id"), 4) != 2).select("doc_id", "text", "lang"))
+
+
 def language_id(docs: DataFrame) -> DataFrame:
     """Contract of op10: trained on the rows outside fold 2 of 4, applied to all."""
-    held_out = fold(F.col("doc_id"), 4) == 2
-    model = train(docs.where(~held_out).select("doc_id", "text", "lang"))
-    return identify(docs, model).select(
+    return identify(docs, trained(docs)).select(
         "doc_id", (fold(F.col("doc_id"), 4) == 2).alias("held_out"), "lang_pred", "score")

@@ -335,12 +335,36 @@ def spans(text: str, p: np.ndarray) -> list[tuple[int, int]]:
     return [m.span() for m, q in zip(_TOKEN.finditer(lowered(text)), p, strict=True) if q >= 0.5]
 
 
+def _parts(batch: pa.RecordBatch, model: Model | None):
+    """(texts, scores, token marginals and token counts) for runs of rows."""
+    texts = batch.column(batch.schema.get_field_index("text"))
+    part: list[str] = []
+    size = 0
+    for i in range(batch.num_rows):
+        part.append(texts[i].as_py() or "")
+        size += len(part[-1])
+        if size <= 1 << 20 and i + 1 < batch.num_rows:
+            continue
+        if model is None:
+            yield part, [0.0] * len(part), np.zeros(0), np.zeros(len(part), np.int64)
+        else:
+            split = [tokens_of(t) for t in part]
+            lengths = np.array([len(t) for t in split], np.int64)
+            p = model.marginals(split)
+            yield part, model.score(p, lengths).tolist(), p, lengths
+        part, size = [], 0
+
+
+def _share(spark, model: Model | None):
+    return spark.sparkContext.broadcast(
+        None if model is None else (model.weights, model.step, model.start, model.calibration))
+
+
 def tag(documents: DataFrame, model: Model | None) -> DataFrame:
     """doc_id, score, n_toxic, spans array<struct<start, end>> for every row."""
     rows = documents.select("doc_id", F.col("text").cast("string").alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    shared = documents.sparkSession.sparkContext.broadcast(
-        None if model is None else (model.weights, model.step, model.start, model.calibration))
+    shared = _share(documents.sparkSession, model)
     span_type = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -348,24 +372,10 @@ def tag(documents: DataFrame, model: Model | None) -> DataFrame:
         for batch in batches:
             scores: list[float] = []
             found: list[list] = []
-            part: list[str] = []
-            size = 0
-            for i in range(batch.num_rows):
-                part.append(batch.column(1)[i].as_py() or "")
-                size += len(part[-1])
-                if size <= 1 << 20 and i + 1 < batch.num_rows:
-                    continue
-                if own is None:
-                    scores += [0.0] * len(part)
-                    found += [[] for _ in part]
-                else:
-                    split = [tokens_of(t) for t in part]
-                    lengths = np.array([len(t) for t in split], np.int64)
-                    p = own.marginals(split)
-                    scores += own.score(p, lengths).tolist()
-                    ends = np.cumsum(lengths)
-                    found += [spans(t, p[b - n:b]) for t, b, n in zip(part, ends, lengths, strict=True)]
-                part, size = [], 0
+            for part, score, p, lengths in _parts(batch, own):
+                scores += score
+                ends = np.cumsum(lengths)
+                found += [spans(t, p[b - n:b]) for t, b, n in zip(part, ends, lengths, strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(scores, pa.float64()),
                  pa.array([len(s) for s in found], pa.int64()),
@@ -376,11 +386,27 @@ def tag(documents: DataFrame, model: Model | None) -> DataFrame:
                                 "spans array<struct<start:int,end:int>>")
 
 
+def untoxic(documents: DataFrame, model: Model | None, below: float = 0.5) -> DataFrame:
+    """The rows of ``documents``, all columns, that score less than ``below``."""
+    shared = _share(documents.sparkSession, model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = None if shared.value is None else Model(*shared.value)
+        for batch in batches:
+            keep = [s < below for _, scores, _, _ in _parts(batch, own) for s in scores]
+            yield batch.filter(pa.array(keep, pa.bool_()))
+
+    return documents.mapInArrow(run, documents.schema)
+
+
+def trained(documents: DataFrame, labels: DataFrame) -> Model | None:
+    """The model learned from the rows outside fold 0 of 5."""
+    learn = fold(F.col("doc_id"), 5) != 0
+    return train(documents.select("doc_id", "text").where(learn), labels.select("doc_id", "toxic").where(learn))
+
+
 def toxicity(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """Contract of op1: learned from labels outside fold 0 of 5, applied to all."""
-    learn = fold(F.col("doc_id"), 5) != 0
-    model = train(documents.select("doc_id", "text").where(learn),
-                  labels.select("doc_id", "toxic").where(learn))
-    return tag(documents, model).select(
+    return tag(documents, trained(documents, labels)).select(
         "doc_id", (fold(F.col("doc_id"), 5) == 0).alias("held_out"), "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"), "n_toxic", "spans")
