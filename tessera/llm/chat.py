@@ -36,14 +36,21 @@ def escape(text: Column) -> Column:
     return F.replace(F.replace(out, F.lit("["), F.lit("\\b")), F.lit("<"), F.lit("\\l"))
 
 
+def escape_role(role: Column) -> Column:
+    """Also ``]`` as ``\\c`` and ``>`` as ``\\g``: a role stands inside its marker."""
+    return F.replace(F.replace(escape(role), F.lit("]"), F.lit("\\c")), F.lit(">"), F.lit("\\g"))
+
+
 def unescape(text: Column) -> Column:
-    out = F.replace(F.replace(text, F.lit("\\l"), F.lit("<")), F.lit("\\b"), F.lit("["))
-    return F.replace(out, F.lit("\\e"), F.lit("\\"))
+    out = text
+    for code, plain in (("\\l", "<"), ("\\b", "["), ("\\c", "]"), ("\\g", ">"), ("\\e", "\\")):
+        out = F.replace(out, F.lit(code), F.lit(plain))
+    return out
 
 
 def _marker(role: Column, part: int) -> Column:
     """Opening (0), further (1) or closing (2) marker of a role."""
-    other = (F.concat(F.lit("[ROLE:" if part == 0 else "[+ROLE:"), escape(role), F.lit("]")) if part < 2
+    other = (F.concat(F.lit("[ROLE:" if part == 0 else "[+ROLE:"), escape_role(role), F.lit("]")) if part < 2
              else F.lit("[/ROLE]"))
     out = F
     for name, own in MARKERS.items():
@@ -127,9 +134,9 @@ n AS (
     lead(role) OVER w IS DISTINCT FROM role AS closes FROM c
   WINDOW w AS (PARTITION BY conv_id ORDER BY turn, role, text)),
 z AS (
-  SELECT *, length(text) * 4 - length(replace(text, '\', '')) - length(replace(text, '[', '')) - length(replace(text, '<', '')) AS body,
+  SELECT *, length(text) * 2 - length(regexp_replace(text, '[\\<\[]', '', 'g')) AS body,
     CASE role WHEN 'system' THEN 5 WHEN 'user' THEN 6 WHEN 'assistant' THEN 3 ELSE
-      7 + length(role) * 4 - length(replace(role, '\', '')) - length(replace(role, '[', '')) - length(replace(role, '<', '')) END AS mark,
+      7 + length(role) * 2 - length(regexp_replace(role, '[\\<>\[\]]', '', 'g')) END AS mark,
     CASE role WHEN 'system' THEN 6 WHEN 'user' THEN 7 WHEN 'assistant' THEN 4 ELSE 7 END AS shut FROM n)
 SELECT conv_id, count(*) AS n_turns,
   sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY no)) AS turns_sha256,
