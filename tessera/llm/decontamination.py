@@ -127,8 +127,8 @@ def uncontaminated(documents: DataFrame, benchmark: DataFrame, window: int = WIN
     key = F.struct(F.col("doc_id"), F.xxhash64("text").alias("text_hash"))
     judged = decontaminate(documents.select(key.alias("doc_id"), "text"), benchmark, window, hit_share)
     gone = written(judged.where("contaminated").select(
-        F.col("doc_id.doc_id").alias("gone_id"), F.col("doc_id.text_hash").alias("gone_hash")).distinct(), "contaminated")
-    same = F.col("doc_id").eqNullSafe(F.col("gone_id")) & (F.xxhash64("text") == F.col("gone_hash"))
+        F.col("doc_id.doc_id").alias("_gone_id"), F.col("doc_id.text_hash").alias("_gone_hash")).distinct(), "contaminated")
+    same = F.col("doc_id").eqNullSafe(F.col("_gone_id")) & (F.xxhash64("text") == F.col("_gone_hash"))
     return documents.join(small(gone), same, "left_anti")
 
 

@@ -38,7 +38,6 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from tessera.llm.common import fold
 
@@ -298,12 +297,13 @@ def train(documents: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOC
     order = F.xxhash64(F.col("doc_id").cast("string"))
     texts = (documents.where(F.col("text").isNotNull() & (F.length("text") <= max_train_chars))
              .select("doc_id", "text", order.alias("order")))
-    rank = F.row_number().over(Window.partitionBy("toxic").orderBy("order", "doc_id", "text"))
     # Ids first: only the sample's texts are moved.
-    chosen = (texts.select("doc_id", "order").join(known, "doc_id").withColumn("text", F.lit(""))
-              .withColumn("rank", rank).where(F.col("rank") <= 2 * sample_docs)
-              .where(F.col("rank") <= F.when(F.col("toxic") == 1, sample_docs).otherwise(2 * sample_docs))
-              .select("doc_id", "toxic").dropDuplicates(["doc_id"]))
+    ids = texts.select("doc_id", "order").join(known, "doc_id").dropDuplicates(["doc_id"])
+
+    def first(label: int, n: int) -> DataFrame:
+        return ids.where(F.col("toxic") == label).orderBy("order", "doc_id").limit(n)
+
+    chosen = first(1, sample_docs).union(first(0, 2 * sample_docs)).select("doc_id", "toxic")
     sample = texts.join(F.broadcast(chosen), "doc_id").select(
         F.lit(0).alias("one"), "doc_id", "text", "toxic")
 
