@@ -112,11 +112,18 @@ def tree_to_ddl(tree: str | dict, time_as_string: bool = False) -> str:
 
 def conform_json(df: DataFrame, col: str, tree: str | dict, out: str = "value") -> DataFrame:
     """Raw JSON rows read as a declared nested type (B3): adds ``out`` (the
-    typed value, null for misfits) and ``out_bad`` (text did not conform)."""
+    typed value, null for misfits) and ``out_bad`` (text did not conform).
+
+    A row is one JSON value. It is read once as the only field of an object and
+    once as the only element of an array: text after the value fails one of the
+    two. A bare ``null`` does not conform.
+    """
     ddl = tree_to_ddl(tree, time_as_string=True)
     schema = f"struct<v:{ddl},_corrupt_record:string>"
     wrapped = F.concat(F.lit('{"v":'), F.col(col), F.lit("}"))
     parsed = F.from_json(wrapped, schema, {"mode": "PERMISSIVE",
                                            "columnNameOfCorruptRecord": "_corrupt_record"})
-    bad = parsed.getField("_corrupt_record").isNotNull() | F.col(col).isNull()
+    alone = F.from_json(F.concat(F.lit("["), F.col(col), F.lit("]")), "array<string>")
+    bad = (parsed.getField("_corrupt_record").isNotNull() | parsed.getField("v").isNull()
+           | ~F.coalesce(F.size(alone) == 1, F.lit(False)))
     return df.withColumn(out, F.when(~bad, parsed.getField("v"))).withColumn(f"{out}_bad", bad)

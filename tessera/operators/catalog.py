@@ -198,14 +198,15 @@ def column_ddl(schema_root: int, schema_type: str) -> str:
     return TY.simple_type_ddl(schema_type) if schema_root == 0 else TY.tree_to_ddl(schema_type)
 
 
-def register_declared_tables(spark: SparkSession, md: Metadata, rows: int = 1000,
+def register_declared_tables(spark: SparkSession, md: Metadata, rows: int | None = None,
                              kafka_available: bool = False) -> DataFrame:
     """Make every declared table of ``md`` queryable as a temp view named like
     the table; returns (table_name, connector, status, schema) per table.
 
     Definitions are metadata (a handful of rows per table), assembled by the
-    Spark jobs above and read on the driver to create the views. Generated
-    tables get ``rows`` rows; Kafka tables need the Kafka package, otherwise
+    Spark jobs above and read on the driver to create the views. A generated
+    table has its ``number-of-rows``, else ``rows``; with neither it is unbounded
+    and becomes a streaming view. Kafka tables need the Kafka package, otherwise
     they are reported and skipped.
     """
     from tessera.sources import datagen as G
@@ -223,10 +224,12 @@ def register_declared_tables(spark: SparkSession, md: Metadata, rows: int = 1000
         schema = ", ".join(f"{sql_ident(n)} {t}" for n, t in cols)
         status = a.status if a else "no connector"
         if status == "ok" and connector == "datagen":
-            n = int((d.options or {}).get("number-of-rows", rows))
-            G.generate_declared(spark.range(n), "id", cols, dict(d.options or {})) \
-                .createOrReplaceTempView(d.table_name)
-            status = "registered"
+            own = dict(d.options or {})
+            n = own.get("number-of-rows", rows)
+            made = (G.generate_declared_stream(spark, cols, own) if n is None
+                    else G.generate_declared(spark.range(int(n)), "id", cols, own))
+            made.createOrReplaceTempView(d.table_name)
+            status = "registered as stream" if n is None else "registered"
         elif status == "ok" and connector == "kafka":
             if kafka_available:
                 K.kafka_source(spark, dict(d.options), value_schema=schema).createOrReplaceTempView(

@@ -167,8 +167,9 @@ def matches_both_ways(ranked: DataFrame, dictionary: DataFrame,
                       tables: CompletionTables | None = None) -> DataFrame:
     """ranked (q, rank, word, cou) + ``both``: the word is a completion of one
     of q's arms in the head pass and in the tail pass (G13). Checked exactly
-    per result row (prefix test against the arms), so it holds even when the
-    candidate lists were cut to the top k."""
+    per result row (prefix test against the arms and the longest dictionary
+    prefix), so it holds also where ``tables`` has its index cut to the top k:
+    neither nodes nor ``m`` depend on k."""
     t = tables or completion_tables(dictionary, None, BOTH)
     qs = ranked.select("q").distinct()
     arms, _ = relaxed_arms(longest_prefix_match(qs, t))

@@ -1,9 +1,9 @@
 """Join strategies: size-checked broadcast lookup and point-in-time lookup.
 
-A dimension is broadcast only after a bounded row count proves it small;
+A dimension is broadcast only when the plan's statistics bound its bytes;
 beyond the bound the join is left to the planner (sort-merge with AQE, which
 can still switch to broadcast at runtime from measured shuffle sizes, and
-splits skewed partitions).
+splits skewed partitions). No job runs while a query is built.
 """
 
 from __future__ import annotations
@@ -11,29 +11,29 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# Rows above which a side is never broadcast by these helpers. 2M narrow rows
-# stay well below the default 8 GiB broadcast limit and executor memory.
-DEFAULT_BROADCAST_ROWS = 2_000_000
+# Planned bytes above which a side is never broadcast by these helpers.
+DEFAULT_BROADCAST_BYTES = 64 << 20
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
+def planned_bytes(df: DataFrame) -> int:
+    """Size of ``df`` by the optimizer's statistics (file sizes of its scans, as
+    far as they are known; unknown counts as unbounded). Runs no job."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
-    Bounded check: ``limit(max_rows + 1)`` lets every scan task stop early, so
-    the cost does not grow with the table beyond the bound.
-    """
-    return df.limit(max_rows + 1).count() <= max_rows
+
+def fits_broadcast(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> bool:
+    return planned_bytes(df) <= max_bytes
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint behind a proven size bound; otherwise the plain side."""
-    return F.broadcast(df) if fits_broadcast(df, max_rows) else df
+def broadcast_if_small(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """Broadcast hint behind a size bound; otherwise the plain side."""
+    return F.broadcast(df) if fits_broadcast(df, max_bytes) else df
 
 
 def lookup_join(facts: DataFrame, dim: DataFrame, on, how: str = "inner",
-                max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """Equi join of facts to a dimension (current version of every key)."""
-    return facts.join(broadcast_if_small(dim, max_broadcast_rows), on, how)
+    return facts.join(broadcast_if_small(dim, max_broadcast_bytes), on, how)
 
 
 def asof_lookup(facts: DataFrame, versions: DataFrame, *, key: str, fact_time: str,
@@ -41,7 +41,8 @@ def asof_lookup(facts: DataFrame, versions: DataFrame, *, key: str, fact_time: s
                 bucket_seconds: int = 86_400) -> DataFrame:
     """Point-in-time lookup: each fact row gets the latest version of its key
     with ``valid_from <= fact_time`` (ties on ``valid_from`` broken by the
-    largest ``order_tiebreak``). Facts without such a version get nulls.
+    largest ``order_tiebreak``). Facts without such a version get nulls, and so
+    do facts without a key or time; versions without one never hold.
 
     No pair of rows within a key is ever formed. Facts and versions are merged
     in time order inside (key, time bucket) partitions, so a hot key is spread
@@ -52,6 +53,7 @@ def asof_lookup(facts: DataFrame, versions: DataFrame, *, key: str, fact_time: s
     to_bucket = lambda c: F.floor(F.unix_micros(F.col(c).cast("timestamp")) /
                                   F.lit(bucket_seconds * 1_000_000))
 
+    versions = versions.where(F.col(key).isNotNull() & F.col(valid_from).isNotNull())
     v = versions.select(
         F.col(key).alias("_k"), to_bucket(valid_from).alias("_b"),
         F.col(valid_from).cast("timestamp").alias("_t"), F.lit(0).alias("_tag"),

@@ -48,7 +48,10 @@ def prior_max(df: DataFrame, key: str, order: str, value: str, bucket_width: int
     carry = per_bucket.withColumn("_carry", F.max("_bmax").over(earlier)).drop("_bmax")
     inside = Window.partitionBy(key, "_b").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     y = x.withColumn("_in", F.max(value).over(inside))
-    return (y.join(carry, [key, "_b"], "left")
+    # A null key is a key of its own, in the windows and here.
+    carry = carry.select(F.col(key).alias("_key"), F.col("_b").alias("_bucket"), "_carry")
+    same = [y[key].eqNullSafe(carry["_key"]), y["_b"].eqNullSafe(carry["_bucket"])]
+    return (y.join(carry, same, "left").drop("_key", "_bucket")
             .withColumn(out, F.greatest(F.col("_in"), F.col("_carry")))
             .drop("_b", "_in", "_carry"))
 

@@ -11,7 +11,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.operators.joins import broadcast_if_small
 from tessera.functions.text import raw_tokens
+from tessera.operators.joins import broadcast_if_small
 
 # ---- fixed values (must equal the reference dictionary) -------------------
 # SQL reserved keywords, in their published order; lower-cased on use.
@@ -112,9 +114,9 @@ def tokenize(df: DataFrame, text_col: str, keep: list[str] | None = None) -> Dat
 
 
 def keyword_filter(tokens_df: DataFrame, dictionary: DataFrame) -> DataFrame:
-    """Tokens that are dictionary words (G2). The dictionary is the fixed
-    keyword list or another bounded table, hence the broadcast."""
-    return tokens_df.join(F.broadcast(dictionary.select("word")), "word", "left_semi")
+    """Tokens that are dictionary words (G2). A dictionary whose planned size is
+    small (the fixed keyword list) is broadcast, a learned one joins by shuffle."""
+    return tokens_df.join(broadcast_if_small(dictionary.select("word")), "word", "left_semi")
 
 
 def keyword_frequency(docs: DataFrame, text_col: str, dictionary: DataFrame) -> DataFrame:

@@ -3,7 +3,8 @@
 Each function takes DataFrames and returns a DataFrame; nothing is collected.
 Money (two decimals) is summed as whole cents in ``bigint``: exact and
 order-free like a ``decimal(18,2)`` sum, but without the wide-decimal
-arithmetic a decimal sum falls into. Cents leave the engine as
+arithmetic a decimal sum falls into. A value with more decimals fails the
+query instead of being rounded. Cents leave the engine as
 ``cents / 100.0``, the double nearest to the exact decimal.
 """
 
@@ -12,11 +13,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.operators.joins import DEFAULT_BROADCAST_ROWS, lookup_join
+from tessera.operators.joins import DEFAULT_BROADCAST_BYTES, lookup_join
 
-def cents(c: str | Column) -> Column:
-    """Amount with two decimals -> whole cents (half up), as bigint."""
-    return F.round((F.col(c) if isinstance(c, str) else c) * 100).cast("bigint")
+def cents(c: str | Column, decimals: int = 2) -> Column:
+    """Amount with so many decimals -> whole units of the last one, as bigint.
+    Raises on a value that has more decimals (beyond a double's own error)."""
+    x = (F.col(c) if isinstance(c, str) else c).cast("double") * 10 ** decimals
+    whole = F.round(x)
+    exact = F.abs(x - whole) <= F.greatest(F.lit(1e-6), F.abs(x) * 1e-14)
+    return F.when(x.isNull() | exact, whole.cast("bigint")).otherwise(
+        F.raise_error(F.lit(f"amount with more than {decimals} decimals")).cast("bigint"))
 
 
 def from_cents(c: str | Column) -> Column:
@@ -48,7 +54,7 @@ def rollup_by_b(t: DataFrame) -> DataFrame:
 
 def flagship_lookup_rollup(facts: DataFrame, dim: DataFrame, *, a: str, b: str, c: str,
                            d: str, dim_key: str, dim_attr: str, min_attr: float,
-                           max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                           max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """Aggregate, look up the dimension, filter on it, aggregate again.
 
     The dimension filter is applied to the dimension before the join (Catalyst
@@ -58,7 +64,7 @@ def flagship_lookup_rollup(facts: DataFrame, dim: DataFrame, *, a: str, b: str,
     t = group_sum_two_keys(facts, a, b, c, d)
     lookup = (dim.where(F.col(dim_attr) > F.lit(min_attr))
               .select(F.col(dim_key).alias("_id")))
-    x = lookup_join(t, lookup, t["a"] == lookup["_id"], max_broadcast_rows=max_broadcast_rows)
+    x = lookup_join(t, lookup, t["a"] == lookup["_id"], max_broadcast_bytes=max_broadcast_bytes)
     return rollup_by_b(x.select("a", "b", "c", "d"))
 
 
@@ -79,6 +85,7 @@ def epoch_to_timestamp(ms_col: str, fmt: str = "yyyy-MM-dd HH:mm:ss") -> Column:
     return F.to_timestamp(F.from_unixtime(F.expr(f"`{ms_col}` div 1000"), fmt), fmt)
 
 
-def rebalance(df: DataFrame, n: int) -> DataFrame:
-    """Set the parallelism of a source and spread rows round robin."""
-    return df.repartition(n)
+def rebalance(df: DataFrame, n: int | None = None) -> DataFrame:
+    """Spread a source's rows evenly: into partitions of the advisory size, or
+    into ``n`` partitions when the caller sets the parallelism."""
+    return df.repartition(n) if n else df.hint("rebalance")

@@ -30,9 +30,9 @@ class StatementSet:
     def add_insert_sql(self, statement: str) -> "StatementSet":
         body = statement.strip().rstrip(";")
         if ";" in body:
-            raise ValueError("Only single statement is supported.")
+            raise ValueError("give one insert at a time")
         if not _INSERT.match(body):
-            raise ValueError("Only insert statement is supported now.")
+            raise ValueError("a statement set takes inserts, not " + body.split(None, 1)[0])
         self._ops.append(("sql", body))
         return self
 

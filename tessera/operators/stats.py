@@ -79,8 +79,11 @@ def column_stats(df: DataFrame, group_cols: list[str] | None = None,
     long = (wide.selectExpr(*[sql_ident(g) for g in group_cols], "row_count", stack)
             .withColumn("nulls", F.col("row_count") - F.col("non_nulls")))
     if exact_distinct:
-        long = long.drop("ndv").join(exact_ndv(df, group_cols, _stat_names(body)),
-                                     [*group_cols, "column_name"], "left")
+        ndv = exact_ndv(df, group_cols, _stat_names(body))
+        keys = [*group_cols, "column_name"]
+        ndv = ndv.select("ndv", *[F.col(sql_ident(k)).alias(f"_{i}") for i, k in enumerate(keys)])
+        same = [F.col(sql_ident(k)).eqNullSafe(F.col(f"_{i}")) for i, k in enumerate(keys)]
+        long = long.drop("ndv").join(ndv, same, "left")
         long = long.withColumn("ndv", F.coalesce(F.col("ndv"), F.lit(0)).cast("bigint"))
     return long.select(*group_cols, "column_name", "row_count", "nulls", "ndv", "min_num",
                        "max_num", "min_str", "max_str", "avg_len", "max_len")
@@ -111,9 +114,14 @@ def partition_stats(df: DataFrame, part_cols: list[str]) -> DataFrame:
     return df.groupBy(*part_cols).agg(F.count(F.lit(1)).alias("row_count"))
 
 
+#: Spark's folder name of a null partition value.
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+
+
 def spec_text(part_cols: list[str]) -> Column:
     """'k1=v1/k2=v2' in partition-key order (the path form of a spec)."""
-    return F.concat_ws("/", *[F.concat(F.lit(f"{c}="), F.col(c).cast("string")) for c in part_cols])
+    return F.concat_ws("/", *[F.concat(F.lit(f"{c}="), F.coalesce(F.col(c).cast("string"), F.lit(NULL_PARTITION)))
+                              for c in part_cols])
 
 
 def list_partitions(df: DataFrame, part_cols: list[str]) -> DataFrame:
@@ -137,9 +145,11 @@ def partitions_by_partial_spec(parts: DataFrame, part_cols: list[str],
 def partitions_exist(parts: DataFrame, wanted: DataFrame, part_cols: list[str]) -> DataFrame:
     """wanted specs + ``exists`` (E7): a left join to the present specs, with
     the present side reduced to distinct specs first."""
-    present = parts.select(*part_cols).distinct().withColumn("exists", F.lit(True))
-    return (wanted.join(present, part_cols, "left")
-            .withColumn("exists", F.coalesce(F.col("exists"), F.lit(False))))
+    present = parts.select(*[F.col(c).alias(f"_{c}") for c in part_cols]).distinct().withColumn(
+        "exists", F.lit(True))
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in part_cols]
+    return wanted.join(present, same, "left").select(
+        *wanted.columns, F.coalesce(F.col("exists"), F.lit(False)).alias("exists"))
 
 
 def spec_check(specs: DataFrame, spec_col: str, part_cols: list[str]) -> DataFrame:

@@ -62,7 +62,9 @@ with j as (select p_partkey, p_size,
     json_object('tags', json_array(p_brand, p_type), 'attrs', json_object('size', p_size),
                 'info', json_object('name', p_name, 'price', p_retailprice)) :: varchar as raw
   from part),
-d as (select p_partkey, case when p_size > 45 then substr(raw, 1, length(raw) - 1) else raw end as raw
+d as (select p_partkey, case when p_size > 45 then substr(raw, 1, length(raw) - 1)
+    when p_size = 1 then raw || ',"x":2' when p_size = 2 then raw || ',"v":{"tags":["a","b"]}'
+    when p_size = 3 then 'null' when p_size = 4 then raw || '}' else raw end as raw
   from j)
 select p_partkey,
        case when json_valid(raw) then json_extract_string(raw, '$.tags[1]') end as second_tag,
@@ -70,7 +72,7 @@ select p_partkey,
        case when json_valid(raw) then json_extract_string(raw, '$.info.name') end as name,
        case when json_valid(raw) then cast(cast(json_extract(raw, '$.info.price') as double)
             as decimal(12,2)) end as price,
-       not json_valid(raw) as bad
+       not json_valid(raw) or raw = 'null' as bad
 from d""")
 def nested_json_conformance(spark, sf_dir):
     p = table(spark, sf_dir, "part")
@@ -79,8 +81,13 @@ def nested_json_conformance(spark, sf_dir):
         F.create_map(F.lit("size"), F.col("p_size")).alias("attrs"),
         F.struct(F.col("p_name").alias("name"), F.col("p_retailprice").alias("price")).alias("info")))
     j = p.select("p_partkey", "p_size", raw.alias("_raw"))
-    j = j.select("p_partkey", F.when(F.col("p_size") > 45, F.expr("substr(_raw, 1, length(_raw) - 1)"))
-                 .otherwise(F.col("_raw")).alias("raw"))
+    # Cut texts, texts with more behind their value, and a bare null do not conform.
+    after = {1: ',"x":2', 2: ',"v":{"tags":["a","b"]}', 4: "}"}
+    broken = F.when(F.col("p_size") > 45, F.expr("substr(_raw, 1, length(_raw) - 1)")).when(
+        F.col("p_size") == 3, "null")
+    for size, text in after.items():
+        broken = broken.when(F.col("p_size") == size, F.concat("_raw", F.lit(text)))
+    j = j.select("p_partkey", broken.otherwise(F.col("_raw")).alias("raw"))
     c = TY.conform_json(j, "raw", PART_TREE)
     v = F.col("value")
     return c.select("p_partkey", F.element_at(v["tags"], 2).alias("second_tag"),

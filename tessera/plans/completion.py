@@ -1,7 +1,8 @@
 """Completion queries.
 
-Large form: dictionary = tokens of ``documents`` seen 5 times or more, inputs
-= distinct tokens of ``conversations`` with 4 letters or more, top 5.
+Large form: dictionary = all tokens of ``documents``, inputs = all distinct
+tokens of ``conversations``; the ranked answer keeps ``TOP_K`` words per input
+(the ranking step's ``k``). Every other step is registered without a limit.
 Keyword form: the last typed token of every conversation turn completed
 against the keyword dictionary learned from ``documents``, full ranked list.
 """
@@ -18,18 +19,17 @@ from tessera.plans.registry import query
 from tessera.session import cut_lineage
 from tessera.sources.tables import spread, table, text_table
 
+#: ``k`` of the ranking step: how many completions of an input are reported.
 TOP_K = 5
-MIN_DICT_COUNT = 5
-MIN_INPUT_LEN = 4
 
 
 def learned_dictionary(spark, sf_dir):
-    return kw.token_counts(text_table(spark, sf_dir, "documents", ["text"]), "text", min_count=MIN_DICT_COUNT)
+    return kw.token_counts(text_table(spark, sf_dir, "documents", ["text"]), "text")
 
 
 def conversation_inputs(spark, sf_dir):
     toks = kw.tokenize(text_table(spark, sf_dir, "conversations", ["text"]), "text")
-    return C.prepare_inputs(toks.where(F.length("word") >= MIN_INPUT_LEN), "word")
+    return C.prepare_inputs(toks, "word")
 
 
 LARGE_BASE = f"{S.LEARNED_DICT_CTES},\n{S.CONV_INPUT_CTES}"
@@ -58,8 +58,9 @@ def complete_words(spark, sf_dir):
 @query("matches_both_ways", S.completion_sql(LARGE_BASE, "learned_dict", TOP_K, both=True))
 def matches_both_ways(spark, sf_dir):
     inputs, d = _materialized(spark, sf_dir)
-    r = C.complete_words(inputs, d, k=TOP_K)
-    return C.matches_both_ways(r, d).withColumn("rank", F.col("rank").cast("bigint"))
+    t = C.completion_tables(d, TOP_K)
+    r = C.complete_words(inputs, d, k=TOP_K, tables=t)
+    return C.matches_both_ways(r, d, tables=t).withColumn("rank", F.col("rank").cast("bigint"))
 
 
 KEYWORD_BASE = (f"{S.COMPLETION_DICT_CTES},\n{S.LAST_TOKEN_CTE},\n"

@@ -47,13 +47,12 @@ COMPLETION_DICT_CTES = ",\n".join([
 
 LEARNED_DICT_CTES = ",\n".join([
     tokens_cte("doc_tokens", "documents", "text"),
-    "learned_dict as (select word, count(*) as cou from doc_tokens group by word "
-    "having count(*) >= 5)",
+    "learned_dict as (select word, count(*) as cou from doc_tokens group by word)",
 ])
 
 CONV_INPUT_CTES = ",\n".join([
     tokens_cte("conv_tokens", "conversations", "text"),
-    "inputs as (select distinct word as q from conv_tokens where length(word) >= 4)",
+    "inputs as (select distinct word as q from conv_tokens)",
 ])
 
 LAST_TOKEN_CTE = (

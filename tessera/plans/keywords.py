@@ -40,7 +40,7 @@ def merge_dictionaries(spark, sf_dir):
 
 @query("learned_dictionary", f"with {S.LEARNED_DICT_CTES}\nselect word, cou from learned_dict")
 def learned_dictionary(spark, sf_dir):
-    return kw.token_counts(text_table(spark, sf_dir, "documents", ["text"]), "text", min_count=5)
+    return kw.token_counts(text_table(spark, sf_dir, "documents", ["text"]), "text")
 
 
 @query("last_token", f"with {S.LAST_TOKEN_CTE}\nselect conv_id, turn, token from last_tokens")

@@ -184,4 +184,4 @@ def rebalance_source(spark, sf_dir):
     # The requested parallelism follows the cluster (a fixed small number would
     # funnel a large table through a few tasks).
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
-    return rel.rebalance(o, spark.sparkContext.defaultParallelism)
+    return rel.rebalance(o)

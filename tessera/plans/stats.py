@@ -20,7 +20,18 @@ LINEITEM_COLS = [
 ]
 
 
-def _col_stats_sql(cols, group: list[str]) -> str:
+# Partition queries run over lineitem with a null partition: line status unknown for returns.
+PART_SQL = """(select * replace (case when l_returnflag = 'R' then null else l_linestatus end as l_linestatus)
+  from lineitem)"""
+_NULL_TEXT = st.NULL_PARTITION
+
+
+def partitioned(spark, sf_dir):
+    return table(spark, sf_dir, "lineitem").withColumn(
+        "l_linestatus", F.when(F.col("l_returnflag") == "R", F.lit(None)).otherwise(F.col("l_linestatus")))
+
+
+def _col_stats_sql(cols, group: list[str], source: str = "lineitem") -> str:
     g_sel = "".join(f"{g}, " for g in group)
     g_by = f" group by {', '.join(group)}" if group else ""
     parts = []
@@ -38,7 +49,7 @@ def _col_stats_sql(cols, group: list[str]) -> str:
             f"{'cast(null as varchar)' if num else f'cast(max({c}) as varchar)'} as max_str, "
             f"{f'avg(length({c}))' if s else 'cast(null as double)'} as avg_len, "
             f"{f'cast(max(length({c})) as bigint)' if s else 'cast(null as bigint)'} as max_len "
-            f"from lineitem{g_by}")
+            f"from {source}{g_by}")
     return "\nunion all ".join(parts)
 
 
@@ -61,48 +72,49 @@ def column_stats(spark, sf_dir):
     return st.column_stats(table(spark, sf_dir, "lineitem"), exact_distinct=True)
 
 
-@query("partition_stats", """
-select l_returnflag, l_linestatus, count(*) as row_count from lineitem
+@query("partition_stats", f"""
+select l_returnflag, l_linestatus, count(*) as row_count from {PART_SQL}
 group by l_returnflag, l_linestatus""")
 def partition_stats(spark, sf_dir):
-    return st.partition_stats(table(spark, sf_dir, "lineitem"), PART_COLS)
+    return st.partition_stats(partitioned(spark, sf_dir), PART_COLS)
 
 
-@query("partition_column_stats", _col_stats_sql(LINEITEM_COLS, PART_COLS))
+@query("partition_column_stats", _col_stats_sql(LINEITEM_COLS, PART_COLS, PART_SQL))
 def partition_column_stats(spark, sf_dir):
-    return st.column_stats(table(spark, sf_dir, "lineitem"), PART_COLS, exact_distinct=True)
+    return st.column_stats(partitioned(spark, sf_dir), PART_COLS, exact_distinct=True)
 
 
-@query("list_partitions", """
-select distinct l_returnflag, l_linestatus,
-       'l_returnflag=' || l_returnflag || '/l_linestatus=' || l_linestatus as spec
-from lineitem""")
+@query("list_partitions", f"""
+select distinct l_returnflag, l_linestatus, 'l_returnflag=' || coalesce(l_returnflag, '{_NULL_TEXT}')
+       || '/l_linestatus=' || coalesce(l_linestatus, '{_NULL_TEXT}') as spec
+from {PART_SQL}""")
 def list_partitions(spark, sf_dir):
-    return st.list_partitions(table(spark, sf_dir, "lineitem"), PART_COLS)
+    return st.list_partitions(partitioned(spark, sf_dir), PART_COLS)
 
 
-@query("partitions_by_partial_spec", """
+@query("partitions_by_partial_spec", f"""
 select distinct l_returnflag, l_linestatus,
        'l_returnflag=' || l_returnflag || '/l_linestatus=' || l_linestatus as spec
-from lineitem where l_linestatus = 'O'""")
+from {PART_SQL} where l_linestatus = 'O'""")
 def partitions_by_partial_spec(spark, sf_dir):
-    parts = st.list_partitions(table(spark, sf_dir, "lineitem"), PART_COLS)
+    parts = st.list_partitions(partitioned(spark, sf_dir), PART_COLS)
     return st.partitions_by_partial_spec(parts, PART_COLS, {"l_linestatus": "O"})
 
 
-@query("partition_exists", """
-with present as (select distinct l_returnflag, l_linestatus from lineitem),
-wanted as (select distinct l_returnflag, o_orderstatus as l_linestatus
+@query("partition_exists", f"""
+with present as (select distinct l_returnflag, l_linestatus from {PART_SQL}),
+wanted as (select distinct l_returnflag, case when o_orderstatus <> 'P' then o_orderstatus end as l_linestatus
            from lineitem join orders on l_orderkey = o_orderkey)
 select w.l_returnflag, w.l_linestatus, p.l_returnflag is not null as exists
 from wanted w left join present p
-  on w.l_returnflag = p.l_returnflag and w.l_linestatus = p.l_linestatus""")
+  on w.l_returnflag is not distinct from p.l_returnflag
+ and w.l_linestatus is not distinct from p.l_linestatus""")
 def partition_exists(spark, sf_dir):
     # Wanted specs come from the data: every (return flag, order status) pair
-    # seen on an order, asked of lineitem's (return flag, line status) partitions.
-    li = table(spark, sf_dir, "lineitem")
-    o = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"),
-                                              F.col("o_orderstatus").alias("l_linestatus"))
+    # seen on an order (pending: null), asked of the (return flag, line status) partitions.
+    li = partitioned(spark, sf_dir)
+    status = F.when(F.col("o_orderstatus") != "P", F.col("o_orderstatus"))
+    o = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), status.alias("l_linestatus"))
     wanted = li.select("l_orderkey", "l_returnflag").join(o, "l_orderkey").select(
         "l_returnflag", "l_linestatus").distinct()
     parts = st.list_partitions(li, PART_COLS)

@@ -56,10 +56,7 @@ def build_session(master: str = "local[8]", app: str = "tessera",
 def apply_semantics(spark: SparkSession) -> None:
     """Pin the settings results depend on (safe to call on any session)."""
     for k, v in SEMANTIC_CONF.items():
-        try:
-            spark.conf.set(k, v)
-        except Exception:  # pragma: no cover - read-only conf on some deployments
-            pass
+        spark.conf.set(k, v)
 
 
 _SCRATCH_ROOT: str | None = None
@@ -76,24 +73,27 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and intermediate tables.
 
     On a cluster this is whatever ``spark.checkpoint.dir`` names (a shared
-    file system). Only when it is unset -- local tests -- a folder of our own is
-    set, so that the same code path runs everywhere.
+    file system). Only a local master may leave it unset; then a folder of our
+    own is set. A cluster without one raises: its executors would each write to
+    a disk of their own.
     """
-    try:
-        sc = spark.sparkContext
-    except Exception:  # pragma: no cover - sessions without a driver-side context
-        return spark.conf.get("spark.checkpoint.dir", None) or os.path.join(
-            _local_scratch_root(), "checkpoints")
+    sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     d = sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
+        if not _is_local(sc.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         d = os.path.join(_local_scratch_root(), "checkpoints")
     sc.setCheckpointDir(d)
     return sc.getCheckpointDir()
 
 
+def _is_local(master: str) -> bool:
+    return master == "local" or master.startswith("local[")
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path below the shared checkpoint folder."""
     base = checkpoint_dir(spark).rstrip("/")

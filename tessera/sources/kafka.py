@@ -8,6 +8,7 @@ counterpart (reported, not silently dropped).
 from __future__ import annotations
 
 import json
+import warnings
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,8 +38,13 @@ def kafka_options(table_options: dict[str, str]) -> tuple[dict[str, str], dict[s
             mode = {"earliest-offset": "earliest", "latest-offset": "latest"}.get(v)
             if mode:
                 spark_opts["startingOffsets"] = mode
-            elif v not in ("specific-offsets", "timestamp", "group-offsets"):
-                raise ValueError(f"unknown startup mode {v!r}")
+            elif v == "specific-offsets" and "scan.startup.specific-offsets" not in table_options:
+                raise ValueError("startup mode specific-offsets without its offsets")
+            elif v == "timestamp" and "scan.startup.timestamp-millis" not in table_options:
+                raise ValueError("startup mode timestamp without its milliseconds")
+            elif v not in ("specific-offsets", "timestamp"):
+                # group-offsets too: Spark keeps offsets in its checkpoint, not in the group.
+                raise ValueError(f"startup mode {v!r} has no counterpart")
         elif k == "scan.startup.specific-offsets":
             spark_opts["startingOffsets"] = json.dumps(
                 _specific_offsets(v, table_options.get("topic", "")))
@@ -55,6 +61,8 @@ def kafka_options(table_options: dict[str, str]) -> tuple[dict[str, str], dict[s
 
 def _specific_offsets(text: str, topic: str) -> dict:
     """'partition:0,offset:42;partition:1,offset:300' -> {topic: {"0": 42, "1": 300}}."""
+    if not topic or ";" in topic:
+        raise ValueError(f"specific offsets need exactly one topic, not {topic!r}")
     out: dict[str, int] = {}
     for part in filter(None, text.split(";")):
         kv = dict(p.split(":", 1) for p in part.split(","))
@@ -79,6 +87,9 @@ def decode_kafka_rows(df: DataFrame, table_options: dict[str, str], schema: str)
     prefix = rows.get("key.fields-prefix", "")
     mode = "PERMISSIVE" if rows.get("json.ignore-parse-errors", "false") == "true" else "FAILFAST"
     value_fmt = rows.get("value.format", rows.get("format"))
+    for option, fmt in (("value format", value_fmt), ("key format", rows.get("key.format", "json"))):
+        if fmt != "json":
+            raise ValueError(f"{option} {fmt!r} is not supported")
     except_key = rows.get("value.fields-include", "ALL").upper() == "EXCEPT_KEY"
     value_fields = [f for f in st.fields if not (except_key and f.name in key_fields)]
     cols = []
@@ -90,9 +101,8 @@ def decode_kafka_rows(df: DataFrame, table_options: dict[str, str], schema: str)
         k = F.from_json(F.col("key").cast("string"), kst, {"mode": mode})
         cols += [k[f.name[len(prefix):] if f.name.startswith(prefix) else f.name].alias(f.name)
                  for f in st.fields if f.name in key_fields]
-    if value_fmt == "json":
-        v = F.from_json(F.col("value").cast("string"), T.StructType(value_fields), {"mode": mode})
-        cols += [v[f.name].alias(f.name) for f in value_fields if f.name not in from_key]
+    v = F.from_json(F.col("value").cast("string"), T.StructType(value_fields), {"mode": mode})
+    cols += [v[f.name].alias(f.name) for f in value_fields if f.name not in from_key]
     return df.select(*cols)
 
 
@@ -101,7 +111,9 @@ def kafka_source(spark: SparkSession, table_options: dict[str, str], value_schem
     """Streaming DataFrame of a declared Kafka table (needs the Kafka package on
     the cluster). Records are decoded with ``decode_kafka_rows``; a
     parallelism request maps to ``minPartitions``."""
-    opts, _, _ = kafka_options(table_options)
+    opts, _, ignored = kafka_options(table_options)
+    if ignored:
+        warnings.warn(f"options without a counterpart: {', '.join(sorted(ignored))}", stacklevel=2)
     r = spark.readStream.format("kafka").options(**opts)
     if min_partitions:
         r = r.option("minPartitions", str(min_partitions))

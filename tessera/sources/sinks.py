@@ -40,6 +40,7 @@ def create_partitioned_table(spark: SparkSession, name: str, df: DataFrame, part
 def replace_partitions(df: DataFrame, table_name: str) -> None:
     """Overwrite exactly the partitions present in ``df`` (dynamic mode);
     every other partition is left as it is (E9 replace)."""
+    # ``insertInto`` takes no write option for this, so the setting is put back after it.
     spark = df.sparkSession
     prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
@@ -50,8 +51,13 @@ def replace_partitions(df: DataFrame, table_name: str) -> None:
 
 
 def drop_partition(spark: SparkSession, table_name: str, spec: dict[str, str]) -> None:
-    """Remove one partition of a catalog table (E9 drop)."""
+    """Remove one partition of a catalog table (E9 drop). The spec names every
+    partition column and no other; a partition that is not there raises."""
+    keys = {c.name for c in spark.catalog.listColumns(table_name) if c.isPartition}
+    if set(spec) != keys:
+        raise ValueError(f"partition spec {sorted(spec)} of {table_name} must name {sorted(keys)}")
+
     def literal(v) -> str:
         return "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
     parts = ", ".join(f"`{k}` = {literal(v)}" for k, v in spec.items())
-    spark.sql(f"ALTER TABLE {table_name} DROP IF EXISTS PARTITION ({parts})")
+    spark.sql(f"ALTER TABLE {table_name} DROP PARTITION ({parts})")

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tessera.operators.joins import planned_bytes
+
 TABLE_NAMES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
     "events", "documents", "embeddings", "pages", "benchmark", "labels",
@@ -25,18 +27,18 @@ def register_views(spark: SparkSession, sf_dir: str, names=TABLE_NAMES) -> None:
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Fan a scan out to the cluster's parallelism when it has fewer splits.
+    """Fan a scan out to the cluster's parallelism when it is too small to have
+    as many splits.
 
-    A file written as one row group scans in one task; per-row work on it
-    (tokenizing, exploding) would then run on one core. Large inputs already
-    have more splits than cores and are returned unchanged (no shuffle).
+    A small file scans in one task; per-row work on it (tokenizing, exploding)
+    would then run on one core. Inputs of at least one split of
+    ``spark.sql.files.maxPartitionBytes`` for each core, by the plan's
+    statistics, are returned unchanged (no shuffle). Runs no job.
     """
-    try:
-        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        current = df.rdd.getNumPartitions()
-    except Exception:  # pragma: no cover - no driver-side context: leave as is
-        return df
-    return df.repartition(target) if current < target else df
+    spark = df.sparkSession
+    target = min_partitions or spark.sparkContext.defaultParallelism
+    split = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    return df.repartition(target) if planned_bytes(df) < target * split else df
 
 
 def text_table(spark: SparkSession, sf_dir: str, name: str, cols: list[str]) -> DataFrame:

@@ -2,7 +2,8 @@ from pyspark.sql import functions as F
 
 from tessera.functions import types as TY
 from tessera.operators import catalog as CAT
-from tessera.sources.metadata import fixture_metadata, metadata_scan
+from tessera.sources.metadata import metadata_scan
+from tests.fixtures import fixture_metadata
 
 
 def test_simple_type_resolution(spark):
@@ -107,6 +108,22 @@ def test_register_declared_tables(spark):
     assert len(row.tags) == 2 and len(row.map_map_nested) == 2 and len(row.ins) == 12
 
 
+def test_unbounded_generated_table_is_a_stream(spark):
+    res = {r.table_name: r for r in CAT.register_declared_tables(spark, fixture_metadata(spark)).collect()}
+    assert res["datagen_sou"].status == "registered as stream" and spark.table("datagen_sou").isStreaming
+
+
+def test_text_after_the_value_does_not_conform(spark):
+    tree = '{"type":"STRUCT","field":[{"type":"BIGINT","name":"a"}]}'
+    raws = ['{"a":1}', '{"a":1},"x":2', '{"a":1},"v":{"a":5}', "null", '{"a":1}}', '{"a":1}]', ' {"a":2} ', None, ""]
+    df = spark.createDataFrame(list(enumerate(raws)), "i int, raw string")
+    rows = {r.i: r for r in TY.conform_json(df, "raw", tree).collect()}
+    assert [i for i in rows if not rows[i].value_bad] == [0, 6] and rows[6].value.a == 2
+    listed = TY.conform_json(spark.createDataFrame([("[1,2]",), ("[1],[2]",)], "raw string"), "raw",
+                             '{"type":"ARRAY","next":{"type":"BIGINT"}}').collect()
+    assert [r.value for r in listed] == [[1, 2], None]
+
+
 def test_overlay_copies_computed_columns_without_watermark(spark):
     base = spark.createDataFrame([(1646027324,)], "event_time bigint")
     ov = CAT.Overlay(computed={"secs": "event_time div 1000"})

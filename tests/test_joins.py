@@ -24,6 +24,17 @@ def test_asof_lookup_matches_brute_force(spark):
 
 
 def test_broadcast_if_small_keeps_large_side_plain(spark):
-    small, large = spark.range(5), spark.range(50)
-    assert broadcast_if_small(large, 10) is large
-    assert broadcast_if_small(small, 10) is not small
+    small, large = spark.range(5), spark.range(50)  # 8 bytes a row
+    assert broadcast_if_small(large, 100) is large
+    assert broadcast_if_small(small, 100) is not small
+
+
+def test_asof_lookup_without_keys_or_times(spark):
+    t = dt.datetime(2024, 1, 1)
+    versions = spark.createDataFrame([(1, None, 1, "never"), (None, t, 2, "no key"), (1, t, 3, "v")],
+                                     "k int, valid_from timestamp_ntz, vid int, payload string")
+    facts = spark.createDataFrame([(1, 1, None), (2, None, t), (3, 1, t)], "fid int, k int, t timestamp_ntz")
+    got = {r.fid: r.payload for r in asof_lookup(
+        facts, versions, key="k", fact_time="t", valid_from="valid_from", order_tiebreak="vid",
+        payload=["payload"]).collect()}
+    assert got == {1: None, 2: None, 3: "v"}

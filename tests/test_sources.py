@@ -25,6 +25,14 @@ def test_kafka_option_map():
     assert s["startingOffsets"] == '{"t": {"0": 42, "1": 300}}'
 
 
+@pytest.mark.parametrize("options", [
+    {"topic": "t", "scan.startup.mode": "group-offsets"}, {"topic": "t", "scan.startup.mode": "timestamp"},
+    {"topic": "a;b", "scan.startup.specific-offsets": "partition:0,offset:1"}])
+def test_kafka_options_that_cannot_be_kept_raise(options):
+    with pytest.raises(ValueError):
+        K.kafka_options(options)
+
+
 def test_json_bad_rows_split_and_failfast(spark):
     df = spark.createDataFrame([(1, '{"k": 1}'), (2, '{"k": 2')], "id int, p string")
     good, bad = J.split_bad_rows(J.parse_json(df, "p", "k bigint"))
@@ -101,6 +109,8 @@ def test_decode_kafka_rows_key_and_value(spark):
     assert lenient.first().id is None
     with pytest.raises(Exception):
         K.decode_kafka_rows(bad, {"format": "json"}, "id bigint").collect()
+    with pytest.raises(ValueError, match="avro"):
+        K.decode_kafka_rows(recs, {"format": "avro"}, "id bigint")
 
 
 def test_generator_options_for_declared_columns(spark):
@@ -121,6 +131,10 @@ def test_partition_replace_and_drop_with_quoted_values(spark):
     sinks.create_partitioned_table(spark, name, df, ["k"], scratch_path(spark, name))
     sinks.replace_partitions(spark.createDataFrame([(9, "plain")], "v int, k string"), name)
     sinks.drop_partition(spark, name, {"k": "it's"})
+    with pytest.raises(ValueError):
+        sinks.drop_partition(spark, name, {"v": "9"})
+    with pytest.raises(Exception):
+        sinks.drop_partition(spark, name, {"k": "it's"})
     assert sorted(tuple(r) for r in spark.table(name).collect()) == [(9, "plain")]
 
 

@@ -1,8 +1,10 @@
+import pytest
 from pyspark.sql import functions as F
 
 from tessera.operators import keys as K
 from tessera.operators import stats as st
 from tessera.operators.joins import fits_broadcast
+from tessera.operators.relational import cents
 
 
 def test_spec_check_and_partition_ops(spark):
@@ -48,7 +50,30 @@ def test_prior_max_matches_plain_window(spark):
 
 
 def test_fits_broadcast_bound(spark):
-    assert fits_broadcast(spark.range(10), 10) and not fits_broadcast(spark.range(11), 10)
+    assert fits_broadcast(spark.range(10), 80) and not fits_broadcast(spark.range(11), 80)
+
+
+def test_null_partition(spark):
+    df = spark.createDataFrame([("a", 1), (None, 2), (None, 3)], "k string, v int")
+    assert {r.k: r.ndv for r in st.column_stats(df, ["k"], exact_distinct=True).collect()} == {"a": 1, None: 2}
+    parts = st.list_partitions(df, ["k"])
+    assert {r.spec for r in parts.collect()} == {"k=a", "k=__HIVE_DEFAULT_PARTITION__"}
+    wanted = spark.createDataFrame([("a",), (None,), ("b",)], "k string")
+    assert {r.k: r.exists for r in st.partitions_exist(parts, wanted, ["k"]).collect()} == {
+        "a": True, None: True, "b": False}
+
+
+def test_late_rows_of_a_null_key(spark):
+    df = spark.createDataFrame([(None, 0, 100), (None, 70_000, 50), (1, 1, 7)], "k int, arrival long, v long")
+    got = {r.arrival: r.prior_max for r in K.prior_max(df, "k", "arrival", "v", 1 << 16).collect()}
+    assert got == {0: None, 70_000: 100, 1: None}
+
+
+def test_amounts_with_more_decimals_raise(spark):
+    df = spark.createDataFrame([(1.25, None), (10.1, 2.0)], "a double, b double")
+    assert df.select(F.sum(cents("a")), F.sum(cents("b"))).first()[:] == (1135, 200)
+    with pytest.raises(Exception, match="more than 2 decimals"):
+        df.select(cents(F.col("a") / 100)).collect()
 
 
 def test_column_stats_odd_names(spark):
