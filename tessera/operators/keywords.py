@@ -96,8 +96,9 @@ DICT_SCHEMA = "word string, cou bigint"
 
 
 def reserved_words(spark: SparkSession) -> DataFrame:
-    """(word) -- the keyword dictionary, one row per word."""
-    return spark.createDataFrame([(w,) for w in RESERVED_WORDS], "word string")
+    """(word) -- the keyword dictionary, one row per word. Made from a literal, so
+    that the plan knows its size."""
+    return spark.range(1).select(F.explode(F.lit(list(RESERVED_WORDS))).alias("word"))
 
 
 def fixed_counts(spark: SparkSession, words, cou: int = 1) -> DataFrame:
