@@ -4,22 +4,27 @@ A document's set holds the distinct 5-word shingles of its whole text. Documents
 link when ``100 * intersection >= 80 * union``; a component's id is its smallest
 doc_id. Copies (equal sets) are one class from the start and join once.
 
-1. *Forest.* Any two linked sets share a token among the first
-   ``n - ceil(0.8 n) + 1`` of each, in one order of all tokens (tokens of many
-   documents last). So each token is the root of a tree over the classes that
-   hold it among those first tokens, and no other trees are needed. How common a
-   token is comes from a lossy count over all texts; the order decides only how
-   large the trees get, never what is found.
-2. *Near copies.* Every class is compared with the smallest class of its trees.
-   Those that link take its label, so a tree over thousands of near copies
+1. *Forest.* Any two linked sets share tokens among the first
+   ``n - ceil(0.8 n) + 1`` of each (their prefixes), in one order of all tokens
+   (tokens of many documents last). So each token is the root of a tree over the
+   classes that hold it in their prefix and have a size near to each other, and
+   no other trees are needed. Tokens with the same classes are one tree, with a
+   weight. How common a token is comes from a lossy count over all texts; the
+   order decides only how large the trees get, never what is found.
+2. *Near copies.* Every class is compared with one class it shares most trees
+   with. Those that link get one label, so a tree over thousands of near copies
    has one label and needs no further work.
 3. *Trees with two labels or more.* Members are split by size band and, in
    large trees, into blocks whose pairs are separate tasks. The members of a
    task are the leaves of a signature tree: a node holds the OR of its members'
-   token bitmaps and their range of sizes. Two nodes are descended into only if
-   their sizes, labels and the largest overlap that their bitmaps allow leave
-   room for a link. What is left at the leaves is verified.
-4. *Verification* counts the exact intersection of the two sets.
+   bitmaps (of the prefix tokens they share with others) and their range of
+   sizes. Sets of sizes x, y that link share at least
+   ``ceil(0.8 (x + y) / 1.8) - ceil(0.8 max(x, y)) + 1`` prefix tokens. Two nodes
+   are descended into only if their sizes, their labels and the largest overlap
+   that their bitmaps allow leave room for that.
+4. *Verification* counts the exact intersection of the two sets: first of a few
+   pairs for each label, then of all pairs whose ends are still in different
+   groups.
 
 Null or wordless texts have an empty set and link with nothing. Repeated rows
 are copies. A row without a doc_id makes no links of its own; it gets the
@@ -31,9 +36,8 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.common import small, text_slices, written
@@ -46,10 +50,10 @@ THRESHOLD = 80  # of 100
 COUNT_BLOCK = 1 << 20
 COUNT_REPORTED = 4
 MIN_HEAVY = 32
-BITS_PER_TOKEN = 8
+BITS_PER_TOKEN = 4
 #: A larger tree is cut into blocks of about so many members, or tokens in all.
 BLOCK_MEMBERS = 2048
-BLOCK_TOKENS = 1 << 24
+BLOCK_TOKENS = 1 << 25
 FANOUT = 8
 _U = np.uint64
 
@@ -156,54 +160,80 @@ def postings(docs: DataFrame, heavy: tuple[np.ndarray, np.ndarray], k: int, thre
                                 "prefix array<bigint>")
 
 
-def trees(posted: DataFrame) -> DataFrame:
-    """Roots with two classes or more: (tree, class_id, n, first), first being the
-    smallest class. Tokens that the same classes share are one tree."""
+def trees(posted: DataFrame, threshold: int) -> DataFrame:
+    """(tree, class_id, n, first, n_first, prev, n_prev, weight): the trees with
+    two classes or more. ``first`` is the tree's smallest class and ``prev`` the
+    one before; the weight is the number of tokens with the same classes."""
     rows = (posted.where(F.col("prefix").isNotNull())
             .select(F.explode("prefix").alias("token"), "class_id", "n")
             .repartition("token").sortWithinPartitions("token", "n", "class_id"))
+    names = ["tree", "class_id", "n", "first", "n_first", "prev", "n_prev", "weight"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        given = set()
+        held: dict[int, list] = {}  # tree -> [weight, classes, sizes]
+        size = 0
         rest = [np.zeros(0, np.int64)] * 3
 
-        def grown(token, cls, n):
-            """Whole runs of one token -> rows of trees not given yet."""
-            new = np.ones(len(token), bool)  # copies in several tasks
+        def flush():
+            parts = []
+            for key, (weight, cls, n) in held.items():
+                m = len(cls)
+                prev = np.append(0, np.arange(m - 1))
+                parts.append((np.full(m, key), cls, n, np.full(m, cls[0]), np.full(m, n[0]), cls[prev], n[prev],
+                              np.full(m, weight)))
+            cols = [np.concatenate(c) for c in zip(*parts, strict=True)] if parts else [np.zeros(0, np.int64)] * 8
+            held.clear()
+            return pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in cols], names)
+
+        def grow(token, cls, n):
+            """Whole runs of a token -> trees, cut where sizes are too far apart."""
+            new = np.ones(len(token), bool)  # copies from several tasks
             new[1:] = (token[1:] != token[:-1]) | (cls[1:] != cls[:-1])
             token, cls, n = token[new], cls[new], n[new]
-            starts = np.flatnonzero(np.append(True, token[1:] != token[:-1])) if len(token) else np.zeros(0, np.int64)
+            cut = np.ones(len(token), bool)
+            cut[1:] = (token[1:] != token[:-1]) | (100 * n[:-1] < threshold * n[1:])
+            starts = np.flatnonzero(cut)
             sizes = np.diff(np.append(starts, len(token)))
-            mixed = mix(_signed(cls).view(np.uint64))
-            sums = np.add.reduceat(mixed, starts) if len(starts) else mixed
-            out = []
-            for s, size, key in zip(starts[sizes > 1], sizes[sizes > 1], sums[sizes > 1], strict=True):
-                if int(key) in given:
-                    continue
-                if len(given) >= 1_000_000:
-                    given.clear()
-                given.add(int(key))
-                out.append((np.full(size, key).view(np.int64), cls[s:s + size], n[s:s + size],
-                            np.full(size, cls[s])))
-            cols = [np.concatenate(c) for c in zip(*out, strict=True)] if out else [np.zeros(0, np.int64)] * 4
-            return pa.RecordBatch.from_arrays([pa.array(c) for c in cols], ["tree", "class_id", "n", "first"])
+            sums = np.add.reduceat(mix(cls.view(np.uint64)), starts) if len(starts) else np.zeros(0, np.uint64)
+            for at, m, key in zip(starts[sizes > 1], sizes[sizes > 1], sums[sizes > 1].view(np.int64), strict=True):
+                own = held.setdefault(int(key), [0, cls[at:at + m], n[at:at + m]])
+                own[0] += 1
+                yield int(m) if own[0] == 1 else 0
 
         for batch in batches:
             cols = [np.concatenate([r, batch.column(i).to_numpy(zero_copy_only=False)])
                     for i, r in enumerate(rest)]
             last = int(np.searchsorted(cols[0], cols[0][-1])) if len(cols[0]) else 0
             rest = [c[last:] for c in cols]
-            if last:
-                yield grown(*(c[:last] for c in cols))
-        yield grown(*rest)
+            size += sum(grow(*(c[:last] for c in cols))) if last else 0
+            if size > 1 << 20:
+                yield flush()
+                size = 0
+        sum(grow(*rest))
+        yield flush()
+
+    grown = rows.mapInArrow(run, ", ".join(f"{c} bigint" for c in names))
+    return grown.groupBy("tree", "class_id").agg(
+        *[F.max(c).alias(c) for c in names[2:-1]], F.sum("weight").alias("weight"))
 
-    grown = rows.mapInArrow(run, "tree bigint, class_id bigint, n bigint, first bigint")
-    return grown.dropDuplicates(["tree", "class_id"])
+
+def near_pairs(grown: DataFrame, threshold: int) -> DataFrame:
+    """(a, b): for each class the one, of its trees' first and previous classes,
+    with which it was seen to share most tokens, if those are a twentieth of its
+    set (near copies share far more of their prefixes, unrelated sets less)."""
+    seen = F.array_distinct(F.array(F.struct(F.col("first").alias("b"), F.col("n_first").alias("m")),
+                                    F.struct(F.col("prev").alias("b"), F.col("n_prev").alias("m"))))
+    votes = (grown.select("class_id", "n", "weight", F.explode(seen).alias("o")).where("class_id <> o.b")
+             .groupBy("class_id", "n", F.col("o.b").alias("b"), F.col("o.m").alias("m")).agg(F.sum("weight").alias("votes")))
+    sized = 100 * F.least("n", "m") >= threshold * F.greatest("n", "m")
+    return (votes.where(sized & (20 * F.col("votes") >= F.col("n")))
+            .groupBy(F.col("class_id").alias("a")).agg(F.max(F.struct("votes", "b")).alias("to"))
+            .select("a", F.col("to.b").alias("b")))
 
 
 def class_sets(docs: DataFrame, needed: DataFrame, k: int) -> DataFrame:
     """(class_id, n, tokens binary) of the classes in ``needed`` (doc_id, class_id):
-    the text of one document of each is hashed again."""
+    the text of one document of each is hashed again. Repeated rows repeat."""
     rows = docs.join(small(needed), "doc_id").select("text", "class_id", "class_check")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -219,14 +249,14 @@ def class_sets(docs: DataFrame, needed: DataFrame, k: int) -> DataFrame:
                 [pa.array(ids, pa.int64()), pa.array(n, pa.int64()), pa.array(blobs, pa.binary())],
                 ["class_id", "n", "tokens"])
 
-    return rows.mapInArrow(run, "class_id bigint, n bigint, tokens binary").dropDuplicates(["class_id"])
+    return rows.mapInArrow(run, "class_id bigint, n bigint, tokens binary")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
     """The pairs (a, b) of classes whose sets meet the threshold, counted exactly."""
     left = sets.select(F.col("class_id").alias("a"), F.col("tokens").alias("x"))
     right = sets.select(F.col("class_id").alias("b"), F.col("tokens").alias("y"))
-    rows = pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y")
+    rows = left.join(small(pairs), "a").join(right, "b").select("a", "b", "x", "y")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -238,7 +268,16 @@ def verified(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
                 keep.append(100 * common >= threshold * (len(x) + len(y) - common))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return rows.mapInArrow(run, "a bigint, b bigint")
+    return rows.mapInArrow(run, "a bigint, b bigint").distinct()
+
+
+def linked(docs: DataFrame, classes: DataFrame, pairs: DataFrame, k: int, threshold: int) -> DataFrame:
+    """The pairs (a, b) of classes that meet the threshold."""
+    pairs = written(pairs, "pairs")
+    asked = pairs.select(F.explode(F.array("a", "b")).alias("class_id")).distinct()
+    needed = written(classes.join(asked, "class_id").select(
+        F.col("pick.doc_id").alias("doc_id"), "class_id", F.col("pick.class_check").alias("class_check")), "needed")
+    return verified(pairs, written(class_sets(docs, needed, k), "sets"), threshold)
 
 
 def bitmap(tokens: np.ndarray, words: int) -> np.ndarray:
@@ -249,9 +288,9 @@ def bitmap(tokens: np.ndarray, words: int) -> np.ndarray:
     return out
 
 
-def bitmap_words(band: int) -> int:
-    """Width of the bitmaps of the sets of one size band (n below 1.25 ** (band + 1))."""
-    return max(1, int(np.ceil(1.25 ** (band + 1) * BITS_PER_TOKEN / 64)))
+def bitmap_words(band: int, threshold: int) -> int:
+    """Width of the bitmaps of one size band: by the longest prefix in it."""
+    return max(1, prefix_length(int(1.25 ** (band + 1)) + 1, threshold) * BITS_PER_TOKEN // 64)
 
 
 class SignatureTree:
@@ -284,8 +323,9 @@ class SignatureTree:
             p, q = i[a:a + step], j[a:a + step]
             common = np.bitwise_count(b1[p] & b2[q]).sum(axis=1, dtype=np.int64)
             most = common + np.minimum(s1[p], s2[q])
-            # 100 c >= t (|x| + |y| - c)  <=>  (100 + t) c >= t (|x| + |y|)
-            fits[a:a + step] = (100 + threshold) * most >= threshold * (lo1[p] + lo2[q])
+            overlap = -(-threshold * (lo1[p] + lo2[q]) // (100 + threshold))
+            need = overlap + threshold * np.maximum(hi1[p], hi2[q]) // -100 + 1
+            fits[a:a + step] = most >= np.maximum(need, 1)
         keep[np.flatnonzero(keep)[~fits]] = False
         return keep
 
@@ -323,73 +363,133 @@ def _paired(a: tuple, b: tuple) -> tuple[np.ndarray, np.ndarray]:
     return fa[owner] + within // nb[owner], fb[owner] + within % nb[owner]
 
 
-def tree_pairs(members: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
+def signatures(grown: DataFrame, threshold: int) -> DataFrame:
+    """(class_id, at, band, bits, spare): each class's shared prefix tokens as a
+    bitmap of its own size band's width and of the next one's."""
+    own = grown.groupBy("class_id").agg(F.max("n").alias("n"), F.collect_list(F.struct("tree", "weight")).alias("t"))
+    rows = own.select("class_id", F.floor(F.log("n") / F.log(F.lit(1.25)) + F.lit(1e-9)).cast("int").alias("band"),
+                      F.col("t.tree").alias("trees"), F.col("t.weight").alias("weights"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: list[tuple] = []
+            for i in range(batch.num_rows):
+                cls, band = batch.column(0)[i].as_py(), batch.column(1)[i].as_py()
+                tree = batch.column(2)[i].values.to_numpy().view(np.uint64)
+                weight = batch.column(3)[i].values.to_numpy()
+                nth = np.arange(int(weight.sum())) - np.repeat(np.cumsum(weight) - weight, weight)
+                tokens = np.repeat(tree, weight) + nth.astype(np.uint64) * _U(0x9E3779B97F4A7C15)
+                for at in (band, band + 1):
+                    bits = bitmap(tokens, bitmap_words(at, threshold))
+                    out.append((cls, at, band, bits.tobytes(), len(tokens) - int(np.bitwise_count(bits).sum(dtype=np.int64))))
+            cols = list(zip(*out, strict=True)) or [()] * 5
+            kinds = (pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(cols, kinds, strict=True)],
+                                             ["class_id", "at", "band", "bits", "spare"])
+
+    return rows.mapInArrow(run, "class_id bigint, at int, band int, bits binary, spare bigint")
+
+
+def tree_pairs(members: DataFrame, signed: DataFrame, threshold: int) -> DataFrame:
     """Candidate pairs (a, b) of classes with different labels from trees
     (tree, class_id, n, label) with two labels or more."""
-    band = F.floor(F.log(F.col("n")) / F.log(F.lit(1.25)) + F.lit(1e-9)).cast("int")
     sizes = members.groupBy("tree").agg(
         F.ceil(F.greatest(F.count("*") / BLOCK_MEMBERS, F.sum("n") / BLOCK_TOKENS)).cast("int").alias("blocks"),
         F.min("label").alias("lo"), F.max("label").alias("hi"))
     mixed = (members.join(sizes.where("lo <> hi").select("tree", "blocks"), "tree")
-             .withColumn("band", band)
              .withColumn("block", F.pmod(F.xxhash64("class_id"), F.col("blocks")).cast("int")))
-    # A link joins sizes of one band or of neighbours. Task (tree, band, i, j) gets
-    # blocks i <= j of its band and of the one below.
-    tasks = (mixed.select("*", F.explode(F.array(F.col("band"), F.col("band") + 1)).alias("at"))
-             .select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-             .select("tree", "at", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
-                     "block", "band", "class_id", "label"))
-    rows = tasks.join(sets.select("class_id", "tokens"), "class_id")
-
-    # Bitmaps of the task's width are made where the sets are, and travel instead of them.
-    def bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    # A link joins sizes of one band or of neighbours: task (tree, at, i, j) gets blocks
+    # i <= j of band ``at`` and of the one below.
+    rows = (mixed.join(signed, "class_id")
+            .select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+            .select("tree", "at", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
+                    "block", "band", "class_id", "n", "label", "bits", "spare"))
+    names = ["tree", "at", "i", "j", "block", "band", "class_id", "n", "label"]
+
+    def tasks(part: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Pairs from whole tasks, rows sorted by task, label, n."""
+        tree, at, i, j, block, band, cls, n, label, spare = (
+            part.column(c).to_numpy().astype(np.int64) for c in (*names[:9], "spare"))
+        blobs = part.column("bits").combine_chunks()
+        blobs = blobs.chunk(0) if isinstance(blobs, pa.ChunkedArray) else blobs
+        offsets = np.frombuffer(blobs.buffers()[1], np.int32)[blobs.offset:blobs.offset + len(blobs) + 1]
+        data = np.frombuffer(blobs.buffers()[2], np.uint8)
+        new = np.ones(len(tree), bool)
+        for c in (tree, at, i, j):
+            new[1:] &= c[1:] == c[:-1]
+        new[1:] = ~new[1:]
+        starts = np.append(np.flatnonzero(new), len(tree))
+        for s, e in zip(starts[:-1], starts[1:], strict=True):
+            if label[s] == label[e - 1]:  # sorted: one label
+                continue
+            here, left = band[s:e] == at[s], block[s:e] == i[s]
+            if not here.any():
+                continue
+            bits = data[offsets[s]:offsets[e]].view(np.uint64).reshape(e - s, -1)
+
+            def tree_of(rows: np.ndarray) -> tuple[np.ndarray, SignatureTree] | None:
+                own = np.flatnonzero(rows)
+                return (own, SignatureTree(bits[own], n[s:e][own], label[s:e][own], spare[s:e][own])) if len(own) else None
+
+            near = tree_of(here & left)
+            if i[s] == j[s]:
+                sides = [(near, near), (near, tree_of(~here))]
+            else:
+                other = tree_of(here & ~left)
+                sides = [(near, other), (near, tree_of(~here & ~left)), (other, tree_of(~here & left))]
+            for x, y in sides:
+                if x and y:
+                    p, q = x[1].join(y[1], threshold)
+                    yield cls[s:e][x[0][p]], cls[s:e][y[0][q]]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest: pa.Table | None = None
+
+        def found(part: pa.Table) -> pa.RecordBatch:
+            pairs = list(tasks(part)) if part.num_rows else []
+            a, b = (np.concatenate(x) for x in zip(*pairs, strict=True)) if pairs else (np.zeros(0, np.int64),) * 2
+            both = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
+            return pa.RecordBatch.from_arrays([pa.array(both[0]), pa.array(both[1])], ["a", "b"])
+
         for batch in batches:
-            at = batch.column(1).to_pylist()
-            blobs, spare = [], []
-            for i in range(batch.num_rows):
-                tokens = np.frombuffer(batch.column(8)[i].as_buffer(), np.uint64)
-                own = bitmap(tokens, bitmap_words(at[i]))
-                blobs.append(own.tobytes())
-                spare.append(len(tokens) - int(np.bitwise_count(own).sum(dtype=np.int64)))
-            yield pa.RecordBatch.from_arrays(
-                [*[batch.column(c) for c in range(8)], pa.array(blobs, pa.binary()), pa.array(spare, pa.int64())],
-                ["tree", "at", "i", "j", "block", "band", "class_id", "label", "bits", "spare"])
-
-    wide = rows.select("tree", "at", "i", "j", "block", "band", "class_id", "label", "tokens").mapInArrow(
-        bits, "tree bigint, at int, i int, j int, block int, band int, class_id bigint, label bigint, "
-              "bits binary, spare bigint")
-
-    def join(group: pd.DataFrame) -> pd.DataFrame:
-        at, i, j = group["at"].iloc[0], group["i"].iloc[0], group["j"].iloc[0]
-        group = group.sort_values(["label", "class_id"], kind="stable")
-        found = []
-
-        def tree(part: pd.DataFrame) -> SignatureTree | None:
-            if part.empty:
-                return None
-            b = np.stack([np.frombuffer(x, np.uint64) for x in part["bits"]])
-            s = part["spare"].to_numpy(np.int64)
-            n = np.bitwise_count(b).sum(axis=1, dtype=np.int64) + s
-            return SignatureTree(b, n, part["label"].to_numpy(np.int64), s)
-
-        def add(left: pd.DataFrame, right: pd.DataFrame, same: bool) -> None:
-            x = tree(left)
-            y = x if same else tree(right)
-            if x is not None and y is not None:
-                p, q = x.join(y, threshold)
-                found.append((left["class_id"].to_numpy()[p], right["class_id"].to_numpy()[q]))
-
-        here, below = group[group["band"] == at], group[group["band"] == at - 1]
-        pick = lambda g, block: g[g["block"] == block]
-        add(pick(here, i), pick(here, j), i == j)
-        add(pick(here, i), pick(below, j), False)
-        if i != j:
-            add(pick(here, j), pick(below, i), False)
-        a = np.concatenate([x for x, _ in found]) if found else np.zeros(0, np.int64)
-        b = np.concatenate([y for _, y in found]) if found else np.zeros(0, np.int64)
-        return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)}).drop_duplicates()
-
-    return wide.groupBy("tree", "at", "i", "j").applyInPandas(join, "a bigint, b bigint").distinct()
+            part = pa.Table.from_batches([batch])
+            part = part if rest is None else pa.concat_tables([rest, part])
+            if not part.num_rows:
+                continue
+            last = np.ones(part.num_rows, bool)
+            for c in names[:4]:
+                col = part.column(c).to_numpy()
+                last &= col == col[-1]
+            cut = part.num_rows - int(np.argmin(last[::-1])) if not last.all() else 0
+            rest = part.slice(cut)
+            if cut:
+                yield found(part.slice(0, cut))
+        if rest is not None:
+            yield found(rest)
+
+    return (rows.repartition(*names[:4]).sortWithinPartitions(*names[:4], "label", "n", "class_id")
+            .mapInArrow(run, "a bigint, b bigint").distinct())
+
+
+def likely(pairs: DataFrame) -> DataFrame:
+    """Of the pairs (a, b, la, lb) up to two for each label, with the label it has
+    most pairs with: near copies that missed their group's label find it here."""
+    both = pairs.select("a", "b", F.explode(F.array(
+        F.struct(F.col("la").alias("own"), F.col("lb").alias("other")),
+        F.struct(F.col("lb").alias("own"), F.col("la").alias("other")))).alias("l"))
+    pair = F.struct(F.xxhash64("a", "b").alias("h"), "a", "b")
+    sides = both.groupBy("l.own", "l.other").agg(
+        F.count("*").alias("n"), F.min(pair).alias("first"), F.max(pair).alias("last"))
+    best = sides.groupBy("own").agg(F.max(F.struct("n", "other", "first", "last")).alias("s"))
+    return best.select(F.explode(F.array("s.first", "s.last")).alias("p")).select("p.a", "p.b").distinct()
+
+
+def across(pairs: DataFrame, label: DataFrame) -> DataFrame:
+    """(a, b, la, lb): the pairs whose ends are not in one component (vertex, root) yet."""
+    one = label.select(F.col("vertex").alias("a"), F.col("root").alias("la"))
+    two = label.select(F.col("vertex").alias("b"), F.col("root").alias("lb"))
+    return (pairs.select("a", "b").join(one, "a", "left").join(two, "b", "left")
+            .select("a", "b", F.coalesce("la", "a").alias("la"), F.coalesce("lb", "b").alias("lb")).where("la <> lb"))
 
 
 def jaccard_groups(documents: DataFrame, k: int = SHINGLE_WORDS, threshold: int = THRESHOLD) -> DataFrame:
@@ -401,26 +501,22 @@ def jaccard_groups(documents: DataFrame, k: int = SHINGLE_WORDS, threshold: int
     first = F.min(F.when(F.col("prefix").isNotNull(), F.struct("doc_id", "class_check")))
     members = posted.where("n > 0 and doc_id is not null")
     classes = members.groupBy("class_id").agg(F.min("doc_id").alias("root_doc"), first.alias("pick"))
-    grown = written(trees(posted), "trees")
-    involved = grown.select("class_id").distinct()
-    needed = written(classes.join(involved, "class_id").select(
-        F.col("pick.doc_id").alias("doc_id"), "class_id", F.col("pick.class_check").alias("class_check")), "needed")
-    sets = written(class_sets(docs, needed, k), "sets")
-    # Near copies: each class against the smallest class of its trees.
-    order = F.struct("n_first", "first")
-    sized = grown.join(sets.select(F.col("class_id").alias("first"), F.col("n").alias("n_first")), "first")
-    near = (sized.where("class_id <> first").groupBy("class_id").agg(F.min(order).alias("to"))
-            .select(F.col("class_id").alias("a"), F.col("to.first").alias("b")))
-    close = written(verified(near, sets, threshold), "close")
-    # Two hops of the links just found are a good label; exactness does not rest on it.
-    hop = close.select(F.col("a").alias("b"), F.col("b").alias("c"))
-    label = close.join(hop, "b", "left").select(F.col("a").alias("class_id"), F.coalesce("c", "b").alias("label"))
-    labelled = written(grown.join(label, "class_id", "left").select(
-        "tree", "class_id", "n", F.coalesce("label", "class_id").alias("label")), "labelled")
-    more = verified(tree_pairs(labelled, sets, threshold), sets, threshold)
+    grown = written(trees(posted, threshold), "trees")
+    # Near copies get one label. Exactness does not rest on it.
+    close = written(linked(docs, classes, near_pairs(grown, threshold), k, threshold), "close")
+    label = components(close)
+    labelled = written(grown.join(label.withColumnRenamed("vertex", "class_id"), "class_id", "left").select(
+        "tree", "class_id", "n", F.coalesce("root", "class_id").alias("label")), "labelled")
+    signed = written(signatures(grown, threshold), "signatures")
+    # A few pairs for each label first: what they link need not be verified pair by pair.
+    pairs = written(across(written(tree_pairs(labelled, signed, threshold), "candidates"), label), "across")
+    some = written(likely(pairs), "likely")
+    links = written(close.union(linked(docs, classes, some, k, threshold)), "links")
+    rest = across(pairs.join(some, ["a", "b"], "left_anti"), components(links))
+    more = linked(docs, classes, rest.select("a", "b"), k, threshold)
     # Components of classes, then of documents: vertices are the classes' smallest doc ids.
     name = classes.select("class_id", "root_doc")
-    links = (close.union(more).join(name.select(F.col("class_id").alias("a"), F.col("root_doc").alias("x")), "a")
+    links = (links.union(more).join(name.select(F.col("class_id").alias("a"), F.col("root_doc").alias("x")), "a")
              .join(name.select(F.col("class_id").alias("b"), F.col("root_doc").alias("y")), "b")
              .select(F.col("x").alias("a"), F.col("y").alias("b")))
     roots = components(links)
