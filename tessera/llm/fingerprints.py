@@ -35,6 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -42,8 +43,8 @@ from tessera.llm.common import cluster_parallelism, written
 from tessera.llm.words import mix
 
 SLOTS = 128
-BANDS = 16
-BAND_SLOTS = 8
+BANDS = 8
+BAND_SLOTS = 6
 NEAR = 0.8
 #: Characters embedded at once.
 _CHUNK = 8 << 20
@@ -149,8 +150,9 @@ def edited(text: str, following: str) -> str:
 
 
 def dealt(documents: DataFrame, ranges: int) -> DataFrame:
-    """(range, copy, doc_id, tie, text): sorted by the first four, each row of a
-    range is followed by its next document; copies close a range."""
+    """(range, copy, doc_id, tie, packed): sorted by the first four, each row of a
+    range is followed by its next document; copies close a range. The texts
+    travel compressed."""
     rows = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"),
                             F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     shares = [i / ranges for i in range(1, ranges)]
@@ -179,24 +181,28 @@ def dealt(documents: DataFrame, ranges: int) -> DataFrame:
             of = np.searchsorted(cuts, ids, side="left")
             again = np.array([i for i, d in enumerate(ids.tolist()) if d in before], np.int64)
             take = pa.array(np.concatenate([np.arange(len(ids)), again]))
-            rest = batch.take(take)
+            texts = batch.column(1)
+            squeeze = zstandard.ZstdCompressor(level=1).compress
+            packed = pa.array([squeeze(texts[i].as_py().encode()) for i in range(len(texts))], pa.binary())
+            rest = pa.RecordBatch.from_arrays([batch.column(0), packed, batch.column(2)], ["doc_id", "packed", "tie"]).take(take)
             to = np.concatenate([of, np.array([before[int(ids[i])] for i in again], np.int64)])
             yield pa.RecordBatch.from_arrays(
                 [pa.array(to.astype(np.int64)), pa.array(np.arange(len(to)) >= len(ids)), *rest.columns],
-                ["range", "copy", "doc_id", "text", "tie"])
+                ["range", "copy", "doc_id", "packed", "tie"])
 
     return (rows.withColumn("tie", F.xxhash64("text"))
-            .mapInArrow(deal, "range bigint, copy boolean, doc_id bigint, text string, tie bigint")
+            .mapInArrow(deal, "range bigint, copy boolean, doc_id bigint, packed binary, tie bigint")
             .repartitionByRange("range").sortWithinPartitions("range", "copy", F.col("doc_id").asc_nulls_first(), "tie"))
 
 
 def fingerprint_rows(documents: DataFrame, ranges: int | None = None) -> DataFrame:
-    """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited,
-    near_next for every row."""
+    """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint (binary),
+    near_edited, near_next for every row."""
     rows = dealt(documents, ranges or cluster_parallelism(documents.sparkSession))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         walk = shared_walk()
+        unpack = zstandard.ZstdDecompressor().decompress
         held: list[tuple] = []  # the last row, until its next document is there
 
         def done(part: list[tuple]) -> pa.RecordBatch:
@@ -210,59 +216,65 @@ def fingerprint_rows(documents: DataFrame, ranges: int | None = None) -> DataFra
             return pa.RecordBatch.from_arrays([
                 pa.array([part[i][2] for i in at], pa.int64()),
                 pa.array([len(part[i][3]) for i in at], pa.int64()),
-                pa.array([hashlib.sha256(t.encode()).hexdigest() for t in changed], pa.string()),
-                pa.array([prints[i].tobytes().hex() for i in at], pa.string()),
-                pa.array([x.tobytes().hex() for x in others], pa.string()),
+                pa.array([hashlib.sha256(t.encode()).digest() for t in changed], pa.binary()),
+                pa.array([prints[i].tobytes() for i in at], pa.binary()),
+                pa.array([x.tobytes() for x in others], pa.binary()),
                 pa.array(same(prints[at], others), pa.float64()),
                 pa.array(same(prints[at], prints[at + 1]) if len(at) else np.zeros(0), pa.float64())],
                 ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"])
 
         for batch in batches:
-            part = held + list(zip(*[batch.column(i).to_pylist() for i in range(4)], strict=True))
+            texts = [unpack(x.as_buffer()).decode() for x in batch.column(3)]
+            part = held + list(zip(*[batch.column(i).to_pylist() for i in range(3)], texts, strict=True))
             held = part[-1:]
             if len(part) > 1:
                 yield done(part)
         # The last row of a partition closes a range: it is a copy.
 
-    return rows.select("range", "copy", "doc_id", "text").mapInArrow(
-        run, "doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, "
-             "edited_fingerprint string, near_edited double, near_next double")
+    return rows.select("range", "copy", "doc_id", "packed").mapInArrow(
+        run, "doc_id bigint, n_chars bigint, edited_sha256 binary, fingerprint binary, "
+             "edited_fingerprint binary, near_edited double, near_next double")
+
+
+def text_form(digest: Column) -> Column:
+    return F.lower(F.hex(digest))
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """Share of equal slots of two fingerprints (two hex digits a slot)."""
-    slots = F.sequence(F.lit(0), F.lit(SLOTS - 1))
-    same = F.filter(slots, lambda i: F.substring(a, 2 * i + 1, F.lit(2)) == F.substring(b, 2 * i + 1, F.lit(2)))
+    """Share of equal slots of two fingerprints."""
+    slots = F.sequence(F.lit(1), F.lit(SLOTS))
+    same = F.filter(slots, lambda i: F.substring(a, i, F.lit(1)) == F.substring(b, i, F.lit(1)))
     return F.size(same) / F.lit(SLOTS)
 
 
 def band_keys(fingerprint: Column, bands: int = BANDS, slots: int = BAND_SLOTS) -> Column:
-    """array<struct<band, key>>: each band joins randomly sampled slots."""
+    """array<long>: each band hashes its number and some randomly sampled slots."""
     picks = np.argsort(mix(np.arange(bands * SLOTS, dtype=np.uint64)).reshape(bands, SLOTS), axis=1)[:, :slots]
-    return F.array(*[F.struct(F.lit(band).alias("band"), F.xxhash64(F.concat(
-        *[F.substring(fingerprint, int(2 * s + 1), 2) for s in sorted(row)])).alias("key"))
-        for band, row in enumerate(picks)])
+    return F.array(*[F.xxhash64(F.lit(band), *[F.substring(fingerprint, int(s) + 1, 1) for s in sorted(row)])
+                     for band, row in enumerate(picks)])
 
 
 def near_documents(prints: DataFrame, bands: int = BANDS, slots: int = BAND_SLOTS, near: float = NEAR) -> DataFrame:
     """(doc_id, near_id): for documents with an earlier one of like fingerprint,
     the smallest such id among the first documents of its bands."""
-    one = prints.where("doc_id is not null").groupBy("fingerprint").agg(F.min("doc_id").alias("doc_id"))
-    keyed = one.select("doc_id", "fingerprint", F.explode(band_keys(F.col("fingerprint"), bands, slots)).alias("k")).select(
-        "doc_id", "fingerprint", "k.band", "k.key")
-    heads = keyed.groupBy("band", "key").agg(F.min(F.struct("doc_id", "fingerprint")).alias("head"), F.count("*").alias("n"))
-    pairs = (keyed.join(heads.where("n > 1").select("band", "key", F.col("head.doc_id").alias("near_id"),
-                                                    F.col("head.fingerprint").alias("other")), ["band", "key"])
-             .where("near_id < doc_id").select("doc_id", "fingerprint", "near_id", "other").distinct())
-    found = (pairs.where(likeness(F.col("fingerprint"), F.col("other")) >= near)
-             .groupBy("fingerprint").agg(F.min("near_id").alias("near_id")))
-    firsts = one.select("fingerprint", F.col("doc_id").alias("first"))
-    return (prints.select("doc_id", "fingerprint").join(firsts, "fingerprint").join(found, "fingerprint", "left")
-            .withColumn("near_id", F.coalesce("near_id", "first")).where("near_id < doc_id").select("doc_id", "near_id")
+    known = prints.where("doc_id is not null").select("doc_id", "fingerprint", F.xxhash64("fingerprint").alias("print"))
+    one = written(known.groupBy("print").agg(F.min("doc_id").alias("first"), F.any_value("fingerprint").alias("fingerprint")), "prints")
+    keyed = one.select(F.col("first").alias("doc"), F.explode(band_keys(F.col("fingerprint"), bands, slots)).alias("key"))
+    heads = keyed.groupBy("key").agg(F.min("doc").alias("near_id"), F.count("*").alias("n")).where("n > 1")
+    pairs = keyed.join(heads.select("key", "near_id"), "key").where("near_id < doc").select("doc", "near_id").distinct()
+    mine = one.select(F.col("first").alias("doc"), F.col("fingerprint").alias("x"))
+    other = one.select(F.col("first").alias("near_id"), F.col("fingerprint").alias("y"))
+    found = (pairs.join(mine, "doc").join(other, "near_id").where(likeness(F.col("x"), F.col("y")) >= near)
+             .groupBy(F.col("doc").alias("first")).agg(F.min("near_id").alias("near_id")))
+    return (known.select("doc_id", "print").join(one.select("print", "first"), "print").join(found, "first", "left")
+            .select("doc_id", F.coalesce("near_id", "first").alias("near_id")).where("near_id < doc_id")
             .groupBy("doc_id").agg(F.min("near_id").alias("near_id")))
 
 
 def document_fingerprints(documents: DataFrame) -> DataFrame:
     """Contract of op4, with near_id."""
     prints = written(fingerprint_rows(documents), "fingerprints")
-    return prints.join(near_documents(prints), "doc_id", "left")
+    return prints.join(near_documents(prints), "doc_id", "left").select(
+        "doc_id", "n_chars", text_form(F.col("edited_sha256")).alias("edited_sha256"),
+        text_form(F.col("fingerprint")).alias("fingerprint"),
+        text_form(F.col("edited_fingerprint")).alias("edited_fingerprint"), "near_edited", "near_next", "near_id")
