@@ -14,9 +14,11 @@ two walks of like length sample the same steps. ``likeness`` is the share of
 equal slots.
 
 *Banding and verification.* Each band is a hash of ``BAND_SLOTS`` randomly chosen
-slots. A document is compared, by its whole fingerprint, with the first document
-of each of its bands; ``near_id`` is the smallest such id of likeness 0.8 or
-more. One representative a band: no pairs within a band are formed.
+slots. A document is compared, by its whole fingerprint, with the documents
+before it in each of its bands; ``near_id`` is the smallest id of likeness 0.8 or
+more among them. It is tried against the first document of the band, and only
+where that is unlike it against the others, in ascending order up to the first
+that is alike. A large band is cut into blocks whose pairs are tasks of their own.
 
 *Neighbours.* The contract's edited text needs the next document by doc_id. Ids
 are dealt by quantiles into ranges that are sorted apart; the first document of
@@ -32,6 +34,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -46,6 +49,8 @@ SLOTS = 128
 BANDS = 8
 BAND_SLOTS = 6
 NEAR = 0.8
+#: Fingerprints of a band compared in one task (with as many others).
+BLOCK = 2048
 #: Characters embedded at once.
 _CHUNK = 8 << 20
 #: Steps whose random numbers are kept ready.
@@ -254,18 +259,95 @@ def band_keys(fingerprint: Column, bands: int = BANDS, slots: int = BAND_SLOTS)
                      for band, row in enumerate(picks)])
 
 
-def near_documents(prints: DataFrame, bands: int = BANDS, slots: int = BAND_SLOTS, near: float = NEAR) -> DataFrame:
-    """(doc_id, near_id): for documents with an earlier one of like fingerprint,
-    the smallest such id among the first documents of its bands."""
+def _equal(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Number of equal slots of each row of ``x`` with each row of ``y``."""
+    if len(x) * len(y) <= 256:
+        return (x[:, None] == y[None]).sum(axis=2)
+    x, y = np.ascontiguousarray(x.T), np.ascontiguousarray(y.T)
+    out = np.zeros((x.shape[1], y.shape[1]), np.uint8)
+    for s in range(SLOTS):
+        out += x[s][:, None] == y[s]
+    return out
+
+
+def first_alike(asked: np.ndarray, limits: np.ndarray, ids: np.ndarray, prints: np.ndarray, near: float) -> np.ndarray:
+    """For each fingerprint of ``asked`` the smallest of ``ids`` (ascending, with
+    their ``prints``) below its limit and of likeness ``near``; else its limit."""
+    found, left, a, size = limits.copy(), np.arange(len(asked)), 0, 8
+    while a < len(ids):
+        left = left[found[left] > ids[a]]  # the smallest comes first: one hit is enough
+        if not len(left):
+            break
+        part = ids[a:a + size]
+        hit = (_equal(asked[left], prints[a:a + size]) >= near * SLOTS) & (part < found[left][:, None])
+        at = hit.argmax(axis=1)
+        got = hit[np.arange(len(left)), at]
+        found[left[got]] = part[at[got]]
+        a, size = a + size, min(2 * size, 256)
+    return found
+
+
+def _compared(rows: DataFrame, near: float) -> DataFrame:
+    """(doc, near_id) from rows (key, i, j, asks, doc, upto, fingerprint): within each
+    (key, i, j) the rows that ask against those that do not."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []  # the last group, until another one follows
+        for batch in chain(batches, [None]):
+            if batch is not None:
+                part = [np.stack([batch.column(i).to_numpy() for i in range(3)], axis=1),
+                        batch.column(3).to_numpy(zero_copy_only=False), *[batch.column(i).to_numpy() for i in (4, 5)],
+                        np.frombuffer(b"".join(batch.column(6).to_pylist()), np.uint8).reshape(-1, SLOTS)]
+                held = [np.concatenate(x) for x in zip(held, part, strict=True)] if held else part
+            if not held:
+                continue
+            cuts = np.flatnonzero((held[0][1:] != held[0][:-1]).any(axis=1)) + 1
+            cuts = np.concatenate([[0], cuts, [len(held[0])] if batch is None else []]).astype(np.int64)
+            docs, near_ids = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+                _, asks, doc, upto, prints = [x[a:b] for x in held]
+                m = int(np.searchsorted(asks, True))  # those that ask come last
+                found = first_alike(prints[m:], upto[m:], doc[:m], prints[:m], near)
+                docs.append(doc[m:][found < upto[m:]])
+                near_ids.append(found[found < upto[m:]])
+            held = [x[cuts[-1]:] for x in held]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(docs)), pa.array(np.concatenate(near_ids))],
+                                             ["doc", "near_id"])
+
+    return (rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "asks", "doc")
+            .select("key", "i", "j", "asks", "doc", "upto", "fingerprint").mapInArrow(run, "doc bigint, near_id bigint"))
+
+
+def near_documents(prints: DataFrame, bands: int = BANDS, slots: int = BAND_SLOTS, near: float = NEAR,
+                   block: int = BLOCK) -> DataFrame:
+    """(doc_id, near_id): for documents with an earlier one of like fingerprint in
+    one of their bands, the smallest such id."""
     known = prints.where("doc_id is not null").select("doc_id", "fingerprint", F.xxhash64("fingerprint").alias("print"))
     one = written(known.groupBy("print").agg(F.min("doc_id").alias("first"), F.any_value("fingerprint").alias("fingerprint")), "prints")
     keyed = one.select(F.col("first").alias("doc"), F.explode(band_keys(F.col("fingerprint"), bands, slots)).alias("key"))
-    heads = keyed.groupBy("key").agg(F.min("doc").alias("near_id"), F.count("*").alias("n")).where("n > 1")
-    pairs = keyed.join(heads.select("key", "near_id"), "key").where("near_id < doc").select("doc", "near_id").distinct()
+    heads = keyed.groupBy("key").agg(F.min("doc").alias("head"), F.count("*").alias("n")).where("n > 1")
+    rest = written(keyed.join(heads, "key").where("head < doc"), "bands")
+    # First against each band's first document, which ends it for most.
     mine = one.select(F.col("first").alias("doc"), F.col("fingerprint").alias("x"))
-    other = one.select(F.col("first").alias("near_id"), F.col("fingerprint").alias("y"))
-    found = (pairs.join(mine, "doc").join(other, "near_id").where(likeness(F.col("x"), F.col("y")) >= near)
-             .groupBy(F.col("doc").alias("first")).agg(F.min("near_id").alias("near_id")))
+    other = one.select(F.col("first").alias("head"), F.col("fingerprint").alias("y"))
+    tried = written(rest.select("doc", "head").distinct().join(mine, "doc").join(other, "head")
+                    .select("doc", "head", (likeness(F.col("x"), F.col("y")) >= near).alias("alike")), "heads")
+    linked = tried.where("alike").groupBy("doc").agg(F.min("head").alias("near_id"))
+    # Those unlike it against the others of the band, as far as these may give a smaller id.
+    asking = written(rest.join(tried.where("not alike").select("doc", "head"), ["doc", "head"]).join(linked, "doc", "left")
+                     .withColumn("upto", F.coalesce("near_id", "doc")).where("n > 2 and head < upto")
+                     .select("key", "doc", "upto"), "asking")
+    blocks = (asking.groupBy("key").agg(F.ceil(F.count("*") / block).alias("ni"), F.max("upto").alias("most"))
+              .join(heads.select("key", F.ceil(F.col("n") / block).alias("nj")), "key"))
+    blocks = written(blocks, "blocks")
+    sides = (asking.join(blocks, "key").select("key", "ni", "nj", F.lit(True).alias("asks"), "doc", "upto")
+             .union(rest.join(blocks, "key").where("doc < most")
+                    .select("key", "ni", "nj", F.lit(False).alias("asks"), "doc", F.col("doc").alias("upto"))))
+    at, every = lambda n: F.pmod(F.xxhash64("doc"), F.col(n)), lambda n: F.sequence(F.lit(0).cast("bigint"), F.col(n) - 1)
+    rows = (sides.join(one.select(F.col("first").alias("doc"), "fingerprint"), "doc")
+            .withColumn("i", F.explode(F.when(F.col("asks"), F.array(at("ni"))).otherwise(every("ni"))))
+            .withColumn("j", F.explode(F.when(F.col("asks"), every("nj")).otherwise(F.array(at("nj"))))))
+    found = (linked.union(_compared(rows, near)).groupBy(F.col("doc").alias("first")).agg(F.min("near_id").alias("near_id")))
     return (known.select("doc_id", "print").join(one.select("print", "first"), "print").join(found, "first", "left")
             .select("doc_id", F.coalesce("near_id", "first").alias("near_id")).where("near_id < doc_id")
             .groupBy("doc_id").agg(F.min("near_id").alias("near_id")))

@@ -8,6 +8,7 @@ import zlib
 from collections import Counter
 
 import duckdb
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -167,6 +168,26 @@ def test_fingerprint_bands_find_copies(spark):
     assert out == {0: None, 1: None, 2: 0, 3: 1, 4: 0, 5: 1}
 
 
+@pytest.mark.parametrize("block", [2048, 5])
+def test_near_id_is_the_smallest_in_a_shared_band(spark, block):
+    rng = np.random.default_rng(block)
+    opening = np.argsort(fingerprints.mix(np.arange(fingerprints.SLOTS, dtype=np.uint64)))[:fingerprints.BAND_SLOTS]
+    bases = rng.integers(0, 256, (12, fingerprints.SLOTS), np.uint8)
+    prints = bases[rng.integers(0, len(bases), 90)]
+    for row in prints:  # copies up to 25% off, all with one opening
+        at = rng.choice(fingerprints.SLOTS, rng.integers(0, 33), replace=False)
+        row[at] = rng.integers(0, 256, len(at))
+    prints[:, opening] = 7
+    want = {}
+    for i in range(len(prints)):
+        alike = np.flatnonzero((prints[:i] == prints[i]).mean(axis=1) >= fingerprints.NEAR)
+        if len(alike):
+            want[i] = int(alike[0])
+    rows = spark.createDataFrame([(i, bytearray(p.tobytes())) for i, p in enumerate(prints)], "doc_id long, fingerprint binary")
+    assert len(set(want.values())) > 5
+    assert {r[0]: r[1] for r in fingerprints.near_documents(rows, block=block).collect()} == want
+
+
 def near_copies(seed):
     rng = random.Random(seed)
     rows = []
