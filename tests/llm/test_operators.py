@@ -183,11 +183,34 @@ def test_near_id_is_the_smallest_in_a_shared_band(spark, block):
         alike = np.flatnonzero((prints[:i] == prints[i]).mean(axis=1) >= fingerprints.NEAR)
         if len(alike):
             want[i] = int(alike[0])
-    rows = spark.createDataFrame([(i, bytearray(p.tobytes())) for i, p in enumerate(prints)], "doc_id long, fingerprint binary")
+    rows = spark.createDataFrame([(i, bytearray(p.tobytes()), fingerprints.SLOTS) for i, p in enumerate(prints)],
+                                 "doc_id long, fingerprint binary, filled int")
     assert len(set(want.values())) > 5
     assert {r[0]: r[1] for r in fingerprints.near_documents(rows, block=block).collect()} == want
 
 
+def test_short_texts_are_near_by_what_they_hold(spark):
+    rng = random.Random(9)
+    text = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(n))
+    rows = ["hello world", "QZXJVKB", "", None, "hello world", "(1)", "2 + 3 = 5"]
+    unlike = len(rows)
+    rows += [text(rng.randint(4, 90)) for _ in range(60)]
+    rows += [t[:-1] + "#" for t in rows[unlike:]]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    out = {r["doc_id"]: r for r in fingerprints.document_fingerprints(docs).collect()}
+    assert [out[i]["near_id"] for i in range(unlike)] == [None, None, None, 2, 0, None, None]
+    assert out[1]["near_next"] == 0 and out[2]["near_next"] == 1 and out[0]["near_next"] < 0.2
+    prints, filled = fingerprints.Walk().sampled([fingerprints.code_points(t or "") for t in rows])
+    want = {}
+    for i in range(unlike, len(rows)):
+        x, m = prints[[i] * i], filled[[i] * i]
+        alike = np.flatnonzero(fingerprints.row_likeness(x, m, prints[:i], filled[:i]) >= fingerprints.NEAR)
+        want[i] = int(alike[0]) if len(alike) else None
+    near = [i for i, d in want.items() if d is not None]
+    assert len(near) > 30 and sum(out[i]["near_id"] == want[i] for i in near) >= 0.9 * len(near)
+    assert all(out[i]["near_id"] is None for i in want if want[i] is None)
+
+
 def near_copies(seed):
     rng = random.Random(seed)
     rows = []
