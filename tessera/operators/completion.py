@@ -181,3 +181,18 @@ def matches_both_ways(ranked: DataFrame, dictionary: DataFrame,
     return (ranked.join(hits, ["q", "word"], "left")
             .select("q", "rank", "word", "cou",
                     (F.coalesce(F.col("_dirs"), F.lit(0)) == 2).alias("both")))
+
+
+def words_both_ways(arms: DataFrame, t: CompletionTables) -> DataFrame:
+    """(q, word, cou): every word that completes one of q's ``arms`` in the head
+    pass and one in the tail pass (G13), without a limit. Words and inputs meet on
+    (head prefix, tail prefix), so neither direction's candidate list is formed.
+    ``t`` must hold the whole index."""
+    side = lambda df, d, p: df.where(F.col("dir") == d).drop("dir").withColumnRenamed("p", p)
+    index = t.index.join(arms.select("dir", "p").distinct(), ["dir", "p"], "left_semi")
+    asked = side(arms, HEAD, "head").join(side(arms, TAIL, "tail"), "q")
+    # One pass over the index: a word's own prefixes that are arms, at most its length in each direction.
+    own = lambda d: F.collect_list(F.when(F.col("dir") == d, F.col("p")))
+    words = (index.groupBy("word", "cou").agg(own(HEAD).alias("head"), own(TAIL).alias("tail"))
+             .withColumn("head", F.explode("head")).withColumn("tail", F.explode("tail")))
+    return asked.join(words, ["head", "tail"]).select("q", "word", "cou").distinct()

@@ -2,7 +2,9 @@
 
 Large form: dictionary = all tokens of ``documents``, inputs = all distinct
 tokens of ``conversations``; the ranked answer keeps ``TOP_K`` words per input
-(the ranking step's ``k``). Every other step is registered without a limit.
+(the ranking step's ``k``); ``matches_both_ways`` marks those of them that both
+directions found. Every other step is registered without a limit, the words found
+by both directions too (``words_matched_both_ways``).
 Keyword form: the last typed token of every conversation turn completed
 against the keyword dictionary learned from ``documents``, full ranked list.
 """
@@ -125,3 +127,12 @@ def suffix_match(spark, sf_dir):
     arms, passes = C.relaxed_arms(_one_direction(spark, sf_dir, C.TAIL))
     return arms.join(passes, ["dir", "q"]).select("q", F.reverse("p").alias("suffix"),
                                                   F.col("pass").cast("bigint").alias("pass"))
+
+
+@query("words_matched_both_ways", _direction_sql(
+    "select distinct h.q, h.word, h.cou from h_cand h join t_cand t on t.q = h.q and t.word = h.word"))
+def words_matched_both_ways(spark, sf_dir):
+    inputs, d = _materialized(spark, sf_dir)
+    t = C.completion_tables(d)
+    arms, _ = C.relaxed_arms(C.longest_prefix_match(inputs, t))
+    return C.words_both_ways(cut_lineage(arms), t)

@@ -54,6 +54,20 @@ def test_top_k_equals_prefix_of_full_list(spark):
         assert top.get(q, []) == lst[:3], q
 
 
+def test_words_matched_both_ways_have_no_limit(spark):
+    counts = {f"sel{i}{c}ect": i + 1 for i in range(4) for c in "abc"} | {"selfish": 50, "object": 40, "x": 1}
+    inputs = ["sel-ect", "selfect", "obect", "x", "zzz"]
+    head, tail = Direction(counts, False), Direction(counts, True)
+    want = {(q, *found) for q in inputs for found in head.attempt(q)[0] & tail.attempt(q[::-1])[0]}
+    d = spark.createDataFrame(list(counts.items()), kw.DICT_SCHEMA)
+    t = C.completion_tables(d)
+    q = C.prepare_inputs(spark.createDataFrame([(w,) for w in inputs], "w string"), "w")
+    arms, _ = C.relaxed_arms(C.longest_prefix_match(q, t))
+    rows = [tuple(r) for r in C.words_both_ways(arms, t).collect()]
+    assert len(rows) == len(set(rows)) and set(rows) == want
+    assert sum(q == "sel-ect" for q, *_ in rows) == 12  # beyond a list of 5
+
+
 # Saved counts of the words that the documented outputs below name.
 # Words without one count less than these, so the order at the head is the same.
 SAVED_COUNTS = {
