@@ -18,7 +18,9 @@ all others clean.
 The model is fitted in one task to a bounded sample of labelled rows, at most
 ``sample_docs`` toxic and twice as many clean documents of up to
 ``max_train_chars`` characters. It is 2**FEATURE_BITS numbers, whatever the
-corpus size, and is broadcast to score every whole text.
+corpus size, and is broadcast to score every whole text. The calibration of its
+document scores weighs the two classes as they are among all labelled training
+documents, so that the score does not depend on how many of each the sample takes.
 
 Null and empty texts have the score of a text without evidence. With no toxic
 or no clean training row every score is 0. Ties and repeated rows score
@@ -232,8 +234,9 @@ def document_features(p: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return out
 
 
-def fit(texts: list[str], labels: list[int]) -> Model | None:
-    """Train on whole labelled texts; None when a class is missing."""
+def fit(texts: list[str], labels: list[int], totals: tuple[int, int] | None = None) -> Model | None:
+    """Train on whole labelled texts; None when a class is missing. ``totals``:
+    clean and toxic documents that the texts are a sample of."""
     seen = dict(zip(texts, labels, strict=True))  # equal texts count once
     split = [tokens_of(t) for t in seen]
     labels = list(seen.values())
@@ -279,11 +282,15 @@ def fit(texts: list[str], labels: list[int]) -> Model | None:
     model = Model(weights, np.exp(trans), np.exp(start), np.zeros(3))
     x = document_features(model.marginals(split), lengths)
     target = np.asarray(labels, float)
+    weight = np.ones(len(target))
+    if totals is not None:
+        share = np.array(totals, float) / sum(totals) * len(target) / np.bincount(labels, minlength=2)
+        weight = share[np.asarray(labels)]
     w = np.zeros(3)
     for _ in range(30):  # Newton steps of a ridge logistic regression
         q = 1.0 / (1.0 + np.exp(-np.clip(x @ w, -30, 30)))
-        hessian = (x * (q * (1 - q))[:, None]).T @ x + np.eye(3) * 0.1
-        w += np.linalg.solve(hessian, x.T @ (target - q) - 0.1 * w)
+        hessian = (x * (weight * q * (1 - q))[:, None]).T @ x + np.eye(3) * 0.1
+        w += np.linalg.solve(hessian, x.T @ (weight * (target - q)) - 0.1 * w)
     model.calibration = w
     return model
 
@@ -300,6 +307,10 @@ def train(documents: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOC
     # Ids first: only the sample's texts are moved.
     ids = texts.select("doc_id", "order").join(known, "doc_id").dropDuplicates(["doc_id"])
 
+    # Two rows: the whole table's labelled documents of each class.
+    counted = dict(known.join(documents.select("doc_id"), "doc_id", "left_semi").groupBy("toxic").count().collect())
+    totals = (counted.get(0, 0), counted.get(1, 0))
+
     def first(label: int, n: int) -> DataFrame:
         return ids.where(F.col("toxic") == label).orderBy("order", "doc_id").limit(n)
 
@@ -309,7 +320,7 @@ def train(documents: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOC
 
     def fit_all(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values(["doc_id", "text"], kind="stable")
-        model = fit(list(group["text"]), [int(t) for t in group["toxic"]])
+        model = fit(list(group["text"]), [int(t) for t in group["toxic"]], totals)
         if model is None:
             return pd.DataFrame({"feature": [], "weight": []})
         at = np.flatnonzero(np.abs(model.weights) > 1e-6)

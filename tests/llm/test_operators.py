@@ -118,6 +118,21 @@ def test_toxicity_on_held_out_documents(spark):
     assert hit.sum() / (out["toxic"] == 1).sum() > 0.85 and hit.sum() / (out["predicted"] == 1).sum() > 0.9
 
 
+def test_toxicity_prior_is_that_of_all_labels(spark):
+    rng = random.Random(12)
+    rows = []
+    for i in range(800):  # one in ten toxic, half of them without a sign of it
+        words = [rng.choice(["the", "of", "and", "ran", "home", "blue"]) + str(rng.randint(0, 99)) for _ in range(20)]
+        if i % 20 == 0:
+            words[rng.randrange(20)] = "scumbag"
+        rows.append((i, " ".join(words), int(i % 10 == 0)))
+    table = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    docs, labels = table.select("doc_id", "text"), table.select("doc_id", "toxic")
+    for sample in (1000, 40):  # 40 toxic of 80, 80 clean of 720
+        found = toxicity.tag(docs, toxicity.train(docs, labels, sample_docs=sample))
+        assert abs(found.agg(F.avg("score")).first()[0] - 0.1) < 0.035, sample
+
+
 @pytest.mark.parametrize("inline", [20_000, 0])
 def test_decontamination_takes_anything(spark, monkeypatch, inline):
     monkeypatch.setattr(decontamination, "MAX_INLINE", inline)
