@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tessera.llm import (
     chat,
+    clustering,
+    codes,
     decontamination,
     fingerprints,
     jaccard_join,
@@ -13,6 +15,7 @@ from tessera.llm import (
     licenses,
     mixing,
     token_counts,
+    topk,
     toxicity,
     url_filters,
 )
@@ -59,13 +62,28 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.language_id(table(spark, sf_dir, "documents"))
 
 
+def op11_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_inner_products(table(spark, sf_dir, "embeddings"))
+
+
+def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clustering.clusters(table(spark, sf_dir, "embeddings"))
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codes.vector_codes(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_toxicity, op2_decontamination, op3_url_filters, op4_fingerprints, op5_jaccard_join, op6_chat_formatting, op7_mixing,
-    op8_token_counts, op9_license_scan, op10_language_id)}
+    op8_token_counts, op9_license_scan, op10_language_id, op11_exact_top_k, op12_centroid_clustering, op13_vector_codes)}
 ORACLES = {
     "op2_decontamination": decontamination.ORACLE,
     "op3_url_filters": url_filters.ORACLE,
     "op6_chat_formatting": chat.ORACLE,
     "op7_mixing": mixing.ORACLE,
     "op9_license_scan": licenses.ORACLE,
+    "op11_exact_top_k": topk.ORACLE,
+    "op12_centroid_clustering": clustering.ORACLE,
+    "op13_vector_codes": codes.ORACLE,
 }
