@@ -1,19 +1,23 @@
 """Word and shingle hashes of whole texts, vectorised over Arrow buffers.
 
 Words are runs of bytes other than \\x20 and \\x09-\\x0D, with A-Z lower-cased.
-A word's hash is a polynomial over its bytes modulo 2**64 with a random value
-for each byte, then mixed; a shingle's hash combines the hashes of its words.
+A word's hash takes its length and then its bytes, eight at a time, through a
+64-bit finaliser; a word of more than ``_LONG`` bytes is hashed by XXH3. Neither
+is linear in the bytes, so there are no strings that collide by their structure.
+A shingle's hash combines the hashes of its words.
 """
 
 from __future__ import annotations
 
 import numpy as np
+import xxhash
 
 _U = np.uint64
 _SPACES = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
-_BASE = 0x9E3779B97F4A7C15 | 1
-_INVERSE = pow(_BASE, -1, 1 << 64)
-_SEGMENT = 4 << 20
+#: Words of more bytes are hashed one by one.
+_LONG = 64
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[0x41:0x5B] += 32
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -23,26 +27,12 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
-_BYTE = mix(np.arange(1, 257, dtype=np.uint64) * _U(0xD1342543DE82EF95))
-_BYTE[0x41:0x5B] = _BYTE[0x61:0x7B]
 _IS_WORD = np.ones(256, bool)
 _IS_WORD[list(_SPACES)] = False
 #: Instead: runs of ASCII letters and digits and of bytes beyond ASCII.
 LETTERS = np.zeros(256, bool)
 LETTERS[128:] = LETTERS[0x30:0x3A] = LETTERS[0x41:0x5B] = LETTERS[0x61:0x7B] = True
 _ORDER = mix(np.arange(1, 65, dtype=np.uint64) * _U(0xA0761D6478BD642F)) | _U(1)
-_powers: dict[str, np.ndarray] = {}
-
-
-def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
-    have = _powers.get("p")
-    if have is None or len(have) < n:
-        size = max(n, 1 << 20)
-        for key, base in (("p", _BASE), ("q", _INVERSE)):
-            x = np.full(size, base, np.uint64)
-            x[0] = 1
-            _powers[key] = np.multiply.accumulate(x)
-    return _powers["p"], _powers["q"]
 
 
 def word_bounds(data: np.ndarray, offsets: np.ndarray, kind: np.ndarray = _IS_WORD) -> tuple[np.ndarray, np.ndarray]:
@@ -68,18 +58,26 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray, kind: np.ndarray = _IS_WO
     """(hash of every word, number of words in each row)."""
     starts, ends = word_bounds(data, offsets, kind)
     counts = np.diff(np.searchsorted(starts, offsets, side="left"))
-    out = np.empty(len(starts), np.uint64)
-    a = 0
-    while a < len(starts):  # segments of whole words keep the 8-byte arrays small
-        b = max(a + 1, int(np.searchsorted(ends, starts[a] + _SEGMENT, side="right")))
-        lo, hi = int(starts[a]), int(ends[b - 1])
-        p, q = _power(hi - lo + 1)
-        sums = np.zeros(hi - lo + 1, np.uint64)
-        np.cumsum(_BYTE[data[lo:hi]] * p[:hi - lo], out=sums[1:])
-        s, e = starts[a:b] - lo, ends[a:b] - lo
-        out[a:b] = (sums[e] - sums[s]) * q[s] + (e - s).astype(np.uint64) * _ORDER[-1]
-        a = b
-    return mix(out), counts
+    size = ends - starts
+    out = mix(size.astype(np.uint64) * _ORDER[-1])
+    if not len(starts):
+        return out, counts
+    low = np.zeros(len(data) + 8, np.uint8)
+    np.take(_LOWER, data, out=low[:-8])
+    lanes = np.ndarray((len(data) + 1,), "<u8", low, strides=(1,))  # the eight bytes from each place on
+    rows = np.flatnonzero(size <= _LONG)
+    for at in range(0, _LONG, 8):
+        rows = rows[size[rows] > at] if at else rows
+        if not len(rows):
+            break
+        left = size[rows] - at
+        lane = lanes[starts[rows] + at]
+        short = left < 8
+        lane[short] &= (_U(1) << (left[short].astype(np.uint64) << _U(3))) - _U(1)
+        out[rows] = mix(out[rows] ^ lane * _ORDER[-2])
+    for i in np.flatnonzero(size > _LONG):
+        out[i] = xxhash.xxh3_64_intdigest(low[starts[i]:ends[i]])
+    return out, counts
 
 
 def shingles(words: np.ndarray, k: int) -> np.ndarray:

@@ -181,6 +181,25 @@ def test_signature_tree_loses_no_link(monkeypatch):
     assert {(i, j) for i, j in links if i < 20 <= j} <= across
 
 
+def test_words_of_like_structure_have_hashes_of_their_own():
+    """A word of 1,024 letters by the Thue-Morse rule and its complement collide under any
+    polynomial modulo 2**64; words of all lengths hash alike wherever they stand."""
+    one = "a"
+    for _ in range(10):
+        one += one.translate(str.maketrans("ab", "ba"))
+    words = [one, one.translate(str.maketrans("ab", "ba"))]
+    words += ["".join(c) for n in (1, 2, 3) for c in itertools.product("ab\x00", repeat=n)]
+    words += [c * n for c in "ab" for n in range(4, 70)]
+
+    def hashes(texts):
+        parts = [t.encode() for t in texts]
+        return word_hashes(np.frombuffer(b"".join(parts), np.uint8), np.cumsum([0, *map(len, parts)]))[0].tolist()
+
+    alone = hashes(words)
+    assert len(set(alone)) == len(set(words))
+    assert hashes([" " + " ".join(w.upper() for w in words) + " end"])[:-1] == alone
+
+
 def test_prefix_holds_a_shared_token():
     for n in range(1, 400):
         assert n - J.prefix_length(n) + 1 >= 0.8 * n - 1e-9 > n - J.prefix_length(n) - 1e-9 or n < 5

@@ -249,6 +249,10 @@ def test_jaccard_groups_against_brute_force(spark, monkeypatch, members):
     monkeypatch.setattr(J, "COUNT_REPORTED", 1)  # many tokens count as common
     monkeypatch.setattr(J, "MIN_HEAVY", 2)
     rows = near_copies(members)
+    word = "a"
+    for _ in range(10):
+        word += word.translate(str.maketrans("ab", "ba"))
+    rows += [(len(rows), word), (len(rows) + 1, word.translate(str.maketrans("ab", "ba")))]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     assert {r[0]: (r[1], r[2]) for r in J.jaccard_groups(docs).collect()} == brute_groups(rows)
 
