@@ -1,12 +1,19 @@
 """Structured Streaming forms of the declared-table queries (group D).
 
+* Tables are read where they are with ``readStream`` (``file_stream``).
 * Event time: a watermark on a TIMESTAMP column (NTZ columns are cast first).
-* Running aggregates run in ``update`` mode; every micro-batch's changed keys
-  go to an append-only upsert log (one folder per batch id, rewritten as a
-  whole if the batch is retried), and the current table is the latest row per
-  key -- an aggregate, not a window, so a hot key is reduced per task.
-* Chained aggregates (not allowed on one stream) run as: first aggregate
-  streams into the upsert log, the rest is a batch query on the log.
+  Windowed aggregates run in append mode: a window comes out once, when the
+  watermark has passed its end, and its state is dropped; rows that arrive for
+  it later are late and dropped.
+* Arrivals: ``land`` is an ingest stream that lands rows in one folder for each
+  arrival batch, and ``run_landed`` runs a query over them as scheduled runs do,
+  one batch a run, always from the same checkpoint.
+* Running aggregates keep their current result in the state store, and
+  ``aggregate_state`` reads it from the query's checkpoint with Spark's state data
+  source. No copy of the result is kept beside it.
+* Aggregates of aggregates: ``retractions`` turns a changed inner row into its old
+  value with sign -1 and its new value with sign +1, so the outer sums add and
+  subtract in a second query.
 * Several sinks per stream: one ``foreachBatch`` writes all of them, paths
   keyed by batch id so a retried batch replaces its own output.
 """
@@ -15,125 +22,130 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tessera.session import scratch_path
 
 
-class Replay:
-    """A table replayed as a stream in ordered pieces.
+def file_stream(spark: SparkSession, path: str, schema=None, files_per_batch: int | None = None) -> DataFrame:
+    """A parquet file or folder as a stream. All files that are there make one
+    micro-batch, or ``files_per_batch`` each."""
+    reader = spark.readStream.schema(schema if schema is not None else spark.read.parquet(path).schema)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    # The file source takes a folder or a pattern, and a single file as the latter.
+    return reader.parquet(f"{path.rstrip('/')}*")
 
-    Rows are range-partitioned on ``order_col`` (sampled bounds, no
-    single-task sort) into ``pieces`` staged folders. ``drive`` then moves
-    one piece at a time into the source folder and restarts the streaming
-    query from the same checkpoint with ``availableNow``: each run sees
-    exactly the newly arrived files, so every piece is one micro-batch, in
-    order, however many files it has -- and every piece after the first is
-    a restart from the checkpoint, as after a driver failure.
-    """
 
-    def __init__(self, df: DataFrame, pieces: int, order_col: str):
-        self.spark = df.sparkSession
-        self.schema = df.schema
-        self.source = scratch_path(self.spark, "replay")
-        self.stage = scratch_path(self.spark, "replay-stage")
-        (df.repartitionByRange(pieces, order_col).withColumn("_piece", F.spark_partition_id())
-         .write.partitionBy("_piece").parquet(self.stage))
-        self.present = sorted(r[0] for r in self.spark.read.parquet(self.stage)
-                              .select("_piece").distinct().collect())
+def run_available(stream_writer, checkpoint: str) -> StreamingQuery:
+    """Process everything available now in micro-batches, then stop."""
+    q = stream_writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    q.awaitTermination()
+    return q
 
-    def stream(self) -> DataFrame:
-        return self.spark.readStream.schema(self.schema).parquet(self.source)
 
-    def drive(self, to_writer: Callable[[DataFrame], object]) -> None:
-        """``to_writer(stream) -> DataStreamWriter`` (sink and mode set)."""
-        checkpoint = scratch_path(self.spark, "ckpt")
-        for i in self.present:
-            self.spark.read.parquet(f"{self.stage}/_piece={i}").write.mode("append").parquet(self.source)
-            run_available(to_writer(self.stream()), checkpoint)
+def appended(stream: DataFrame) -> DataFrame:
+    """Run an append-mode stream into parquet files; the batch read of them."""
+    spark = stream.sparkSession
+    out = scratch_path(spark, "stream-out")
+    run_available(stream.writeStream.outputMode("append").format("parquet").option("path", out),
+                  scratch_path(spark, "ckpt"))
+    return spark.read.schema(stream.schema).parquet(out)
 
 
-def file_replay(spark: SparkSession, path: str, schema, files_per_batch: int = 1) -> DataFrame:
-    """A folder of parquet files as a stream, ``files_per_batch`` per micro-batch."""
-    return (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
-            .parquet(path))
+class Landing:
+    """Rows of a stream, landed below one folder for each arrival batch."""
 
+    def __init__(self, spark: SparkSession, path: str, schema, batches: list[int]):
+        self.spark, self.path, self.schema, self.batches = spark, path, schema, batches
 
-def with_event_time(df: DataFrame, col: str, delay: str) -> DataFrame:
-    """``WATERMARK FOR col AS col - INTERVAL delay`` (D1; D2 is delay 0)."""
-    if dict(df.dtypes)[col] == "timestamp_ntz":
-        df = df.withColumn(col, F.col(col).cast("timestamp"))
-    return df.withWatermark(col, delay)
+    def stream(self, batch: int) -> DataFrame:
+        # As a pattern, of this one folder: a restart also looks at the last run's files,
+        # which would not be below a plain path.
+        name = str(batch)
+        return self.spark.readStream.schema(self.schema).parquet(f"{self.path}/arrived={name[:-1]}[{name[-1]}]")
 
 
-def dedup_stream(df: DataFrame, key: list[str], ts_col: str, delay: str) -> DataFrame:
-    """Declared primary key on a stream: the first row per key within the
-    watermark delay is kept (D3)."""
-    return with_event_time(df, ts_col, delay).dropDuplicatesWithinWatermark(key)
+def land(stream: DataFrame, batch: Column) -> Landing:
+    """An ingest stream: ``batch`` (an integer) names the arrival batch of a row."""
+    spark = stream.sparkSession
+    path = scratch_path(spark, "landing")
+    rows = stream.withColumn("arrived", batch.cast("bigint"))
+    run_available(rows.writeStream.outputMode("append").format("parquet").partitionBy("arrived").option("path", path),
+                  scratch_path(spark, "ckpt"))
+    there = spark.read.schema(rows.schema).parquet(path).select("arrived").distinct().collect()
+    return Landing(spark, path, stream.schema, sorted(r[0] for r in there))
 
 
-class UpsertLog:
-    """Keyed table kept as an append-only log of per-batch upserts.
+def run_landed(landing: Landing, to_writer: Callable[[DataFrame], object]) -> str:
+    """One run for each arrival batch, in order, each a restart from the checkpoint
+    whose path is returned. ``to_writer(stream) -> DataStreamWriter`` (sink and mode set)."""
+    checkpoint = scratch_path(landing.spark, "ckpt")
+    for batch in landing.batches:
+        run_available(to_writer(landing.stream(batch)), checkpoint)
+    return checkpoint
 
-    Layout: ``log/batch_id=<n>`` holds the rows a micro-batch changed;
-    ``base/upto=<n>`` is a compacted snapshot of everything up to batch n.
-    The current table is the newest snapshot plus the log after it, latest
-    row per key (``max_by`` on the batch id -- an aggregate, so a hot key is
-    reduced per task). Log folders at or before the snapshot are skipped by
-    partition pruning.
-    """
 
-    def __init__(self, spark: SparkSession, path: str, key: list[str]):
-        self.spark, self.path, self.key = spark, path.rstrip("/"), key
+def with_event_time(df: DataFrame, col: str, delay: str) -> DataFrame:
+    """``WATERMARK FOR col AS col - INTERVAL delay`` (D1; D2 is delay 0)."""
+    if dict(df.dtypes)[col] == "timestamp_ntz":
+        df = df.withColumn(col, F.col(col).cast("timestamp"))
+    return df.withWatermark(col, delay)
 
-    def write(self, batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{self.path}/log/batch_id={batch_id}")
 
-    def _base_upto(self) -> int | None:
-        try:
-            r = self.spark.read.parquet(f"{self.path}/base").agg(F.max("upto")).first()
-        except Exception:  # no snapshot yet
-            return None
-        return r[0]
-
-    def read(self) -> DataFrame:
-        log = self.spark.read.parquet(f"{self.path}/log")
-        upto = self._base_upto()
-        if upto is not None:
-            base = (self.spark.read.parquet(f"{self.path}/base").where(F.col("upto") == upto)
-                    .withColumnRenamed("upto", "batch_id"))
-            log = base.unionByName(log.where(F.col("batch_id") > upto))
-        vals = [c for c in log.columns if c not in self.key and c != "batch_id"]
-        latest = log.groupBy(*self.key).agg(
-            F.max_by(F.struct(*vals), F.col("batch_id")).alias("_v"))
-        return latest.select(*self.key, *[F.col("_v")[c].alias(c) for c in vals])
-
-    def compact(self) -> int:
-        """Write the current table as a snapshot up to the newest batch."""
-        upto = self.spark.read.parquet(f"{self.path}/log").agg(F.max("batch_id")).first()[0]
-        self.read().write.mode("overwrite").parquet(f"{self.path}/base/upto={upto}")
-        return upto
+def closed_windows(landing: Landing, ts: str, delay: str, width: str, by: list[str],
+                   aggregates: dict[str, Column]) -> DataFrame:
+    """The windows (window_start, *by, aggregates) that the watermark has closed after
+    the last arrival batch; rows that came after their window was closed are dropped."""
+    spark = landing.spark
+    out = scratch_path(spark, "windows")
+    checked = {}
 
+    def writer(stream: DataFrame):
+        rows = (with_event_time(stream, ts, delay).groupBy(F.window(ts, width), *by)
+                .agg(*[c.alias(n) for n, c in aggregates.items()])
+                .select(F.col("window.start").alias("window_start"), *by, *aggregates))
+        checked["schema"] = rows.schema
+        return rows.writeStream.outputMode("append").format("parquet").option("path", out)
 
-def run_available(stream_writer, checkpoint: str) -> StreamingQuery:
-    """Process everything available now in micro-batches, then stop."""
-    q = stream_writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    q.awaitTermination()
-    return q
+    run_landed(landing, writer)
+    if not checked:  # nothing has arrived
+        rows = with_event_time(spark.createDataFrame([], landing.schema), ts, "0 seconds")
+        return (rows.groupBy(F.window(ts, width), *by).agg(*[c.alias(n) for n, c in aggregates.items()])
+                .select(F.col("window.start").alias("window_start"), *by, *aggregates))
+    return spark.read.schema(checked["schema"]).parquet(out)
 
 
-def upsert_writer(log: UpsertLog, aggregate: Callable[[DataFrame], DataFrame]):
-    """Writer factory: an update-mode aggregate into an upsert log."""
-    return lambda stream: (aggregate(stream).writeStream.outputMode("update")
-                           .foreachBatch(log.write))
+def dedup_stream(df: DataFrame, key: list[str], ts_col: str, delay: str) -> DataFrame:
+    """Declared primary key on a stream: the first row per key within the
+    watermark delay is kept (D3)."""
+    return with_event_time(df, ts_col, delay).dropDuplicatesWithinWatermark(key)
 
 
-def append_writer(out: str, transform: Callable[[DataFrame], DataFrame]):
-    """Writer factory: an append-mode stream into parquet files at ``out``."""
-    return lambda stream: (transform(stream).writeStream.outputMode("append")
-                           .format("parquet").option("path", out))
+def running_aggregate(aggregate: DataFrame) -> str:
+    """Run an update-mode aggregate over what is available; its checkpoint."""
+    checkpoint = scratch_path(aggregate.sparkSession, "ckpt")
+    run_available(aggregate.writeStream.outputMode("update").format("noop"), checkpoint)
+    return checkpoint
+
+
+def aggregate_state(spark: SparkSession, checkpoint: str, keys: list[str], values: list[str]) -> DataFrame:
+    """The current rows of a running aggregate, read from its state store. ``keys`` and
+    ``values`` name the grouping columns and aggregates in their order; an aggregate
+    must keep one number (sums of integers, counts, minima and maxima do)."""
+    state = spark.read.format("statestore").load(checkpoint)
+    parts = []
+    for struct, names in (("key", keys), ("value", values)):
+        fields = state.schema[struct].dataType.fields
+        if len(fields) != len(names):
+            raise ValueError(f"the state's {struct} has the fields {[f.name for f in fields]}, not {names}")
+        # By position: two sums have one field name in the state.
+        named = T.StructType([T.StructField(n, f.dataType) for n, f in zip(names, fields, strict=True)])
+        parts.append(F.col(struct).cast(named).alias(struct))
+    return state.select(*parts).select("key.*", "value.*")
 
 
 def multi_sink_writer(targets: dict[str, str],
