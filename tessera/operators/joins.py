@@ -1,6 +1,7 @@
 """Join strategies: size-checked broadcast lookup and point-in-time lookup.
 
-A dimension is broadcast only when the plan's statistics bound its bytes;
+A dimension is broadcast only when the plan's statistics bound its bytes, which
+they do below filters and aggregates but not behind an explode or a join;
 beyond the bound the join is left to the planner (sort-merge with AQE, which
 can still switch to broadcast at runtime from measured shuffle sizes, and
 splits skewed partitions). No job runs while a query is built.
@@ -15,14 +16,50 @@ from pyspark.sql import functions as F
 DEFAULT_BROADCAST_BYTES = 64 << 20
 
 
+#: Plan nodes that give at most the rows of their inputs, so that the statistics of
+#: the scans below them bound their size. Through others (an explode, a join) the
+#: optimizer's estimate is a guess.
+_BOUNDED_NODES = {
+    "Project", "Filter", "Aggregate", "Distinct", "Deduplicate", "Sort", "Limit", "GlobalLimit", "LocalLimit", "Sample",
+    "Union", "Window", "SubqueryAlias", "View", "LocalRelation", "LogicalRelation", "Relation", "Range", "OneRowRelation",
+    "Repartition", "RepartitionByExpression", "RebalancePartitions",
+}
+#: Elements of a literal list that one row may be exploded into.
+_LITERAL_ROWS = 10_000
+
+
 def planned_bytes(df: DataFrame) -> int:
     """Size of ``df`` by the optimizer's statistics (file sizes of its scans, as
     far as they are known; unknown counts as unbounded). Runs no job."""
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
+def size_is_bounded(df: DataFrame) -> bool:
+    """Whether the statistics bound the size: no node of the plan makes more rows
+    than it reads."""
+    todo = [df._jdf.queryExecution().optimizedPlan()]
+    while todo:
+        node = todo.pop()
+        if node.nodeName().split(" ")[0] not in _BOUNDED_NODES and not _literal_list(node):
+            return False
+        children = node.children()
+        todo += [children.apply(i) for i in range(children.size())]
+    return True
+
+
+def _literal_list(node) -> bool:
+    """One row exploded into a short literal list."""
+    if node.nodeName() != "Generate":
+        return False
+    rows = node.child().maxRows()
+    values = node.generator().children().apply(0)
+    if values.getClass().getSimpleName() != "Literal" or not rows.isDefined() or rows.get() > 1:
+        return False
+    return values.value() is not None and values.value().numElements() <= _LITERAL_ROWS
+
+
 def fits_broadcast(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> bool:
-    return planned_bytes(df) <= max_bytes
+    return planned_bytes(df) <= max_bytes and size_is_bounded(df)
 
 
 def broadcast_if_small(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:

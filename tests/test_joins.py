@@ -1,6 +1,7 @@
 import datetime as dt
 import random
 
+from tessera.operators import joins
 from tessera.operators.joins import asof_lookup, broadcast_if_small
 
 
@@ -38,3 +39,19 @@ def test_asof_lookup_without_keys_or_times(spark):
         facts, versions, key="k", fact_time="t", valid_from="valid_from", order_tiebreak="vid",
         payload=["payload"]).collect()}
     assert got == {1: None, 2: None, 3: "v"}
+
+
+def test_only_a_side_of_bounded_size_is_hinted(spark):
+    from pyspark.sql import functions as F
+    facts = spark.range(1000).withColumnRenamed("id", "k")
+    exploded = spark.range(1).select(F.explode(F.sequence(F.lit(1), F.lit(10_000_000))).alias("k"))
+    assert joins.planned_bytes(exploded) < 1000 and not joins.fits_broadcast(exploded)
+    assert "ResolvedHint" not in joins.lookup_join(facts, exploded, "k")._jdf.queryExecution().analyzed().toString()
+    # The same behind an aggregate or a filter, and behind a join.
+    assert not joins.fits_broadcast(exploded.groupBy("k").count().where("k > 5"))
+    assert not joins.fits_broadcast(facts.join(facts.withColumnRenamed("k", "j"), F.col("k") % 7 == F.col("j") % 7))
+    small = spark.sql("select * from values (1L, 'a'), (2L, 'b') as t(k, v)").where("k > 0").groupBy("k").agg(F.max("v"))
+    words = spark.range(1).select(F.explode(F.lit(["a", "b"])).alias("k"))
+    assert joins.fits_broadcast(words)
+    assert joins.fits_broadcast(small) and joins.fits_broadcast(spark.range(10).withColumnRenamed("id", "k"))
+    assert not joins.fits_broadcast(spark.range(100_000_000))
