@@ -38,6 +38,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.text import prefixes
+from tessera.session import cut_lineage
 
 DEFAULT_SALT_BUCKETS = 16
 HEAD, TAIL = 0, 1
@@ -183,16 +184,68 @@ def matches_both_ways(ranked: DataFrame, dictionary: DataFrame,
                     (F.coalesce(F.col("_dirs"), F.lit(0)) == 2).alias("both")))
 
 
-def words_both_ways(arms: DataFrame, t: CompletionTables) -> DataFrame:
+def ranked_words(words: DataFrame, boundaries: DataFrame) -> DataFrame:
+    """``boundaries`` (dir, b binary, kept columns) and ``words`` (dir, w, kept columns) in
+    one order of bytes per direction: (dir, word?, rank, kept columns), where rank is the
+    number of words of the direction before the row.
+
+    Rows are range-partitioned and sorted once; a partition counts its words by itself
+    and adds the counts of the partitions before it, which is one row a partition.
+    """
+    keep_w, keep_b = [[c for c in df.columns if c not in own] for df, own in
+                      ((words, ("dir", "w")), (boundaries, ("dir", "b")))]
+    rows = words.select("dir", F.encode("w", "UTF-8").alias("b"), F.lit(True).alias("is_word"), *keep_w).unionByName(
+        boundaries.select("dir", "b", F.lit(False).alias("is_word"), *keep_b), allowMissingColumns=True)
+    # A boundary that equals a word stands before it.
+    order = ["dir", "b", "is_word"]
+    n = max(1, int(words.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    placed = cut_lineage(rows.repartitionByRange(n, *order).withColumn("part", F.spark_partition_id()))
+    inside = Window.partitionBy("part", "dir").orderBy("b", "is_word").rowsBetween(Window.unboundedPreceding, -1)
+    own = placed.withColumn("before", F.coalesce(F.sum(F.col("is_word").cast("bigint")).over(inside), F.lit(0)))
+    counts = placed.groupBy("part", "dir").agg(F.sum(F.col("is_word").cast("bigint")).alias("n"))
+    earlier = Window.partitionBy("dir").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("part", "dir", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("offset"))
+    return (own.join(F.broadcast(offsets), ["part", "dir"])  # one row a partition and direction
+            .select("dir", "is_word", (F.col("before") + F.col("offset")).alias("rank"), *dict.fromkeys(keep_w + keep_b)))
+
+
+def words_both_ways(arms: DataFrame, t: CompletionTables, words: int | None = None) -> DataFrame:
     """(q, word, cou): every word that completes one of q's ``arms`` in the head
-    pass and one in the tail pass (G13), without a limit. Words and inputs meet on
-    (head prefix, tail prefix), so neither direction's candidate list is formed.
-    ``t`` must hold the whole index."""
-    side = lambda df, d, p: df.where(F.col("dir") == d).drop("dir").withColumnRenamed("p", p)
-    index = t.index.join(arms.select("dir", "p").distinct(), ["dir", "p"], "left_semi")
-    asked = side(arms, HEAD, "head").join(side(arms, TAIL, "tail"), "q")
-    # One pass over the index: a word's own prefixes that are arms, at most its length in each direction.
-    own = lambda d: F.collect_list(F.when(F.col("dir") == d, F.col("p")))
-    words = (index.groupBy("word", "cou").agg(own(HEAD).alias("head"), own(TAIL).alias("tail"))
-             .withColumn("head", F.explode("head")).withColumn("tail", F.explode("tail")))
-    return asked.join(words, ["head", "tail"]).select("q", "word", "cou").distinct()
+    pass and one in the tail pass (G13), without a limit.
+
+    Words are ranked once as written and once reversed. The words that a prefix begins
+    are an interval of ranks, so an input's pair of arms is a rectangle and a word is a
+    point. Both meet in the cells of a grid of equal depth: a word is in one cell, a
+    rectangle in those it covers. No prefix of a word is formed. ``words``: size of the
+    dictionary, if known.
+    """
+    n = t.m.where(F.col("dir") == t.dirs[0]).count() if words is None else words
+    # About as many words a cell as cells an axis has.
+    step = max(1, round(n ** (2 / 3) / 2))
+    prefix = arms.select("dir", "p").distinct()
+    end = F.encode("p", "UTF-8")
+    # No UTF-8 text has the byte FF, so p and FF is after all that p begins.
+    bounds = prefix.select("dir", "p", F.explode(F.array(
+        F.struct(F.lit(0).alias("side"), end.alias("b")),
+        F.struct(F.lit(1).alias("side"), F.concat(end, F.lit(b"\xff")).alias("b")))).alias("e")).select(
+        "dir", "p", F.col("e.side").alias("side"), F.col("e.b").alias("b"))
+    ranked = ranked_words(t.m.select("dir", "w", "word", "cou", "m"), bounds)
+    interval = (ranked.where(~F.col("is_word")).groupBy("dir", "p")
+                .agg(F.min("rank").alias("lo"), F.max("rank").alias("hi")).where("lo < hi"))
+    at = lambda c, d: F.max(F.when(F.col("dir") == d, F.col(c)))
+    points = (ranked.where("is_word").groupBy("word", "cou").agg(
+        *[at(c, d).alias(f"{c}{d}") for d in BOTH for c in ("rank", "m")])
+        .withColumns({f"c{d}": F.floor(F.col(f"rank{d}") / step) for d in BOTH}))
+    own = arms.join(interval, ["dir", "p"])
+    side = lambda d: own.where(F.col("dir") == d).select(
+        "q", F.length("p").alias(f"n{d}"), F.col("lo").alias(f"lo{d}"), F.col("hi").alias(f"hi{d}"))
+    cells = lambda d: F.explode(F.sequence(F.floor(F.col(f"lo{d}") / step),
+                                           F.floor((F.col(f"hi{d}") - 1) / step))).alias(f"c{d}")
+    asked = side(HEAD).join(side(TAIL), "q")
+    # Inputs with the same pair of arms share a rectangle.
+    shape = [f"{c}{d}" for d in BOTH for c in ("n", "lo", "hi")]
+    covered = asked.select(*shape).distinct().select("*", cells(HEAD)).select("*", cells(TAIL))
+    inside = [(F.col(f"rank{d}") >= F.col(f"lo{d}")) & (F.col(f"rank{d}") < F.col(f"hi{d}"))
+              & (F.col(f"n{d}") >= F.col(f"m{d}")) & (F.col(f"n{d}") < F.length("word")) for d in BOTH]
+    found = covered.join(points, ["c0", "c1"]).where(inside[0] & inside[1]).select(*shape, "word", "cou")
+    return asked.join(found, shape).select("q", "word", "cou").distinct()

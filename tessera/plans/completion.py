@@ -1,10 +1,10 @@
 """Completion queries.
 
 Large form: dictionary = all tokens of ``documents``, inputs = all distinct
-tokens of ``conversations``; the ranked answer keeps ``TOP_K`` words per input
-(the ranking step's ``k``); ``matches_both_ways`` marks those of them that both
-directions found. Every other step is registered without a limit, the words found
-by both directions too (``words_matched_both_ways``).
+tokens of ``conversations``. ``complete_words`` reports the first ``TOP_K`` words of an
+input (the ranking step's ``k``); ``matches_both_ways`` is the whole ranked list of every
+input and marks the words that both directions found. Every other step is registered
+without a limit, the words found by both directions too (``words_matched_both_ways``).
 Keyword form: the last typed token of every conversation turn completed
 against the keyword dictionary learned from ``documents``, full ranked list.
 """
@@ -57,12 +57,15 @@ def complete_words(spark, sf_dir):
     return r.withColumn("rank", F.col("rank").cast("bigint"))
 
 
-@query("matches_both_ways", S.completion_sql(LARGE_BASE, "learned_dict", TOP_K, both=True))
+@query("matches_both_ways", S.completion_sql(LARGE_BASE, "learned_dict", None, both=True))
 def matches_both_ways(spark, sf_dir):
     inputs, d = _materialized(spark, sf_dir)
-    t = C.completion_tables(d, TOP_K)
-    r = C.complete_words(inputs, d, k=TOP_K, tables=t)
-    return C.matches_both_ways(r, d, tables=t).withColumn("rank", F.col("rank").cast("bigint"))
+    t = C.completion_tables(d)
+    r = C.complete_words(inputs, d, tables=t).withColumn("rank", F.col("rank").cast("bigint"))
+    arms, _ = C.relaxed_arms(C.longest_prefix_match(inputs, t))
+    both = C.words_both_ways(cut_lineage(arms), t, d.count()).select("q", "word", F.lit(True).alias("both"))
+    return r.join(both, ["q", "word"], "left").select(
+        "q", "rank", "word", "cou", F.coalesce("both", F.lit(False)).alias("both"))
 
 
 KEYWORD_BASE = (f"{S.COMPLETION_DICT_CTES},\n{S.LAST_TOKEN_CTE},\n"
@@ -135,4 +138,4 @@ def words_matched_both_ways(spark, sf_dir):
     inputs, d = _materialized(spark, sf_dir)
     t = C.completion_tables(d)
     arms, _ = C.relaxed_arms(C.longest_prefix_match(inputs, t))
-    return C.words_both_ways(cut_lineage(arms), t)
+    return C.words_both_ways(cut_lineage(arms), t, d.count())
