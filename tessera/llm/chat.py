@@ -106,17 +106,23 @@ def read_back(formatted: Column) -> Column:
     return F.transform(segments, turn)
 
 
+def masked(formatted: Column, spans: Column) -> Column:
+    """array<string>: the texts under the loss mask, unescaped."""
+    return F.transform(spans, lambda s: unescape(F.substring(formatted, s["start"] + 1, s["end"] - s["start"])))
+
+
 def chat_digests(conversations: DataFrame) -> DataFrame:
-    """Contract of op6: the conversations and conversation -1, formatted and read back."""
+    """Contract of op6: the conversations and conversation -1, formatted and read back.
+    If the table holds a conversation -1, the two added rows are turns 0 and 1 of it too."""
     probe = "</s>[INST] ok [/INST]"
     extra = conversations.sparkSession.range(2).select(
         F.lit(-1).cast("bigint").alias("conv_id"), F.col("id").alias("turn"),
         F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(probe).alias("text"))
     own = conversations.select(F.col("conv_id").cast("bigint"), F.col("turn").cast("bigint"), "role", "text")
     out = (format_conversations(own.unionByName(extra))
-           .select("conv_id", "formatted", read_back(F.col("formatted")).alias("turns")))
+           .select("conv_id", "formatted", "loss_spans", read_back(F.col("formatted")).alias("turns")))
     lines = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
-    loss = F.array_join(F.transform(F.filter("turns", lambda t: t["role"] == TRAINED), lambda t: t["text"]), "")
+    loss = F.array_join(masked(F.col("formatted"), F.col("loss_spans")), "")
     return out.select(
         "conv_id", F.size("turns").cast("bigint").alias("n_turns"),
         F.sha2(F.array_join(lines, ""), 256).alias("turns_sha256"),

@@ -129,7 +129,8 @@ def shuffled(sizes: DataFrame, seed: str = SEED) -> DataFrame:
 
 
 def mix(documents: DataFrame, weights=WEIGHTS, max_passes: int = MAX_PASSES, seed: str = SEED) -> DataFrame:
-    """doc_id, size, source, source_size, target, taken for every row."""
+    """doc_id, size, source, source_size, target, taken for every row, and its place in the
+    schedule: first_slot, last_slot (null if none takes it) and n_slots."""
     sizes = written(documents.select(
         F.monotonically_increasing_id().alias("row"), "doc_id", F.col("source").cast("string").alias("source"),
         count_words(F.col("text")).alias("size")), "sizes")
@@ -152,10 +153,11 @@ def mix(documents: DataFrame, weights=WEIGHTS, max_passes: int = MAX_PASSES, see
     met = laid.join(slots.select("no", "rank", "slot"), ["no", "rank"], "left")
     return met.groupBy("row").agg(
         *[F.first(c).alias(c) for c in ("doc_id", "size", "source", "source_size", "target")],
-        F.coalesce(F.sum(F.when(F.col("slot").isNotNull(), piece)), F.lit(0)).alias("taken")).drop("row")
+        F.coalesce(F.sum(F.when(F.col("slot").isNotNull(), piece)), F.lit(0)).alias("taken"),
+        F.min("slot").alias("first_slot"), F.max("slot").alias("last_slot"), F.count("slot").alias("n_slots")).drop("row")
 
 
-ORACLE = r"""
+ORACLE = rf"""
 WITH s AS (
   SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size
   FROM documents),
@@ -174,16 +176,41 @@ g AS (
   SELECT *, NOT EXISTS (SELECT 1 FROM f x WHERE NOT x.above
     AND (x.source_size / x.weight, x.no) <= (f.source_size / f.weight, f.no)) AS stops FROM f),
 t AS (
-  SELECT source, source_size, CASE WHEN stops THEN CAST(3 * source_size AS DOUBLE) ELSE
+  SELECT source, no, source_size, CASE WHEN stops THEN CAST(3 * source_size AS DOUBLE) ELSE
     CAST(weight * (total - coalesce((SELECT sum(3 * source_size) FROM g WHERE stops), 0)) AS DOUBLE)
     / CAST(weights - coalesce((SELECT sum(weight) FROM g WHERE stops), 0) AS DOUBLE) END AS target FROM g),
 u AS (SELECT *, least(CAST(round(target) AS BIGINT), 3 * source_size) AS words FROM t),
 p AS (
-  SELECT doc_id, s.source, size, source_size, target, words,
-    CAST(sum(size) OVER (PARTITION BY s.source ORDER BY md5('mix-1:' || coalesce(CAST(doc_id AS VARCHAR), '')), doc_id, size
+  SELECT row_number() OVER () AS rid, doc_id, s.source, no, size, source_size, target, words,
+    CAST(sum(size) OVER (PARTITION BY s.source ORDER BY md5('{SEED}:' || coalesce(CAST(doc_id AS VARCHAR), '')), doc_id, size
       ROWS UNBOUNDED PRECEDING) - size AS BIGINT) AS pos
-  FROM s JOIN u ON s.source IS NOT DISTINCT FROM u.source)
+  FROM s JOIN u ON s.source IS NOT DISTINCT FROM u.source),
+b AS (SELECT CAST(greatest(1, least({SLOT_WORDS}, coalesce(sum(source_size), 0) // {MIN_SLOTS})) AS BIGINT) AS words FROM src),
+-- The schedule: every source's part of the circle, the points that fall into it, and what they leave short.
+par AS (
+  SELECT no, CAST(floor((upto - words) / total * {_CIRCLE}) AS BIGINT) AS lo, CAST(floor(upto / total * {_CIRCLE}) AS BIGINT) AS hi, slots
+  FROM (SELECT no, words, CAST(sum(words) OVER (ORDER BY no) AS BIGINT) AS upto, CAST(sum(words) OVER () AS BIGINT) AS total,
+      CAST(ceil(words / (SELECT words FROM b)) AS BIGINT) AS slots FROM u WHERE words > 0)),
+points AS (
+  SELECT k AS slot, k % 2147483648 * {GOLDEN} % {_CIRCLE} AS point
+  FROM range((SELECT coalesce(CAST(sum(slots) AS BIGINT), 0) FROM par)) r(k)),
+drawn AS (
+  SELECT no, slot, row_number() OVER (PARTITION BY no ORDER BY slot) - 1 AS rank, slots
+  FROM points JOIN par ON point >= lo AND point < hi),
+slots AS (
+  SELECT no, rank, slot FROM drawn WHERE rank < slots
+  UNION ALL SELECT no, r.rank, (SELECT count(*) FROM points) + r.rank
+  FROM (SELECT no, slots, (SELECT count(*) FROM drawn d WHERE d.no = par.no) AS have FROM par),
+    LATERAL (SELECT unnest(range(have, slots)) AS rank) r WHERE have < slots),
+laid AS (
+  SELECT rid, no, pos + turn * source_size AS first, least(pos + turn * source_size + size, words) AS last
+  FROM p, LATERAL (SELECT unnest(range(0, (words - pos - 1) // source_size + 1)) AS turn) WHERE size > 0 AND pos < words),
+met AS (
+  SELECT rid, min(slot) AS first_slot, max(slot) AS last_slot, count(*) AS n_slots
+  FROM (SELECT rid, no, unnest(range(first // (SELECT words FROM b), (last - 1) // (SELECT words FROM b) + 1)) AS rank FROM laid)
+  JOIN slots USING (no, rank) GROUP BY rid)
 SELECT doc_id, size, source, source_size, target, CAST(CASE WHEN source_size = 0 THEN 0 ELSE
-  words // source_size * size + greatest(0, least(words % source_size - pos, size)) END AS BIGINT) AS taken
-FROM p
+  words // source_size * size + greatest(0, least(words % source_size - pos, size)) END AS BIGINT) AS taken,
+  first_slot, last_slot, CAST(coalesce(n_slots, 0) AS BIGINT) AS n_slots
+FROM p LEFT JOIN met USING (rid)
 """
