@@ -1,21 +1,41 @@
 """Several inserts submitted as one unit.
 
 Inserts are collected, explained together and run in order by ``execute``;
-the list is cleared afterwards, whether or not every insert succeeded. An
-input that several inserts read can be shared: it is written once to the
-shared checkpoint folder, and every insert reads that copy.
+the list is cleared afterwards, whether or not every insert succeeded. What
+is an insert is decided by Spark's own parser. Each insert reads its source
+with its own columns and filters pushed down; an input that is costly to
+compute can be shared instead: it is written once to the shared checkpoint
+folder, and every insert reads that copy.
 """
 
 from __future__ import annotations
 
-import re
-
+from pyspark.errors import ParseException
 from pyspark.sql import DataFrame, SparkSession
 
 from tessera.session import cut_lineage
 from tessera.sources.sinks import table_sink
 
-_INSERT = re.compile(r"^\s*insert\s+(into|overwrite)\b", re.IGNORECASE)
+#: Parsed statements that insert: one insert, and several from one source.
+_INSERTS = {"InsertIntoStatement", "OverwriteByExpression", "AppendData", "InsertIntoDir"}
+
+
+def insert_count(spark: SparkSession, statement: str) -> int:
+    """Inserts in one statement, by Spark's parser (``FROM t INSERT ... INSERT ...``
+    holds several); raises on what is not one statement made of inserts."""
+    try:
+        plan = spark._jsparkSession.sessionState().sqlParser().parsePlan(statement)
+    except ParseException as e:
+        raise ValueError(f"give one insert at a time, in Spark's SQL: {e.getMessage().splitlines()[0]}") from e
+    while plan.nodeName() in ("UnresolvedWith", "WithCTE") and plan.children().size():
+        plan = plan.children().apply(0)
+    parts = [plan]
+    if plan.nodeName() == "Union":
+        parts = [plan.children().apply(i) for i in range(plan.children().size())]
+    others = [p.nodeName() for p in parts if p.nodeName() not in _INSERTS]
+    if others:
+        raise ValueError(f"a statement set takes inserts, not {others[0]}")
+    return len(parts)
 
 
 class StatementSet:
@@ -28,12 +48,8 @@ class StatementSet:
         return cut_lineage(df)
 
     def add_insert_sql(self, statement: str) -> "StatementSet":
-        body = statement.strip().rstrip(";")
-        if ";" in body:
-            raise ValueError("give one insert at a time")
-        if not _INSERT.match(body):
-            raise ValueError("a statement set takes inserts, not " + body.split(None, 1)[0])
-        self._ops.append(("sql", body))
+        insert_count(self.spark, statement)
+        self._ops.append(("sql", statement))
         return self
 
     def add_insert(self, target: str, df: DataFrame, overwrite: bool = False) -> "StatementSet":

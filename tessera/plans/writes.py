@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tessera.operators.statement_set import StatementSet
 from tessera.plans.registry import query
-from tessera.session import scratch_path
+from tessera.session import cut_lineage, scratch_path
 from tessera.sources import sinks
 from tessera.sources.tables import table
 
@@ -38,22 +38,31 @@ def table_sink(spark, sf_dir):
 select s_nationkey, count(*) as suppliers, cast(sum(s_acctbal) as decimal(18,2)) as balance
 from supplier group by s_nationkey""")
 def named_view(spark, sf_dir):
-    table(spark, sf_dir, "supplier").createOrReplaceTempView("supplier")
-    spark.sql("""CREATE OR REPLACE TEMP VIEW supplier_balance AS
-                 SELECT s_nationkey, count(*) AS suppliers,
-                        CAST(sum(CAST(s_acctbal AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS balance
-                 FROM supplier GROUP BY s_nationkey""")
-    return spark.sql("SELECT * FROM supplier_balance")
+    source, view = _name("supplier"), _name("supplier_balance")
+    table(spark, sf_dir, "supplier").createOrReplaceTempView(source)
+    spark.sql(f"""CREATE TEMP VIEW {view} AS
+                  SELECT s_nationkey, count(*) AS suppliers,
+                         CAST(sum(CAST(s_acctbal AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS balance
+                  FROM {source} GROUP BY s_nationkey""")
+    try:
+        return spark.sql(f"SELECT * FROM {view}")
+    finally:  # the result keeps its plan
+        spark.catalog.dropTempView(view)
+        spark.catalog.dropTempView(source)
 
 
 @query("insert_select", "select o_orderkey as order_number from orders")
 def insert_select(spark, sf_dir):
-    table(spark, sf_dir, "orders").createOrReplaceTempView("orders")
-    name = _name("out_s")
-    spark.sql(f"CREATE TABLE {name} (order_number BIGINT) USING parquet "
-              f"LOCATION '{scratch_path(spark, name)}'")
-    spark.sql(f"INSERT INTO {name} SELECT o_orderkey FROM orders")
-    return spark.table(name)
+    source, name = _name("orders"), _name("out_s")
+    path = scratch_path(spark, name)
+    table(spark, sf_dir, "orders").createOrReplaceTempView(source)
+    spark.sql(f"CREATE TABLE {name} (order_number BIGINT) USING parquet LOCATION '{path}'")
+    try:
+        spark.sql(f"INSERT INTO {name} SELECT o_orderkey FROM {source}")
+        return spark.read.schema(spark.table(name).schema).parquet(path)
+    finally:  # the table is an external one: its files stay for the result
+        spark.sql(f"DROP TABLE {name}")
+        spark.catalog.dropTempView(source)
 
 
 STATEMENT_SET_SQL = """
@@ -67,10 +76,9 @@ def statement_set(spark, sf_dir):
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
     a, b = scratch_path(spark, "finished"), scratch_path(spark, "open")
     ss = StatementSet(spark)
-    shared = ss.share(o)
-    ss.add_insert(a, shared.where(F.col("o_orderstatus") == "F").drop("o_orderstatus"))
-    ss.add_insert(b, shared.where(F.col("o_orderstatus") != "F").drop("o_orderstatus"),
-                  overwrite=True)
+    # Each insert scans with its own filter pushed down; no copy of the source is made.
+    ss.add_insert(a, o.where(F.col("o_orderstatus") == "F").drop("o_orderstatus"))
+    ss.add_insert(b, o.where(F.col("o_orderstatus") != "F").drop("o_orderstatus"), overwrite=True)
     ss.execute()
     return (spark.read.parquet(a).select(F.lit("finished").alias("target"), "*")
             .unionByName(spark.read.parquet(b).select(F.lit("open").alias("target"), "*")))
@@ -93,12 +101,14 @@ def partition_lifecycle(spark, sf_dir):
     # Replace one partition: its rows again with doubled quantity.
     changed = (li.where((F.col("l_returnflag") == "A") & (F.col("l_linestatus") == "F"))
                .withColumn("l_quantity", F.col("l_quantity") * 2))
-    sinks.replace_partitions(changed, name)
+    sinks.replace_partition(changed, name, {"l_returnflag": "A", "l_linestatus": "F"})
     sinks.drop_partition(spark, name, {"l_returnflag": "N", "l_linestatus": "O"})
-    t = spark.table(name)
-    return t.groupBy("l_returnflag", "l_linestatus").agg(
+    per_partition = spark.table(name).groupBy("l_returnflag", "l_linestatus").agg(
         F.count(F.lit(1)).alias("row_count"),
         (F.sum(F.round(F.col("l_quantity") * 100).cast("bigint")) / 100.0).alias("quantity"))
+    out = cut_lineage(per_partition)  # a row a partition, so that the table can go
+    spark.sql(f"DROP TABLE {name}")
+    return out
 
 
 @query("rebalanced_write", "select o_orderkey, o_totalprice from orders")

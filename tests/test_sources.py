@@ -1,3 +1,5 @@
+import uuid
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -85,6 +87,9 @@ def test_statement_set_rules_and_sinks(spark):
         ss.add_insert_sql("select 1")
     with pytest.raises(ValueError):
         ss.add_insert_sql("insert into a select 1; insert into b select 2")
+    for bad in ("delete from a", "insert into", "create table a as select 1"):
+        with pytest.raises(ValueError):
+            ss.add_insert_sql(bad)
     df = spark.range(10)
     a, b = scratch_path(spark, "ssa"), scratch_path(spark, "ssb")
     ss.add_insert(a, df).add_insert(b, df.where("id > 4"), overwrite=True)
@@ -94,6 +99,42 @@ def test_statement_set_rules_and_sinks(spark):
     sinks.noop_sink(df)
 
 
+def test_statement_set_takes_what_spark_parses(spark):
+    name = f"ss_{uuid.uuid4().hex[:8]}"
+    spark.sql(f"create table {name} (x string) using parquet location '{scratch_path(spark, name)}'")
+    try:
+        ss = StatementSet(spark)
+        ss.add_insert_sql(f"insert into {name} select ';' as x")
+        ss.add_insert_sql(f"-- a comment; of one line\n/* and another */ INSERT INTO {name} VALUES ('b');")
+        ss.add_insert_sql(f"with w as (select 'c' as x) insert into {name} select * from w")
+        ss.add_insert_sql(f"from {name} insert into {name} select concat(x, '1') insert into {name} select concat(x, '2') where x = 'b'")
+        assert ss.execute() == 4
+        assert sorted(r.x for r in spark.table(name).collect()) == [";", ";1", "b", "b1", "b2", "c", "c1"]
+    finally:
+        spark.sql(f"drop table {name}")
+
+
+def test_existing_table_keeps_its_partitioning(spark):
+    name = f"sink_{uuid.uuid4().hex[:8]}"
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "v int, k string")
+    sinks.create_partitioned_table(spark, name, df, ["k"], scratch_path(spark, name))
+    try:
+        with pytest.raises(ValueError, match="partitioned by"):
+            sinks.table_sink(df, name, partition_by=["v"])
+        sinks.table_sink(df.select("k", "v"), name, partition_by=["k"])  # columns by name
+        assert sorted(map(tuple, spark.table(name).collect())) == [(1, "a"), (1, "a"), (2, "b"), (2, "b")]
+        with pytest.raises(ValueError, match="must name"):
+            sinks.replace_partition(df, name, {"v": 1})
+        sinks.replace_partition(spark.createDataFrame([(7,)], "v int"), name, {"k": "a"})
+        sinks.replace_partition(spark.createDataFrame([(8,)], "v int"), name, {"k": None})
+        assert sorted(map(tuple, spark.table(name).collect()), key=repr) == [(2, "b"), (2, "b"), (7, "a"), (8, None)]
+        for cols in (["z"], ["k", "k"], ["k", "v"]):
+            with pytest.raises(ValueError):
+                sinks.create_partitioned_table(spark, name + "x", df, cols, scratch_path(spark, name))
+    finally:
+        spark.sql(f"drop table {name}")
+
+
 def test_decode_kafka_rows_key_and_value(spark):
     recs = spark.createDataFrame(
         [(b'{"id": 7}', b'{"id": 7, "name": "a", "cost": 1.5}'), (None, b'{"id": 8, "name": "b", "cost": 2.0}')],
