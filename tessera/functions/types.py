@@ -9,6 +9,7 @@ the driver (it is a type, not data) and applied to all rows by ``from_json``.
 from __future__ import annotations
 
 import json
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -76,18 +77,30 @@ def resolve_simple_types(decl: DataFrame, type_col: str, spark: SparkSession) ->
 _SIMPLE = {h: tmpl for h, tmpl, _ in TYPE_HEADS}
 
 
+_TYPE_TEXT = re.compile(r"([A-Z_]+)\s*(?:\(\s*(\d+)\s*(?:,\s*(\d+)\s*)?\))?")
+
+
 def simple_type_ddl(text: str) -> str:
-    """One simple type text -> Spark DDL type (driver side, for type trees)."""
-    t = text.strip().upper()
-    head = t.split("(", 1)[0].strip()
-    args = [int(a) for a in t[len(head):].strip().strip("()").replace(" ", "").split(",") if a]
+    """One simple type text -> Spark DDL type (driver side, for type trees), by the
+    rules of ``resolve_simple_types``; what those refuse raises."""
+    found = _TYPE_TEXT.fullmatch(text.strip().upper())
+    head = found[1] if found else text.split("(", 1)[0].strip().upper()
     if head not in _SIMPLE:
         raise ValueError(f"unsupported type {text!r}")
-    if len(args) < NEEDS_PARAMS.get(head, 0):
-        raise ValueError(f"type {text!r} needs {NEEDS_PARAMS[head]} parameter(s)")
+    if found is None:
+        raise ValueError(f"bad parameters in type {text!r}")
+    args = [int(a) for a in found.groups()[1:] if a is not None]
+    need = NEEDS_PARAMS.get(head, 0)
+    if len(args) < need:
+        raise ValueError(f"type {text!r} needs {need} parameter(s)")
+    refused = args and need == 0 and head != "TIME"
     if head == "DECIMAL":
-        return f"decimal({args[0]},{args[1]})"
-    return _SIMPLE[head]
+        refused = not (1 <= args[0] <= 38 and 0 <= args[1] <= args[0])
+    if head == "TIMESTAMP":
+        refused = args[0] > 9
+    if refused:
+        raise ValueError(f"bad parameters in type {text!r}")
+    return f"decimal({args[0]},{args[1]})" if head == "DECIMAL" else _SIMPLE[head]
 
 
 def tree_to_ddl(tree: str | dict, time_as_string: bool = False) -> str:

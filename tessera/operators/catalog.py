@@ -143,6 +143,44 @@ def table_overlay(data: DataFrame, ov: Overlay) -> DataFrame:
     return out
 
 
+class DeclaredTables:
+    """The declared tables that a user has initialised in a session.
+
+    ``initialise`` puts the computed columns and the watermark of an overlay into a
+    view of the table's name and merges the options by key, the user's over the
+    declared ones. A table is initialised once.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self._done: dict[str, tuple[dict, Overlay]] = {}
+
+    def initialise(self, name: str, data: DataFrame, options: dict[str, str], ov: Overlay) -> DataFrame:
+        if name in self._done:
+            raise ValueError(f"table {name} has been initialised already")
+        view = table_overlay(data, ov)
+        view.createOrReplaceTempView(name)
+        self._done[name] = ({**options, **ov.options}, ov)
+        return view
+
+    def options(self, name: str) -> dict[str, str]:
+        """The merged options of an initialised table."""
+        return dict(self._done[name][0])
+
+    def describe(self, name: str) -> DataFrame:
+        return describe_schema(self.spark, self.spark.table(name), self._done[name][1])
+
+
+def merged_options(definitions: DataFrame, user: DataFrame, keys=("table_id",)) -> DataFrame:
+    """``definitions`` (keys, options map, ...) with the options of ``user`` (keys, key,
+    value) put over the declared ones: B6 in map form, for a whole estate."""
+    own = option_pairs_unique(user, [*keys, "key"]).groupBy(*keys).agg(
+        F.map_from_entries(F.collect_list(F.struct("key", "value"))).alias("_user"))
+    none = F.create_map().cast("map<string,string>")
+    merged = map_override(F.coalesce("options", none), F.coalesce("_user", none))
+    return definitions.join(own, [*keys], "left").withColumn("options", merged).drop("_user")
+
+
 def describe_schema(spark: SparkSession, data: DataFrame, ov: Overlay | None = None) -> DataFrame:
     """Rows name, type, null, key, extras, watermark of a registered table."""
     ov = ov or Overlay()

@@ -233,3 +233,20 @@ def option_override(spark, sf_dir):
         F.col("o_orderkey").alias("table_id"), F.lit("line_1").alias("key"),
         F.col("o_orderpriority").alias("value"))
     return CAT.option_override(estate_options(spark, sf_dir), user)
+
+
+@query("overlay_options", f"""
+with opts as (select l_orderkey as table_id, 'line_' || l_linenumber as key, max(cast(l_partkey as varchar)) as value
+              from lineitem group by 1, 2),
+u as (select o_orderkey as table_id, 'line_1' as key, o_orderpriority as value from orders
+      union all select o_orderkey, 'status', o_orderstatus from orders),
+merged as (select table_id, coalesce(o.key, u.key) as key, coalesce(u.value, o.value) as value
+           from opts o full join (select u.* from u where table_id in (select table_id from opts)) u using (table_id, key))
+select table_id, 'order_' || table_id as table_name, string_agg(key || '=' || value, ',' order by key) as options_text
+from merged group by table_id""")
+def overlay_options(spark, sf_dir):
+    # Every order's table with the options its user adds: some replace, some are new.
+    orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("table_id"), F.explode(F.map_from_arrays(
+        F.array(F.lit("line_1"), F.lit("status")), F.array("o_orderpriority", "o_orderstatus"))).alias("key", "value"))
+    d = CAT.merged_options(CAT.table_definitions(lineitem_metadata(spark, sf_dir)), orders)
+    return d.select("table_id", "table_name", CAT.options_text(F.col("options")).alias("options_text"))

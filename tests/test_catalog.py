@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from tessera.functions import types as TY
@@ -130,3 +131,32 @@ def test_overlay_copies_computed_columns_without_watermark(spark):
     view = CAT.table_overlay(base, ov)
     assert view.columns == ["event_time", "secs"] and view.first().secs == 1646027
     assert not view.isStreaming
+
+
+def test_a_declared_table_is_initialised_once_and_its_options_merge(spark):
+    tables = CAT.DeclaredTables(spark)
+    data = spark.createDataFrame([(1646027324,)], "event_time bigint")
+    ov = CAT.Overlay(computed={"ts": "timestamp_millis(event_time)"}, watermark=("ts", "5 seconds"),
+                     options={"properties.group.id": "mine", "extra": "1"})
+    tables.initialise("once_only", data, {"topic": "t", "properties.group.id": "theirs"}, ov)
+    assert tables.options("once_only") == {"topic": "t", "properties.group.id": "mine", "extra": "1"}
+    assert spark.table("once_only").columns == ["event_time", "ts"]
+    assert {r.name: r.watermark for r in tables.describe("once_only").collect()}["ts"] != ""
+    with pytest.raises(ValueError, match="already"):
+        tables.initialise("once_only", data, {}, CAT.Overlay())
+    with pytest.raises(ValueError, match="unknown column"):
+        tables.initialise("other", data, {}, CAT.Overlay(columns=["nope"]))
+    spark.catalog.dropTempView("once_only")
+
+
+def test_one_rule_set_for_type_texts(spark):
+    texts = ["BIGINT", "BIGINT(5)", "DECIMAL(32, 2)", "DECIMAL(50,2)", "DECIMAL(5)", "DECIMAL(4,5)", "DECIMAL", "TIMESTAMP(3)",
+             "TIMESTAMP(99)", "TIMESTAMP", "TIME", "TIME(0)", "TINYINT", " int ", "BYTES", "STRING(3)", "DECIMAL(3,2,1)", "", "X("]
+    rows = TY.resolve_simple_types(spark.createDataFrame([(t,) for t in texts], "t string"), "t", spark).collect()
+    for r in rows:
+        try:
+            own = TY.simple_type_ddl(r.t)
+        except ValueError:
+            own = None
+        assert own == r.spark_type, r
+    assert sum(r.spark_type is not None for r in rows) == 7
