@@ -12,7 +12,7 @@ copies every input row once per column.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -33,6 +33,15 @@ def table_stats(df: DataFrame) -> DataFrame:
                         F.sum("s").cast("bigint").alias("total_size"))
 
 
+def partition_file_stats(df: DataFrame, part_cols: list[str]) -> DataFrame:
+    """Rows, files and bytes per partition of a file-backed table (E3); summed they are
+    the table's (E1)."""
+    files = df.groupBy(*part_cols, F.col("_metadata.file_path").alias("_f")).agg(
+        F.count(F.lit(1)).alias("n"), F.first("_metadata.file_size").alias("s"))
+    return files.groupBy(*part_cols).agg(F.sum("n").alias("row_count"), F.count(F.lit(1)).alias("file_count"),
+                                         F.sum("s").alias("total_size"))
+
+
 def row_count(df: DataFrame, name: str) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("row_count")).select(
         F.lit(name).alias("table_name"), "row_count")
@@ -109,6 +118,72 @@ def exact_ndv(df: DataFrame, group_cols: list[str], cols: list[str]) -> DataFram
     return out
 
 
+#: log2 of the buckets of a distinct-count sketch: a standard error of about 0.8 %.
+DISTINCT_LOG2 = 14
+
+
+def stored_stats(df: DataFrame, part_cols: list[str]) -> DataFrame:
+    """Statistics that add up (E2, E4): per partition and column, the counts and extremes
+    of ``column_stats`` with a HyperLogLog sketch of the distinct values and, for
+    numbers, a KLL sketch of the quantiles. One pass over the data; to be written, and
+    refreshed for single partitions by ``refreshed_stats``."""
+    body = [f for f in df.drop(*part_cols).schema.fields if isinstance(f.dataType, _STRINGY + _NUMERIC + _TIMES)]
+    aggs, rows = [F.count(F.lit(1)).alias("row_count")], []
+    nothing = F.lit(None)
+    for i, f in enumerate(body):
+        c, num, text = F.col(sql_ident(f.name)), isinstance(f.dataType, _NUMERIC), isinstance(f.dataType, _STRINGY)
+        # The distinct sketch takes integers and texts.
+        seen = c if isinstance(f.dataType, (T.IntegerType, T.LongType) + _STRINGY) else c.cast("string")
+        low, high = F.min(c), F.max(c)
+        aggs += [
+            F.count(c).alias(f"nn{i}"),
+            (low.cast("double") if num else nothing.cast("double")).alias(f"mnn{i}"),
+            (high.cast("double") if num else nothing.cast("double")).alias(f"mxn{i}"),
+            (nothing.cast("string") if num else low.cast("string")).alias(f"mns{i}"),
+            (nothing.cast("string") if num else high.cast("string")).alias(f"mxs{i}"),
+            (F.sum(F.length(c)) if text else nothing.cast("bigint")).alias(f"sl{i}"),
+            (F.max(F.length(c)) if text else nothing.cast("int")).alias(f"ml{i}"),
+            F.hll_sketch_agg(seen, DISTINCT_LOG2).alias(f"d{i}"),
+            (F.kll_sketch_agg_double(c.cast("double")) if num else nothing.cast("binary")).alias(f"q{i}"),
+        ]
+        rows.append(f"{sql_string(f.name)}, nn{i}, mnn{i}, mxn{i}, mns{i}, mxs{i}, sl{i}, ml{i}, d{i}, q{i}")
+    stack = (f"stack({len(rows)}, {', '.join(rows)}) as (column_name, non_nulls, min_num, max_num, min_str, max_str, "
+             "sum_len, max_len, distinct_sketch, quantile_sketch)")
+    wide = df.groupBy(*part_cols).agg(*aggs)
+    return wide.selectExpr(*[sql_ident(p) for p in part_cols], "row_count", stack)
+
+
+def merged_stats(stored: DataFrame, group_cols: list[str] | None = None,
+                 quantiles: tuple[float, ...] = (0.5,)) -> DataFrame:
+    """Statistics of the table, or of coarser groups of its partitions, from stored ones
+    alone: (group..., column_name, row_count, nulls, ndv, min_num, ..., quantiles).
+    ``ndv`` and the quantiles are the sketches' estimates; the rest is exact."""
+    group_cols = group_cols or []
+    sums = stored.groupBy(*group_cols, "column_name").agg(
+        F.sum("row_count").alias("row_count"), F.sum("non_nulls").alias("non_nulls"),
+        *[f(c).alias(c) for c, f in (("min_num", F.min), ("max_num", F.max), ("min_str", F.min), ("max_str", F.max))],
+        F.sum("sum_len").alias("sum_len"), F.max("max_len").cast("bigint").alias("max_len"),
+        F.hll_sketch_estimate(F.hll_union_agg("distinct_sketch")).alias("ndv"),
+        F.kll_merge_agg_double("quantile_sketch").alias("_q"))
+    at = F.array(*[F.lit(float(q)) for q in quantiles])
+    has = F.col("max_num").isNotNull()  # a sketch without values has no quantile
+    return sums.select(
+        *group_cols, "column_name", "row_count", (F.col("row_count") - F.col("non_nulls")).alias("nulls"), "ndv",
+        "min_num", "max_num", "min_str", "max_str", (F.col("sum_len") / F.col("non_nulls")).alias("avg_len"), "max_len",
+        F.when(has, F.kll_sketch_get_quantile_double(F.when(has, F.col("_q")), at)).alias("quantiles"))
+
+
+def refreshed_stats(stored: DataFrame, df: DataFrame, part_cols: list[str], spec: dict) -> DataFrame:
+    """``stored`` with the rows of one partition (``spec``: every key and its value)
+    computed anew from ``df``; the filter on the spec prunes all other partitions."""
+    if set(spec) != set(part_cols):
+        raise ValueError(f"partition spec {sorted(spec)} must name {sorted(part_cols)}")
+    one = F.lit(True)
+    for k, v in spec.items():
+        one = one & F.col(sql_ident(k)).eqNullSafe(F.lit(v))
+    return stored.where(~one).unionByName(stored_stats(df.where(one), part_cols))
+
+
 def partition_stats(df: DataFrame, part_cols: list[str]) -> DataFrame:
     """Rows per partition value combination."""
     return df.groupBy(*part_cols).agg(F.count(F.lit(1)).alias("row_count"))
@@ -130,6 +205,30 @@ def list_partitions(df: DataFrame, part_cols: list[str]) -> DataFrame:
     return specs.select(*part_cols, spec_text(part_cols).alias("spec"))
 
 
+def listed_partitions(spark: SparkSession, table_name: str, partial: dict | None = None) -> DataFrame:
+    """Partition specs of a catalog table (E5), or those that contain ``partial`` (E6),
+    from the catalog alone: key columns as text (null for the null partition) and
+    ``spec``. No file is opened and no row is read. A key that is not a partition key
+    matches nothing."""
+    keys = [c.name for c in spark.catalog.listColumns(table_name) if c.isPartition]
+    known = not partial or set(partial) <= set(keys)
+    clause = ""
+    if partial and known:
+        clause = " PARTITION (" + ", ".join(
+            f"{sql_ident(k)} = {'null' if v is None else sql_string(str(v))}" for k, v in partial.items()) + ")"
+    rows = spark.sql(f"SHOW PARTITIONS {table_name}{clause}")
+    rows = rows if known else rows.limit(0)
+    # The catalog gives k1=v1/k2=v2 with special characters of the values as %XX.
+    parts = F.split("partition", "/")
+
+    def value(i: int) -> Column:
+        text = F.substring_index(parts[i], "=", -1)
+        text = F.url_decode(F.replace(text, F.lit("+"), F.lit("%2B")))
+        return F.when(text != NULL_PARTITION, text)
+
+    return rows.select(*[value(i).alias(k) for i, k in enumerate(keys)]).withColumn("spec", spec_text(keys))
+
+
 def partitions_by_partial_spec(parts: DataFrame, part_cols: list[str],
                                partial: dict[str, str]) -> DataFrame:
     """Specs containing every given pair (E6); a key that is not a partition

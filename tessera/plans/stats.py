@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+from contextlib import contextmanager
 from functools import reduce
 
 from pyspark.sql import functions as F
 
 from tessera.operators import stats as st
 from tessera.plans.registry import query
+from tessera.session import cut_lineage, scratch_path
+from tessera.sources import sinks
 from tessera.sources.tables import TABLE_NAMES, table
 
 PART_COLS = ["l_returnflag", "l_linestatus"]
@@ -60,11 +64,13 @@ def table_row_counts(spark, sf_dir):
                   [st.row_count(table(spark, sf_dir, t), t) for t in TABLE_NAMES])
 
 
-@query("table_stats")
+@query("table_stats", """
+select count(*) as row_count, true as has_files, true as has_bytes from lineitem""")
 def table_stats(spark, sf_dir):
-    # File count and bytes come from file metadata, which SQL views do not
-    # expose: checked for rows only.
-    return st.table_stats(table(spark, sf_dir, "lineitem"))
+    # How many files of how many bytes is the layout's business, which SQL views do
+    # not show: that there are some is checked.
+    t = st.table_stats(table(spark, sf_dir, "lineitem"))
+    return t.select("row_count", (F.col("file_count") > 0).alias("has_files"), (F.col("total_size") > 0).alias("has_bytes"))
 
 
 @query("column_stats", _col_stats_sql(LINEITEM_COLS, []))
@@ -72,11 +78,45 @@ def column_stats(spark, sf_dir):
     return st.column_stats(table(spark, sf_dir, "lineitem"), exact_distinct=True)
 
 
+@contextmanager
+def partitioned_table(spark, sf_dir, cols):
+    """lineitem as a catalog table with one file a partition; dropped afterwards (an
+    external table: its files stay)."""
+    name = f"lineitem_{uuid.uuid4().hex[:10]}"
+    li = partitioned(spark, sf_dir).select(*cols, *PART_COLS)
+    sinks.create_partitioned_table(spark, name, li.repartition(*PART_COLS), PART_COLS, scratch_path(spark, name))
+    try:
+        yield name
+    finally:
+        spark.sql(f"DROP TABLE {name}")
+
+
 @query("partition_stats", f"""
-select l_returnflag, l_linestatus, count(*) as row_count from {PART_SQL}
-group by l_returnflag, l_linestatus""")
+select l_returnflag, l_linestatus, count(*) as row_count, cast(1 as bigint) as file_count, true as has_bytes
+from {PART_SQL} group by l_returnflag, l_linestatus""")
 def partition_stats(spark, sf_dir):
-    return st.partition_stats(partitioned(spark, sf_dir), PART_COLS)
+    # Written with one file a partition, so the file count is known.
+    with partitioned_table(spark, sf_dir, ["l_orderkey"]) as name:
+        t = st.partition_file_stats(spark.table(name), PART_COLS)
+        # A row a partition, kept so that the table can go.
+        return cut_lineage(t.select(*PART_COLS, "row_count", "file_count", (F.col("total_size") > 0).alias("has_bytes")))
+
+
+_MERGED_COLS = [(c, k) for c, k in LINEITEM_COLS if c not in PART_COLS]
+
+
+@query("merged_column_stats", f"""
+select column_name, row_count, nulls, min_num, max_num, min_str, max_str, true as ndv_within_3_percent
+from ({_col_stats_sql(_MERGED_COLS, [], PART_SQL)})""")
+def merged_column_stats(spark, sf_dir):
+    # Sketches stored per partition add up to the table's statistics; the distinct
+    # estimate is held against the exact count.
+    li = partitioned(spark, sf_dir)
+    merged = st.merged_stats(st.stored_stats(li, PART_COLS))
+    exact = st.exact_ndv(li, [], [c for c, _ in _MERGED_COLS]).withColumnRenamed("ndv", "exact")
+    near = F.abs(F.col("ndv") - F.col("exact")) <= 0.03 * F.col("exact")
+    return merged.join(exact, "column_name").select(
+        "column_name", "row_count", "nulls", "min_num", "max_num", "min_str", "max_str", near.alias("ndv_within_3_percent"))
 
 
 @query("partition_column_stats", _col_stats_sql(LINEITEM_COLS, PART_COLS, PART_SQL))
@@ -89,7 +129,8 @@ select distinct l_returnflag, l_linestatus, 'l_returnflag=' || coalesce(l_return
        || '/l_linestatus=' || coalesce(l_linestatus, '{_NULL_TEXT}') as spec
 from {PART_SQL}""")
 def list_partitions(spark, sf_dir):
-    return st.list_partitions(partitioned(spark, sf_dir), PART_COLS)
+    with partitioned_table(spark, sf_dir, ["l_orderkey"]) as name:
+        return st.listed_partitions(spark, name)
 
 
 @query("partitions_by_partial_spec", f"""
@@ -97,8 +138,16 @@ select distinct l_returnflag, l_linestatus,
        'l_returnflag=' || l_returnflag || '/l_linestatus=' || l_linestatus as spec
 from {PART_SQL} where l_linestatus = 'O'""")
 def partitions_by_partial_spec(spark, sf_dir):
-    parts = st.list_partitions(partitioned(spark, sf_dir), PART_COLS)
-    return st.partitions_by_partial_spec(parts, PART_COLS, {"l_linestatus": "O"})
+    with partitioned_table(spark, sf_dir, ["l_orderkey"]) as name:
+        return st.listed_partitions(spark, name, {"l_linestatus": "O"})
+
+
+@query("partitions_by_null_value", f"""
+select distinct l_returnflag, l_linestatus, 'l_returnflag=' || l_returnflag || '/l_linestatus={_NULL_TEXT}' as spec
+from {PART_SQL} where l_linestatus is null""")
+def partitions_by_null_value(spark, sf_dir):
+    with partitioned_table(spark, sf_dir, ["l_orderkey"]) as name:
+        return st.listed_partitions(spark, name, {"l_linestatus": None})
 
 
 @query("partition_exists", f"""

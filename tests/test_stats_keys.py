@@ -80,3 +80,46 @@ def test_column_stats_odd_names(spark):
     df = spark.createDataFrame([(1, "a"), (2, None)], "`it's` int, `we``ird` string")
     got = {r.column_name: (r.nulls, r.ndv) for r in st.column_stats(df, exact_distinct=True).collect()}
     assert got == {"it's": (0, 2), "we`ird": (1, 1)}
+
+
+def test_stored_statistics_add_up_and_are_refreshed_alone(spark):
+    from tessera.operators import stats as st
+    rows = [(i, i % 3 if i % 10 else None, f"s{i % 70}", float(i % 50)) for i in range(3000)]
+    df = spark.createDataFrame(rows, "id long, p int, s string, x double")
+    stored = st.stored_stats(df, ["p"])
+    merged = {r.column_name: r for r in st.merged_stats(stored, quantiles=(0.0, 0.5, 1.0)).collect()}
+    direct = {r.column_name: r for r in st.column_stats(df.drop("p"), exact_distinct=True).collect()}
+    for name, m in merged.items():
+        d = direct[name]
+        assert (m.row_count, m.nulls, m.min_num, m.max_num, m.min_str, m.max_str, m.avg_len, m.max_len) == (
+            d.row_count, d.nulls, d.min_num, d.max_num, d.min_str, d.max_str, d.avg_len, d.max_len)
+        assert abs(m.ndv - d.ndv) <= 0.03 * d.ndv
+    assert merged["s"].quantiles is None and merged["id"].quantiles[0] == 0 and merged["id"].quantiles[2] == 2999
+    assert abs(merged["id"].quantiles[1] - 1500) < 60
+    changed = df.where("p is distinct from 1 or id > 100").unionByName(
+        spark.createDataFrame([(9999, 1, "new", -5.0)], df.schema))
+    again = st.merged_stats(st.refreshed_stats(stored, changed, ["p"], {"p": 1}))
+    whole = st.merged_stats(st.stored_stats(changed, ["p"]))
+    exact = lambda df: sorted(map(tuple, df.drop("ndv", "quantiles").collect()))
+    assert exact(again) == exact(whole) and again.where("column_name = 'id'").first().max_num == 9999
+    with pytest.raises(ValueError):
+        st.refreshed_stats(stored, df, ["p"], {"q": 1})
+
+
+def test_partitions_are_listed_without_reading(spark):
+    import uuid
+    from tessera.operators import stats as st
+    from tessera.session import scratch_path
+    from tessera.sources import sinks
+    name = f"listed_{uuid.uuid4().hex[:8]}"
+    df = spark.createDataFrame([(1, "a/b c", 1), (2, "x=+%", 2), (3, None, 2)], "v int, k string, n int")
+    sinks.create_partitioned_table(spark, name, df, ["k", "n"], scratch_path(spark, name))
+    try:
+        listed = st.listed_partitions(spark, name)
+        assert sorted(((r.k, r.n) for r in listed.collect()), key=repr) == [("a/b c", "1"), ("x=+%", "2"), (None, "2")]
+        assert "Scan parquet" not in listed._jdf.queryExecution().executedPlan().toString()
+        assert [r.k for r in st.listed_partitions(spark, name, {"n": 1}).collect()] == ["a/b c"]
+        assert [r.n for r in st.listed_partitions(spark, name, {"k": None}).collect()] == ["2"]
+        assert st.listed_partitions(spark, name, {"v": 1}).count() == 0
+    finally:
+        spark.sql(f"drop table {name}")
