@@ -11,11 +11,12 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.session import checkpoint_dir
 
-#: Rows (of at most a few dozen bytes each) below which a side may be broadcast.
-BROADCAST_ROWS = 500_000
+#: Measured bytes up to which a side may be broadcast.
+BROADCAST_BYTES = 16 << 20
 #: Text bytes that one vectorised step inside a task works on.
 SLICE_BYTES = 1 << 20
 
@@ -28,18 +29,44 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """Cut the lineage: write ``df`` below the shared checkpoint folder and read it back.
 
     The files are on storage every executor sees, so a lost executor costs a
-    re-read and not a recomputation.
+    re-read and not a recomputation. ``dropped`` removes them after the last use.
     """
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint for a written table of at most ``max_rows`` narrow rows
-    (counted from the file footers); a larger one joins by shuffle."""
-    return F.broadcast(df) if df.count() <= max_rows else df
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_to = path
+    return out
+
+
+def dropped(*tables: DataFrame) -> None:
+    """Remove tables that ``written`` made, once nothing that is still to run reads them."""
+    for df in tables:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.written_to)
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def measured_bytes(df: DataFrame) -> int:
+    """Bytes of all values of a written table, by one aggregate over it: 16 for a number,
+    the length of strings and binaries, and for other types twice their JSON text."""
+    total = F.lit(0)
+    for f in df.schema.fields:
+        c, kind = F.col(f"`{f.name}`"), f.dataType
+        if isinstance(kind, (T.StringType, T.BinaryType)):
+            total = total + 16 + F.coalesce(F.octet_length(c), F.lit(0))
+        elif isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.NumericType):
+            total = total + 16 * (1 + F.greatest(F.size(c), F.lit(0)))
+        elif isinstance(kind, (T.ArrayType, T.StructType, T.MapType)):
+            total = total + 16 + 2 * F.coalesce(F.octet_length(F.to_json(F.struct(c))), F.lit(0))
+        else:
+            total = total + 16
+    return df.agg(F.sum(total.cast("bigint"))).first()[0] or 0
+
+
+def small(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Broadcast hint for a written table of at most ``max_bytes``, measured; a larger
+    one joins by shuffle."""
+    return F.broadcast(df) if measured_bytes(df) <= max_bytes else df
 
 
 def fold(label: Column, modulus: int) -> Column:

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import written
+from tessera.llm.common import dropped, written
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -35,16 +35,28 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     return out.where(F.col("a") != F.col("b")).distinct()
 
 
+def _edges(edges: DataFrame) -> DataFrame:
+    return edges.where(F.col("a") != F.col("b")).select(
+        F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+
+
+def joined(edges: DataFrame) -> DataFrame:
+    """(vertex, root): labels after one round of stars. Vertices of one label are
+    connected, but a component may still have several; cheap, for use on the way."""
+    now = _star(_star(_edges(edges), True), False)
+    return now.groupBy(F.col("a").alias("vertex")).agg(F.min("b").alias("root"))
+
+
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """(vertex, root) for every vertex of ``edges`` (a, b) that is not itself a
     root; the root is its component's smallest vertex."""
-    now = written(edges.where(F.col("a") != F.col("b")).select(
-        F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
+    now = written(_edges(edges), "edges")
     before = None
     for _ in range(max_rounds):
         state = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if state == before or state[0] == 0:
             return now.select(F.col("a").alias("vertex"), F.col("b").alias("root"))
-        before = state
+        before, last = state, now
         now = written(_star(_star(now, True), False), "edges")
+        dropped(last)
     raise RuntimeError(f"components did not settle in {max_rounds} rounds")

@@ -14,17 +14,22 @@ doc_id. Copies (equal sets) are one class from the start and join once.
 2. *Near copies.* Every class is compared with one class it shares most trees
    with. Those that link get one label, so a tree over thousands of near copies
    has one label and needs no further work.
-3. *Trees with two labels or more.* Members are split by size band and, in
-   large trees, into blocks whose pairs are separate tasks. The members of a
-   task are the leaves of a signature tree: a node holds the OR of its members'
-   bitmaps (of the prefix tokens they share with others) and their range of
-   sizes. Sets of sizes x, y that link share at least
-   ``ceil(0.8 (x + y) / 1.8) - ceil(0.8 max(x, y)) + 1`` prefix tokens. Two nodes
-   are descended into only if their sizes, their labels and the largest overlap
-   that their bitmaps allow leave room for that.
-4. *Verification* counts the exact intersection of the two sets: first of a few
-   pairs for each label, then of all pairs whose ends are still in different
-   groups.
+3. *Signature trees.* Members of a tree with two labels or more are split by size
+   band and, in large trees, into blocks whose pairs are separate tasks. The
+   members of a task are the leaves of a signature tree: a node holds the OR of
+   its members' bitmaps and their range of sizes. Two nodes are descended into
+   only if their sizes, their labels and the largest overlap that their bitmaps
+   allow leave room for a link.
+4. *Rounds.* The bitmaps are of whole sets: what two of them have in common, and the
+   tokens that share a bit, bound the overlap from above, and sets of sizes x, y that
+   link share at least ``ceil(0.8 (x + y) / 1.8)``. First they have few bits a token.
+   A task gives each member's best partner only, so a round's pairs grow with the
+   members and not with their square, and all members of a group find its centre.
+   These pairs are verified, links join labels, and the next round looks only at
+   classes that still have a partner under another label.
+5. *Rest.* What is left gets bitmaps of more bits a token, which rule out nearly all
+   sets that do not link; every pair of two labels that remains is verified.
+   Nothing is decided without an exact count of the common shingles of two sets.
 
 Null or wordless texts have an empty set and link with nothing. Repeated rows
 are copies. A row without a doc_id makes no links of its own; it gets the
@@ -40,8 +45,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import small, text_slices, written
-from tessera.llm.graph import components
+from tessera.llm.common import dropped, small, text_slices, written
+from tessera.llm.graph import components, joined
 from tessera.llm.words import mix, shingle_sets
 
 SHINGLE_WORDS = 5
@@ -50,7 +55,11 @@ THRESHOLD = 80  # of 100
 COUNT_BLOCK = 1 << 20
 COUNT_REPORTED = 4
 MIN_HEAVY = 32
-BITS_PER_TOKEN = 4
+#: Bits of the rounds' bitmaps and of the last ones, for each token of a set.
+COARSE_BITS = 2
+FINE_BITS = 8
+#: Rounds of best partners at most; what they leave is verified pair by pair.
+ROUNDS = 2
 #: A larger tree is cut into blocks of about so many members, or tokens in all.
 BLOCK_MEMBERS = 2048
 BLOCK_TOKENS = 1 << 25
@@ -120,14 +129,16 @@ def heavy_tokens(docs: DataFrame, k: int) -> tuple[np.ndarray, np.ndarray]:
     counts = written(counts, "heavy")
     blocks = counts.where("block").agg(F.sum("n")).first()[0] or 0
     rows = counts.where(~F.col("block") & (F.col("n") >= max(MIN_HEAVY, blocks))).select("token", "n").toPandas()
+    dropped(counts)
     tokens = rows["token"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(tokens)
     return tokens[order], rows["n"].to_numpy(np.int64)[order]
 
 
 def postings(docs: DataFrame, heavy: tuple[np.ndarray, np.ndarray], k: int, threshold: int) -> DataFrame:
-    """doc_id, n, class_id, class_check and the prefix of every document. The
-    prefix of a set that the task has already given is left out (null)."""
+    """doc_id, n, class_id, class_check, prefix, maps of every document: the prefix of its
+    set, and the set's coarse bitmaps for its own size band and the next. Both are left
+    out (null) for a set that the task has already given."""
     shared = docs.sparkSession.sparkContext.broadcast(heavy)
     kind = docs.schema["doc_id"].dataType.simpleString()
 
@@ -135,7 +146,7 @@ def postings(docs: DataFrame, heavy: tuple[np.ndarray, np.ndarray], k: int, thre
         tokens_of, counts_of = shared.value
         seen = set()
         for batch in batches:
-            n, first, second, prefix = [], [], [], []
+            n, first, second, prefix, maps = [], [], [], [], []
             for row, tokens in _sets(batch, k):
                 key = _set_key(tokens)
                 n.append(len(tokens))
@@ -143,6 +154,7 @@ def postings(docs: DataFrame, heavy: tuple[np.ndarray, np.ndarray], k: int, thre
                 second.append(key[1])
                 if not len(tokens) or key in seen or not batch.column(0)[row].is_valid:
                     prefix.append(None)
+                    maps.append(None)
                     continue
                 seen.add(key)
                 rank = np.zeros(len(tokens), np.int64)
@@ -151,13 +163,16 @@ def postings(docs: DataFrame, heavy: tuple[np.ndarray, np.ndarray], k: int, thre
                     rank = np.where(tokens_of[at] == tokens, counts_of[at], 0)
                 own = np.lexsort((tokens, rank))[:prefix_length(len(tokens), threshold)]
                 prefix.append(_signed(tokens[own]))
+                band = size_band(len(tokens))
+                maps.append([bitmap(tokens, bitmap_words(at, COARSE_BITS)).tobytes() for at in (band, band + 1)])
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(n, pa.int64()), pa.array(first, pa.int64()),
-                 pa.array(second, pa.int64()), pa.array(prefix, pa.list_(pa.int64()))],
-                ["doc_id", "n", "class_id", "class_check", "prefix"])
+                 pa.array(second, pa.int64()), pa.array(prefix, pa.list_(pa.int64())),
+                 pa.array(maps, pa.list_(pa.binary()))],
+                ["doc_id", "n", "class_id", "class_check", "prefix", "maps"])
 
     return docs.mapInArrow(run, f"doc_id {kind}, n bigint, class_id bigint, class_check bigint, "
-                                "prefix array<bigint>")
+                                "prefix array<bigint>, maps array<binary>")
 
 
 def trees(posted: DataFrame, threshold: int) -> DataFrame:
@@ -233,15 +248,17 @@ def near_pairs(grown: DataFrame, threshold: int) -> DataFrame:
 
 def class_sets(docs: DataFrame, needed: DataFrame, k: int) -> DataFrame:
     """(class_id, n, tokens binary) of the classes in ``needed`` (doc_id, class_id):
-    the text of one document of each is hashed again. Repeated rows repeat."""
+    the text of one document of each is hashed again. Repeated rows give at most one a task."""
     rows = docs.join(small(needed), "doc_id").select("text", "class_id", "class_check")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        given = set()
         for batch in batches:
             own, check = batch.column(1).to_pylist(), batch.column(2).to_pylist()
             ids, n, blobs = [], [], []
             for i, tokens in _sets(batch, k):
-                if _set_key(tokens) == (own[i], check[i]):  # not another row with the same doc_id
+                if own[i] not in given and _set_key(tokens) == (own[i], check[i]):  # not another row with the same doc_id
+                    given.add(own[i])
                     ids.append(own[i])
                     n.append(len(tokens))
                     blobs.append(tokens.tobytes())
@@ -271,13 +288,21 @@ def verified(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
     return rows.mapInArrow(run, "a bigint, b bigint").distinct()
 
 
-def linked(docs: DataFrame, classes: DataFrame, pairs: DataFrame, k: int, threshold: int) -> DataFrame:
-    """The pairs (a, b) of classes that meet the threshold."""
-    pairs = written(pairs, "pairs")
-    asked = pairs.select(F.explode(F.array("a", "b")).alias("class_id")).distinct()
+def sets_of(docs: DataFrame, classes: DataFrame, asked: DataFrame, k: int) -> DataFrame:
+    """Written (class_id, n, tokens) of the classes in ``asked`` (class_id)."""
     needed = written(classes.join(asked, "class_id").select(
         F.col("pick.doc_id").alias("doc_id"), "class_id", F.col("pick.class_check").alias("class_check")), "needed")
-    return verified(pairs, written(class_sets(docs, needed, k), "sets"), threshold)
+    sets = written(class_sets(docs, needed, k), "sets")
+    dropped(needed)
+    return sets
+
+
+def linked(docs: DataFrame, classes: DataFrame, pairs: DataFrame, k: int, threshold: int) -> DataFrame:
+    """Written: those of the written pairs (a, b) of classes that meet the threshold."""
+    sets = sets_of(docs, classes, pairs.select(F.explode(F.array("a", "b")).alias("class_id")).distinct(), k)
+    links = written(verified(pairs, sets, threshold), "links")
+    dropped(sets)
+    return links
 
 
 def bitmap(tokens: np.ndarray, words: int) -> np.ndarray:
@@ -288,9 +313,14 @@ def bitmap(tokens: np.ndarray, words: int) -> np.ndarray:
     return out
 
 
-def bitmap_words(band: int, threshold: int) -> int:
-    """Width of the bitmaps of one size band: by the longest prefix in it."""
-    return max(1, prefix_length(int(1.25 ** (band + 1)) + 1, threshold) * BITS_PER_TOKEN // 64)
+def size_band(n: int) -> int:
+    """Sets of sizes that may link are in one band or in neighbours."""
+    return int(np.floor(np.log(n) / np.log(1.25) + 1e-9))
+
+
+def bitmap_words(band: int, bits: int) -> int:
+    """Width of the bitmaps of one size band, for so many bits a token."""
+    return max(1, (int(1.25 ** (band + 1)) + 1) * bits // 64)
 
 
 class SignatureTree:
@@ -324,8 +354,7 @@ class SignatureTree:
             common = np.bitwise_count(b1[p] & b2[q]).sum(axis=1, dtype=np.int64)
             most = common + np.minimum(s1[p], s2[q])
             overlap = -(-threshold * (lo1[p] + lo2[q]) // (100 + threshold))
-            need = overlap + threshold * np.maximum(hi1[p], hi2[q]) // -100 + 1
-            fits[a:a + step] = most >= np.maximum(need, 1)
+            fits[a:a + step] = most >= np.maximum(overlap, 1)
         keep[np.flatnonzero(keep)[~fits]] = False
         return keep
 
@@ -346,6 +375,17 @@ class SignatureTree:
                 once = i <= j if level else i < j
                 i, j = i[once], j[once]
 
+    def common(self, other: SignatureTree, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """Largest overlap of the bitmaps' tokens that member pairs can have."""
+        bits, _, _, _, _, spare = self.levels[0]
+        bits2, _, _, _, _, spare2 = other.levels[0]
+        out = np.minimum(spare[i], spare2[j])
+        step = max(1, (1 << 21) // bits.shape[1])
+        for a in range(0, len(i), step):
+            p, q = i[a:a + step], j[a:a + step]
+            out[a:a + step] += np.bitwise_count(bits[p] & bits2[q]).sum(axis=1, dtype=np.int64)
+        return out
+
     def _children(self, nodes: np.ndarray, level: int):
         """First child and number of children of ``nodes`` one level down."""
         if level >= len(self.levels) - 1:  # this tree has no such level yet: the node stays
@@ -363,133 +403,228 @@ def _paired(a: tuple, b: tuple) -> tuple[np.ndarray, np.ndarray]:
     return fa[owner] + within // nb[owner], fb[owner] + within % nb[owner]
 
 
-def signatures(grown: DataFrame, threshold: int) -> DataFrame:
-    """(class_id, at, band, bits, spare): each class's shared prefix tokens as a
-    bitmap of its own size band's width and of the next one's."""
-    own = grown.groupBy("class_id").agg(F.max("n").alias("n"), F.collect_list(F.struct("tree", "weight")).alias("t"))
-    rows = own.select("class_id", F.floor(F.log("n") / F.log(F.lit(1.25)) + F.lit(1e-9)).cast("int").alias("band"),
-                      F.col("t.tree").alias("trees"), F.col("t.weight").alias("weights"))
+_SIGNED = "class_id bigint, at int, band int, bits binary, spare bigint"
+
+
+def _signature_rows(cls: list[int], n: list[int], maps: list[bytes]) -> pa.RecordBatch:
+    """Two rows a class; ``maps`` alternate between its own band's bitmap and the next's."""
+    band = np.repeat([size_band(m) for m in n], 2).astype(np.int32)
+    bits = np.array([np.bitwise_count(np.frombuffer(m, np.uint64)).sum(dtype=np.int64) for m in maps], np.int64)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(np.repeat(np.array(cls, np.int64), 2)), pa.array(band + np.arange(len(band), dtype=np.int32) % 2),
+         pa.array(band), pa.array(maps, pa.binary()), pa.array(np.repeat(np.array(n, np.int64), 2) - bits)],
+        ["class_id", "at", "band", "bits", "spare"])
+
+
+def coarse_signatures(posted: DataFrame, grown: DataFrame) -> DataFrame:
+    """(class_id, at, band, bits, spare): the coarse bitmaps of the classes in trees, of
+    the width of their own size band and of the next one's."""
+    rows = (posted.where(F.col("maps").isNotNull()).join(grown.select("class_id").distinct(), "class_id", "left_semi")
+            .groupBy("class_id", "n").agg(F.max(F.col("maps")[0]).alias("own"), F.max(F.col("maps")[1]).alias("next")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[tuple] = []
+            cls, n, own, further = (c.to_pylist() for c in batch.columns)
+            if cls:
+                yield _signature_rows(cls, n, [m for pair in zip(own, further, strict=True) for m in pair])
+
+    return rows.mapInArrow(run, _SIGNED)
+
+
+def fine_signatures(sets: DataFrame) -> DataFrame:
+    """(class_id, at, band, bits, spare): the fine bitmaps of sets (class_id, n, tokens)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n, maps = [], []
             for i in range(batch.num_rows):
-                cls, band = batch.column(0)[i].as_py(), batch.column(1)[i].as_py()
-                tree = batch.column(2)[i].values.to_numpy().view(np.uint64)
-                weight = batch.column(3)[i].values.to_numpy()
-                nth = np.arange(int(weight.sum())) - np.repeat(np.cumsum(weight) - weight, weight)
-                tokens = np.repeat(tree, weight) + nth.astype(np.uint64) * _U(0x9E3779B97F4A7C15)
-                for at in (band, band + 1):
-                    bits = bitmap(tokens, bitmap_words(at, threshold))
-                    out.append((cls, at, band, bits.tobytes(), len(tokens) - int(np.bitwise_count(bits).sum(dtype=np.int64))))
-            cols = list(zip(*out, strict=True)) or [()] * 5
-            kinds = (pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(cols, kinds, strict=True)],
-                                             ["class_id", "at", "band", "bits", "spare"])
-
-    return rows.mapInArrow(run, "class_id bigint, at int, band int, bits binary, spare bigint")
-
-
-def tree_pairs(members: DataFrame, signed: DataFrame, threshold: int) -> DataFrame:
-    """Candidate pairs (a, b) of classes with different labels from trees
+                tokens = np.frombuffer(batch.column(1)[i].as_buffer(), np.uint64)
+                band = size_band(len(tokens))
+                n.append(len(tokens))
+                maps += [bitmap(tokens, bitmap_words(at, FINE_BITS)).tobytes() for at in (band, band + 1)]
+            if n:
+                yield _signature_rows(batch.column(0).to_pylist(), n, maps)
+
+    return sets.select("class_id", "tokens").mapInArrow(run, _SIGNED)
+
+
+_TASK = ["tree", "at", "i", "j"]
+
+
+def tree_tasks(members: DataFrame, signed: DataFrame) -> DataFrame:
+    """The rows of the tasks (tree, at, i, j), together and sorted, from trees
     (tree, class_id, n, label) with two labels or more."""
+    band = F.floor(F.log("n") / F.log(F.lit(1.25)) + F.lit(1e-9)).cast("int")  # as size_band
+    members = members.withColumn("band", band)
     sizes = members.groupBy("tree").agg(
         F.ceil(F.greatest(F.count("*") / BLOCK_MEMBERS, F.sum("n") / BLOCK_TOKENS)).cast("int").alias("blocks"),
-        F.min("label").alias("lo"), F.max("label").alias("hi"))
-    mixed = (members.join(sizes.where("lo <> hi").select("tree", "blocks"), "tree")
-             .withColumn("block", F.pmod(F.xxhash64("class_id"), F.col("blocks")).cast("int")))
+        F.min("label").alias("lo"), F.max("label").alias("hi"), F.collect_set("band").alias("bands"))
     # A link joins sizes of one band or of neighbours: task (tree, at, i, j) gets blocks
-    # i <= j of band ``at`` and of the one below.
-    rows = (mixed.join(signed, "class_id")
+    # i <= j of band ``at`` and of the one below, if the tree has band ``at``.
+    both = F.array("band", F.col("band") + 1)
+    mixed = (members.join(sizes.where("lo <> hi").select("tree", "blocks", "bands"), "tree")
+             .select("tree", "class_id", "n", "label", "blocks",
+                     F.pmod(F.xxhash64("class_id"), F.col("blocks")).cast("int").alias("block"),
+                     F.explode(F.array_intersect(both, "bands")).alias("at")))
+    rows = (mixed.join(signed, ["class_id", "at"])
             .select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
             .select("tree", "at", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
                     "block", "band", "class_id", "n", "label", "bits", "spare"))
-    names = ["tree", "at", "i", "j", "block", "band", "class_id", "n", "label"]
-
-    def tasks(part: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Pairs from whole tasks, rows sorted by task, label, n."""
-        tree, at, i, j, block, band, cls, n, label, spare = (
-            part.column(c).to_numpy().astype(np.int64) for c in (*names[:9], "spare"))
-        blobs = part.column("bits").combine_chunks()
-        blobs = blobs.chunk(0) if isinstance(blobs, pa.ChunkedArray) else blobs
-        offsets = np.frombuffer(blobs.buffers()[1], np.int32)[blobs.offset:blobs.offset + len(blobs) + 1]
-        data = np.frombuffer(blobs.buffers()[2], np.uint8)
-        new = np.ones(len(tree), bool)
-        for c in (tree, at, i, j):
-            new[1:] &= c[1:] == c[:-1]
-        new[1:] = ~new[1:]
-        starts = np.append(np.flatnonzero(new), len(tree))
-        for s, e in zip(starts[:-1], starts[1:], strict=True):
-            if label[s] == label[e - 1]:  # sorted: one label
-                continue
-            here, left = band[s:e] == at[s], block[s:e] == i[s]
-            if not here.any():
-                continue
-            bits = data[offsets[s]:offsets[e]].view(np.uint64).reshape(e - s, -1)
-
-            def tree_of(rows: np.ndarray) -> tuple[np.ndarray, SignatureTree] | None:
-                own = np.flatnonzero(rows)
-                return (own, SignatureTree(bits[own], n[s:e][own], label[s:e][own], spare[s:e][own])) if len(own) else None
-
-            near = tree_of(here & left)
-            if i[s] == j[s]:
-                sides = [(near, near), (near, tree_of(~here))]
-            else:
-                other = tree_of(here & ~left)
-                sides = [(near, other), (near, tree_of(~here & ~left)), (other, tree_of(~here & left))]
-            for x, y in sides:
-                if x and y:
-                    p, q = x[1].join(y[1], threshold)
-                    yield cls[s:e][x[0][p]], cls[s:e][y[0][q]]
-
+    return rows.repartition(*_TASK).sortWithinPartitions(*_TASK, "label", "n", "class_id")
+
+
+def task_pairs(part: pa.Table, threshold: int) -> Iterator[tuple]:
+    """(classes a, classes b, largest overlap) of the pairs that whole tasks cannot rule
+    out; rows sorted by task, label, n."""
+    tree, at, i, j, block, band, cls, n, label, spare = (
+        part.column(c).to_numpy().astype(np.int64) for c in (*_TASK, "block", "band", "class_id", "n", "label", "spare"))
+    blobs = part.column("bits").combine_chunks()
+    blobs = blobs.chunk(0) if isinstance(blobs, pa.ChunkedArray) else blobs
+    offsets = np.frombuffer(blobs.buffers()[1], np.int32)[blobs.offset:blobs.offset + len(blobs) + 1]
+    data = np.frombuffer(blobs.buffers()[2], np.uint8)
+    new = np.ones(len(tree), bool)
+    for c in (tree, at, i, j):
+        new[1:] &= c[1:] == c[:-1]
+    new[1:] = ~new[1:]
+    starts = np.append(np.flatnonzero(new), len(tree))
+    for s, e in zip(starts[:-1], starts[1:], strict=True):
+        if label[s] == label[e - 1]:  # sorted: one label
+            continue
+        here, left = band[s:e] == at[s], block[s:e] == i[s]
+        if not here.any():
+            continue
+        bits = data[offsets[s]:offsets[e]].view(np.uint64).reshape(e - s, -1)
+
+        def tree_of(rows: np.ndarray) -> tuple[np.ndarray, SignatureTree] | None:
+            own = np.flatnonzero(rows)
+            return (own, SignatureTree(bits[own], n[s:e][own], label[s:e][own], spare[s:e][own])) if len(own) else None
+
+        near = tree_of(here & left)
+        if i[s] == j[s]:
+            sides = [(near, near), (near, tree_of(~here))]
+        else:
+            other = tree_of(here & ~left)
+            sides = [(near, other), (near, tree_of(~here & ~left)), (other, tree_of(~here & left))]
+        for x, y in sides:
+            if x and y:
+                p, q = x[1].join(y[1], threshold)
+                if len(p):
+                    yield cls[s:e][x[0][p]], cls[s:e][y[0][q]], x[1].common(y[1], p, q)
+
+
+def _best(parts: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
+    """Of rows (class, partner, common) the one of greatest ``common`` for each class,
+    ties to the smaller partner."""
+    cls, partner, common = (np.concatenate(c) for c in zip(*parts, strict=True))
+    order = np.lexsort((partner, -common, cls))
+    order = order[np.append(True, np.diff(cls[order]) != 0)] if len(order) else order
+    return cls[order], partner[order], common[order]
+
+
+def _whole_tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The sorted rows of a partition, cut between tasks."""
+    rest: pa.Table | None = None
+    for batch in batches:
+        part = pa.Table.from_batches([batch])
+        part = part if rest is None else pa.concat_tables([rest, part])
+        if not part.num_rows:
+            continue
+        last = np.ones(part.num_rows, bool)
+        for c in _TASK:
+            col = part.column(c).to_numpy()
+            last &= col == col[-1]
+        cut = part.num_rows - int(np.argmin(last[::-1])) if not last.all() else 0
+        rest = part.slice(cut)
+        if cut:
+            yield part.slice(0, cut)
+    if rest is not None and rest.num_rows:
+        yield rest
+
+
+def best_partners(members: DataFrame, signed: DataFrame, threshold: int) -> DataFrame:
+    """(class_id, partner): for every class that may link with one of another label,
+    the one with which it may have the largest overlap."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest: pa.Table | None = None
-
-        def found(part: pa.Table) -> pa.RecordBatch:
-            pairs = list(tasks(part)) if part.num_rows else []
-            a, b = (np.concatenate(x) for x in zip(*pairs, strict=True)) if pairs else (np.zeros(0, np.int64),) * 2
-            both = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
-            return pa.RecordBatch.from_arrays([pa.array(both[0]), pa.array(both[1])], ["a", "b"])
+        held: list[tuple[np.ndarray, ...]] = []
+        size = 0
+        for part in _whole_tasks(batches):
+            for a, b, common in task_pairs(part, threshold):
+                held += [_best([(a, b, common)]), _best([(b, a, common)])]
+                size += len(held[-2][0]) + len(held[-1][0])
+                if size > 1 << 19:
+                    held = [_best(held)]
+                    size = len(held[0][0])
+        if held:  # one row a class and task
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in _best(held)], ["class_id", "partner", "common"])
+
+    return (tree_tasks(members, signed).mapInArrow(run, "class_id bigint, partner bigint, common bigint")
+            .groupBy("class_id").agg(F.max(F.struct("common", "partner")).alias("to"))
+            .select("class_id", F.col("to.partner").alias("partner")))
+
+
+def possible_pairs(members: DataFrame, signed: DataFrame, threshold: int) -> DataFrame:
+    """All pairs (a, b) of classes of different labels that the signature trees cannot
+    rule out."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in _whole_tasks(batches):
+            pairs = [(np.minimum(a, b), np.maximum(a, b)) for a, b, _ in task_pairs(part, threshold)]
+            if pairs:
+                both = np.unique(np.stack([np.concatenate(c) for c in zip(*pairs, strict=True)]), axis=1)
+                yield pa.RecordBatch.from_arrays([pa.array(both[0]), pa.array(both[1])], ["a", "b"])
 
-        for batch in batches:
-            part = pa.Table.from_batches([batch])
-            part = part if rest is None else pa.concat_tables([rest, part])
-            if not part.num_rows:
-                continue
-            last = np.ones(part.num_rows, bool)
-            for c in names[:4]:
-                col = part.column(c).to_numpy()
-                last &= col == col[-1]
-            cut = part.num_rows - int(np.argmin(last[::-1])) if not last.all() else 0
-            rest = part.slice(cut)
-            if cut:
-                yield found(part.slice(0, cut))
-        if rest is not None:
-            yield found(rest)
-
-    return (rows.repartition(*names[:4]).sortWithinPartitions(*names[:4], "label", "n", "class_id")
-            .mapInArrow(run, "a bigint, b bigint").distinct())
-
-
-def likely(pairs: DataFrame) -> DataFrame:
-    """Of the pairs (a, b, la, lb) up to two for each label, with the label it has
-    most pairs with: near copies that missed their group's label find it here."""
-    both = pairs.select("a", "b", F.explode(F.array(
-        F.struct(F.col("la").alias("own"), F.col("lb").alias("other")),
-        F.struct(F.col("lb").alias("own"), F.col("la").alias("other")))).alias("l"))
-    pair = F.struct(F.xxhash64("a", "b").alias("h"), "a", "b")
-    sides = both.groupBy("l.own", "l.other").agg(
-        F.count("*").alias("n"), F.min(pair).alias("first"), F.max(pair).alias("last"))
-    best = sides.groupBy("own").agg(F.max(F.struct("n", "other", "first", "last")).alias("s"))
-    return best.select(F.explode(F.array("s.first", "s.last")).alias("p")).select("p.a", "p.b").distinct()
+    return tree_tasks(members, signed).mapInArrow(run, "a bigint, b bigint").distinct()
 
 
 def across(pairs: DataFrame, label: DataFrame) -> DataFrame:
-    """(a, b, la, lb): the pairs whose ends are not in one component (vertex, root) yet."""
+    """The pairs (a, b) whose ends are not in one component (vertex, root) yet."""
     one = label.select(F.col("vertex").alias("a"), F.col("root").alias("la"))
     two = label.select(F.col("vertex").alias("b"), F.col("root").alias("lb"))
     return (pairs.select("a", "b").join(one, "a", "left").join(two, "b", "left")
-            .select("a", "b", F.coalesce("la", "a").alias("la"), F.coalesce("lb", "b").alias("lb")).where("la <> lb"))
+            .where(F.coalesce("la", "a") != F.coalesce("lb", "b")).select("a", "b"))
+
+
+def labelled(grown: DataFrame, label: DataFrame, active: DataFrame | None) -> DataFrame:
+    """(tree, class_id, n, label) of the members, of the ``active`` classes only."""
+    rows = grown if active is None else grown.join(active, "class_id", "left_semi")
+    return rows.join(label.withColumnRenamed("vertex", "class_id"), "class_id", "left").select(
+        "tree", "class_id", "n", F.coalesce("root", "class_id").alias("label"))
+
+
+def class_links(docs: DataFrame, posted: DataFrame, classes: DataFrame, grown: DataFrame, k: int,
+                threshold: int) -> DataFrame:
+    """Written links (a, b) of classes, enough of them for the components: every pair
+    that meets the threshold is in one component of them."""
+    # Near copies get one label. Exactness does not rest on this, nor on the rounds.
+    near = written(near_pairs(grown, threshold), "near")
+    links = linked(docs, classes, near, k, threshold)
+    dropped(near)
+    signed = written(coarse_signatures(posted, grown), "coarse")
+    tested = active = None
+    for _ in range(ROUNDS):
+        label = written(joined(links), "label")
+        now = labelled(grown, label, active)
+        best = written(best_partners(now, signed, threshold), "best")
+        active = best.select("class_id")
+        asked = best.select(F.least("class_id", "partner").alias("a"),
+                            F.greatest("class_id", "partner").alias("b")).distinct()
+        asked = written(asked if tested is None else asked.join(tested, ["a", "b"], "left_anti"), "asked")
+        tested = asked if tested is None else tested.union(asked)
+        dropped(label)
+        if asked.isEmpty():
+            break
+        new = linked(docs, classes, asked, k, threshold)
+        if new.isEmpty():
+            break
+        links = written(links.union(new), "links")
+    dropped(signed)
+    label = written(joined(links), "label")
+    now = written(labelled(grown, label, active), "labelled")
+    sets = sets_of(docs, classes, active, k)
+    fine = written(fine_signatures(sets), "fine")
+    rest = written(across(possible_pairs(now, fine, threshold).join(tested, ["a", "b"], "left_anti"), label), "rest")
+    dropped(now, fine, label)
+    links = written(links.union(verified(rest, sets, threshold)), "links")
+    dropped(sets, rest)
+    return links
 
 
 def jaccard_groups(documents: DataFrame, k: int = SHINGLE_WORDS, threshold: int = THRESHOLD) -> DataFrame:
@@ -502,21 +637,11 @@ def jaccard_groups(documents: DataFrame, k: int = SHINGLE_WORDS, threshold: int
     members = posted.where("n > 0 and doc_id is not null")
     classes = members.groupBy("class_id").agg(F.min("doc_id").alias("root_doc"), first.alias("pick"))
     grown = written(trees(posted, threshold), "trees")
-    # Near copies get one label. Exactness does not rest on it.
-    close = written(linked(docs, classes, near_pairs(grown, threshold), k, threshold), "close")
-    label = components(close)
-    labelled = written(grown.join(label.withColumnRenamed("vertex", "class_id"), "class_id", "left").select(
-        "tree", "class_id", "n", F.coalesce("root", "class_id").alias("label")), "labelled")
-    signed = written(signatures(grown, threshold), "signatures")
-    # A few pairs for each label first: what they link need not be verified pair by pair.
-    pairs = written(across(written(tree_pairs(labelled, signed, threshold), "candidates"), label), "across")
-    some = written(likely(pairs), "likely")
-    links = written(close.union(linked(docs, classes, some, k, threshold)), "links")
-    rest = across(pairs.join(some, ["a", "b"], "left_anti"), components(links))
-    more = linked(docs, classes, rest.select("a", "b"), k, threshold)
+    links = class_links(docs, posted, classes, grown, k, threshold)
+    dropped(grown)
     # Components of classes, then of documents: vertices are the classes' smallest doc ids.
     name = classes.select("class_id", "root_doc")
-    links = (links.union(more).join(name.select(F.col("class_id").alias("a"), F.col("root_doc").alias("x")), "a")
+    links = (links.join(name.select(F.col("class_id").alias("a"), F.col("root_doc").alias("x")), "a")
              .join(name.select(F.col("class_id").alias("b"), F.col("root_doc").alias("y")), "b")
              .select(F.col("x").alias("a"), F.col("y").alias("b")))
     roots = components(links)

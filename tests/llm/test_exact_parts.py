@@ -7,6 +7,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import functions as F
 
 from tessera.llm import fingerprints, language_id, licenses, token_counts, toxicity
 from tessera.llm import jaccard_join as J
@@ -163,9 +164,8 @@ def test_signature_tree_loses_no_link(monkeypatch):
         for _ in range(rng.integers(1, 6)):
             sets.append(np.unique(np.concatenate([base[rng.random(len(base)) > 0.08], rng.integers(0, 1 << 62, 1).astype(np.uint64)])))
     n = np.array([len(s) for s in sets])
-    prefixes = [s[:J.prefix_length(len(s))] for s in sets]
-    bits = np.stack([J.bitmap(s, 2) for s in prefixes])
-    spare = np.array([len(s) for s in prefixes]) - np.bitwise_count(bits).sum(axis=1, dtype=np.int64)
+    bits = np.stack([J.bitmap(s, 2) for s in sets])
+    spare = n - np.bitwise_count(bits).sum(axis=1, dtype=np.int64)
     links = set()
     for i, j in itertools.combinations(range(len(sets)), 2):
         common = len(np.intersect1d(sets[i], sets[j]))
@@ -200,6 +200,13 @@ def test_words_of_like_structure_have_hashes_of_their_own():
     assert hashes([" " + " ".join(w.upper() for w in words) + " end"])[:-1] == alone
 
 
+def test_size_bands_agree_in_both_engines(spark):
+    sizes = [*range(1, 5000), *(int(1.25 ** k) + d for k in range(38, 70) for d in (-1, 0, 1))]
+    band = F.floor(F.log("n") / F.log(F.lit(1.25)) + F.lit(1e-9)).cast("int")
+    got = spark.createDataFrame([(n,) for n in sizes], "n bigint").select(band.alias("b")).collect()
+    assert [r.b for r in got] == [J.size_band(n) for n in sizes]
+
+
 def test_prefix_holds_a_shared_token():
     for n in range(1, 400):
         assert n - J.prefix_length(n) + 1 >= 0.8 * n - 1e-9 > n - J.prefix_length(n) - 1e-9 or n < 5
