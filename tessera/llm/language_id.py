@@ -9,9 +9,11 @@ best language.
 
 Training: the piece probabilities are fitted by expectation maximisation
 (expected piece counts from forward and backward passes) to the word counts of a
-bounded sample, at most ``docs_per_lang`` documents of up to
-``max_train_chars`` characters for each language. One Spark group fits one
-language. The prior is counted over all training rows. The model has at most
+bounded sample of whole documents, at most ``docs_per_lang`` of ``lang_chars``
+characters in all for each language. Documents of up to ``max_train_chars``
+characters are taken first; longer ones fill what they leave, and a language's first
+document is taken whatever its length, so no language is lost. One Spark group fits
+one language. The prior is counted over all training rows. The model has at most
 (vocabulary size) x (languages) numbers, whatever the corpus size.
 
 Words are maximal runs of letters, lower-cased, marked at their start as in the
@@ -39,6 +41,7 @@ from tessera.llm.common import fold
 VOCABULARY = "piece_bpe_32k.model"
 DOCS_PER_LANG = 400
 MAX_TRAIN_CHARS = 20_000
+LANG_CHARS = 8_000_000
 EM_ROUNDS = 3
 SMOOTHING = 0.05
 UNDETERMINED = "und"
@@ -258,7 +261,7 @@ class Scorer:
 
 
 def train(labelled: DataFrame, docs_per_lang: int = DOCS_PER_LANG,
-          max_train_chars: int = MAX_TRAIN_CHARS, vocab: str = VOCABULARY):
+          max_train_chars: int = MAX_TRAIN_CHARS, vocab: str = VOCABULARY, lang_chars: int = LANG_CHARS):
     """(language names, log priors, pieces, piece probabilities) from rows
     doc_id, text, lang. Collects the model only: vocabulary x languages numbers."""
     known = labelled.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
@@ -272,11 +275,13 @@ def train(labelled: DataFrame, docs_per_lang: int = DOCS_PER_LANG,
     share = F.create_map(*[F.lit(x) for lang in names
                            for x in (lang, min(1.0, 2.0 * docs_per_lang / sizes[lang]))])
     likely = F.pmod(order, F.lit(1 << 20)) < share[F.col("lang")] * (1 << 20)
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy("order", "doc_id", "text"))
-    sample = (known.where((F.length("text") <= max_train_chars) & likely)
-              .select("doc_id", "lang", "text", order.alias("order"))
-              .withColumn("rank", rank).where(F.col("rank") <= docs_per_lang)
-              .select("lang", "text"))
+    by = Window.partitionBy("lang").orderBy("long", "order", "doc_id", "text")
+    size = F.length("text")
+    # The rank comes first, so at most docs_per_lang rows of a language are summed.
+    sample = (known.where(likely).select("doc_id", "lang", "text", order.alias("order"), (size > max_train_chars).alias("long"))
+              .withColumn("rank", F.row_number().over(by)).where(F.col("rank") <= docs_per_lang)
+              .withColumn("chars", F.sum(size).over(by))
+              .where((F.col("chars") <= lang_chars) | (F.col("rank") == 1)).select("lang", "text"))
 
     def fit(group: pd.DataFrame) -> pd.DataFrame:
         own = vocabulary(vocab)

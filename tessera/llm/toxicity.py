@@ -16,35 +16,40 @@ words tried. Tokens of toxic documents with such a feature are labelled toxic,
 all others clean.
 
 The model is fitted in one task to a bounded sample of labelled rows, at most
-``sample_docs`` toxic and twice as many clean documents of up to
-``max_train_chars`` characters. It is 2**FEATURE_BITS numbers, whatever the
-corpus size, and is broadcast to score every whole text. The calibration of its
+``sample_docs`` toxic and twice as many clean whole documents, of ``sample_chars``
+characters in all for the toxic and twice that for the clean. Documents of up to
+``max_train_chars`` characters are taken first; longer ones fill what they leave,
+and the first document of a class is taken whatever its length. The model is
+2**FEATURE_BITS numbers, whatever the corpus size, and is broadcast to score every
+whole text. The calibration of its
 document scores weighs the two classes as they are among all labelled training
 documents, so that the score does not depend on how many of each the sample takes.
 
 Null and empty texts have the score of a text without evidence. With no toxic
 or no clean training row every score is 0. Ties and repeated rows score
-alike; a document labelled twice is trained on with its greater label.
+alike; a document labelled twice is trained on with its greater label, and a
+doc_id with several rows once, with its smallest text.
 """
 
 from __future__ import annotations
 
 import re
 import zlib
-from collections import defaultdict
 from collections.abc import Iterator
 from itertools import chain
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.llm.common import fold
+from tessera.llm.words import mix
 
 FEATURE_BITS = 18
 SAMPLE_DOCS = 800
+SAMPLE_CHARS = 4_000_000
 MAX_TRAIN_CHARS = 20_000
 #: Likelihood-ratio statistic, and share of toxic surroundings, of a toxic feature.
 MIN_RATIO_STATISTIC = 25.0
@@ -170,28 +175,41 @@ class Chains:
         return out, both, firsts
 
 
-def toxic_features(texts: list[list[str]], labels: list[int]) -> set[str]:
-    """Words and beginnings that pass the likelihood-ratio test."""
-    around: list[dict[str, set]] = [defaultdict(set), defaultdict(set)]
-    totals = [0, 0]
-    for tokens, label in zip(texts, labels, strict=True):
-        totals[label] += len(tokens)
-        places = map(hash, zip(["", *tokens], [*tokens[1:], ""]))
-        for word, place in zip(tokens, places):
-            for name in word_features(word):
-                around[label][name].add(place)
+def toxic_features(words: list[str], ids: np.ndarray, lengths: np.ndarray, labels: np.ndarray) -> set[str]:
+    """Words and beginnings that pass the likelihood-ratio test. ``ids``: the tokens of
+    all documents as places in ``words``.
+
+    A surrounding is the words on both sides. Distinct (feature, surrounding) pairs are
+    counted over sorted 64-bit hashes, so memory is a few numbers a token."""
+    totals = [int(lengths[labels == label].sum()) for label in (0, 1)]
     if not all(totals):
         return set()
+    ends = np.cumsum(lengths)
+    before, after = np.roll(ids, 1) + 1, np.roll(ids, -1) + 1
+    full = lengths > 0
+    before[(ends - lengths)[full]] = 0
+    after[ends[full] - 1] = 0
+    odd = np.uint64(0x9E3779B97F4A7C15)
+    place = mix(mix(before.astype(np.uint64)) + after.astype(np.uint64) * odd)
+    toxic = np.repeat(labels, lengths) == 1
     base = totals[1] / sum(totals)
     found = set()
-    for name, places in around[1].items():
-        k, n = len(places), len(places) + len(around[0].get(name, ()))
-        share = k / n
-        if share < MIN_TOXIC_SHARE or share <= base:
-            continue
-        statistic = 2 * (k * np.log(share / base) + (n - k) * np.log(max(1 - share, 1e-12) / (1 - base)))
-        if statistic >= MIN_RATIO_STATISTIC:
-            found.add(name)
+    for size in (None, 4, 5, 6):  # whole words, then beginnings
+        names: dict[str, int] = {}
+        own = np.array([-1 if size and len(w) < size else names.setdefault(w[:size], len(names)) for w in words], np.int64)
+        feature = own[ids]
+        pairs = mix(place + feature.astype(np.uint64) * odd)
+        counts = []
+        for rows in (np.flatnonzero(~toxic & (feature >= 0)), np.flatnonzero(toxic & (feature >= 0))):
+            first = np.unique(pairs[rows], return_index=True)[1]
+            counts.append(np.bincount(feature[rows][first], minlength=len(names)))
+        k, n = counts[1], counts[0] + counts[1]
+        share = k / np.maximum(n, 1)
+        passes = (k > 0) & (share >= MIN_TOXIC_SHARE) & (share > base)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            statistic = 2 * (k * np.log(share / base) + (n - k) * np.log(np.maximum(1 - share, 1e-12) / (1 - base)))
+        passes &= statistic >= MIN_RATIO_STATISTIC
+        found |= {(str(size) if size else "w") + name for name, i in names.items() if passes[i]}
     return found
 
 
@@ -238,22 +256,22 @@ def fit(texts: list[str], labels: list[int], totals: tuple[int, int] | None = No
     """Train on whole labelled texts; None when a class is missing. ``totals``:
     clean and toxic documents that the texts are a sample of."""
     seen = dict(zip(texts, labels, strict=True))  # equal texts count once
-    split = [tokens_of(t) for t in seen]
     labels = list(seen.values())
     if not any(labels) or all(labels):
         return None
-    bad = toxic_features(split, labels)
-    tokens = list(chain.from_iterable(split))
+    vocabulary: dict[str, int] = {}
+    split = [np.array([vocabulary.setdefault(t, len(vocabulary)) for t in tokens_of(text)], np.int64) for text in seen]
     lengths = np.array([len(t) for t in split], np.int64)
+    ids = np.concatenate(split)
+    del split, seen
+    words = list(vocabulary)
+    bad = toxic_features(words, ids, lengths, np.asarray(labels))
     owner = np.repeat(np.asarray(labels), lengths)
-    vocabulary = {t: i for i, t in enumerate(dict.fromkeys(tokens))}
-    ids = np.fromiter(map(vocabulary.__getitem__, tokens), np.int64, len(tokens))
-    marked = np.array([not bad.isdisjoint(word_features(t)) for t in vocabulary], bool)
+    marked = np.array([not bad.isdisjoint(word_features(t)) for t in words], bool)
     y = (marked[ids] & (owner == 1)).astype(float)
-    rows = [features(t) for t in vocabulary]
-    width = np.array([len(r) for r in rows])
-    flat = np.fromiter(chain.from_iterable(rows), np.int64, int(width.sum()))
-    of = np.repeat(np.arange(len(rows)), width)
+    width = np.fromiter((len(word_features(t)) + 2 for t in words), np.int64, len(words))
+    flat = np.fromiter(chain.from_iterable(map(features, words)), np.int64, int(width.sum()))
+    of = np.repeat(np.arange(len(words)), width)
     chains = Chains(lengths)
     firsts = np.cumsum(lengths) - lengths
     firsts = firsts[lengths > 0]
@@ -268,9 +286,9 @@ def fit(texts: list[str], labels: list[int], totals: tuple[int, int] | None = No
     moments = [(np.zeros_like(x), np.zeros_like(x)) for x in params]
     scale = 1.0 / max(y.sum(), 1.0)
     for t in range(1, STEPS + 1):
-        emission = np.bincount(of, weights[flat], len(rows))[ids]
+        emission = np.bincount(of, weights[flat], len(words))[ids]
         p, pairs, first = chains.marginals(emission, np.exp(trans), np.exp(start), pairs=True)
-        token_gap = np.bincount(ids, y - p, len(rows))
+        token_gap = np.bincount(ids, y - p, len(words))
         gaps = [np.bincount(flat, token_gap[of], len(weights)) * scale, (observed - pairs) * scale,
                 (observed_first - first) * scale]
         for x, g, (m, v) in zip(params, gaps, moments, strict=True):
@@ -280,7 +298,8 @@ def fit(texts: list[str], labels: list[int], totals: tuple[int, int] | None = No
             x += LEARNING_RATE * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.99 ** t)) + 1e-8)
         trans[:] = np.clip(trans, -8, 8)
     model = Model(weights, np.exp(trans), np.exp(start), np.zeros(3))
-    x = document_features(model.marginals(split), lengths)
+    emission = np.bincount(of, weights[flat], len(words))[ids]
+    x = document_features(chains.marginals(emission, model.step, model.start)[0], lengths)
     target = np.asarray(labels, float)
     weight = np.ones(len(target))
     if totals is not None:
@@ -296,27 +315,31 @@ def fit(texts: list[str], labels: list[int], totals: tuple[int, int] | None = No
 
 
 def train(documents: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS,
-          max_train_chars: int = MAX_TRAIN_CHARS) -> Model | None:
+          max_train_chars: int = MAX_TRAIN_CHARS, sample_chars: int = SAMPLE_CHARS) -> Model | None:
     """Fit to a bounded sample of documents (doc_id, text) that have a label
     (doc_id, toxic). One task fits, the driver receives the model's weights."""
     known = (labels.where(F.col("toxic").isNotNull()).groupBy("doc_id")
              .agg(F.max(F.col("toxic").cast("int")).alias("toxic")))
     order = F.xxhash64(F.col("doc_id").cast("string"))
-    texts = (documents.where(F.col("text").isNotNull() & (F.length("text") <= max_train_chars))
-             .select("doc_id", "text", order.alias("order")))
-    # Ids first: only the sample's texts are moved.
-    ids = texts.select("doc_id", "order").join(known, "doc_id").dropDuplicates(["doc_id"])
+    texts = documents.where(F.col("text").isNotNull()).select("doc_id", "text")
+    # Ids and lengths first: only the sample's texts are moved.
+    ids = (texts.select("doc_id", F.length("text").alias("chars")).groupBy("doc_id").agg(F.max("chars").alias("chars"))
+           .join(known, "doc_id").withColumns({"long": F.col("chars") > max_train_chars, "order": order}))
 
     # Two rows: the whole table's labelled documents of each class.
     counted = dict(known.join(documents.select("doc_id"), "doc_id", "left_semi").groupBy("toxic").count().collect())
     totals = (counted.get(0, 0), counted.get(1, 0))
+    so_far = Window.partitionBy("toxic").orderBy("long", "order", "doc_id")
 
-    def first(label: int, n: int) -> DataFrame:
-        return ids.where(F.col("toxic") == label).orderBy("order", "doc_id").limit(n)
+    def first(label: int, n: int, chars: int) -> DataFrame:
+        # At most n rows enter the window.
+        rows = ids.where(F.col("toxic") == label).orderBy("long", "order", "doc_id").limit(n)
+        return (rows.withColumns({"all": F.sum("chars").over(so_far), "nth": F.row_number().over(so_far)})
+                .where((F.col("all") <= chars) | (F.col("nth") == 1)).select("doc_id", "toxic"))
 
-    chosen = first(1, sample_docs).union(first(0, 2 * sample_docs)).select("doc_id", "toxic")
-    sample = texts.join(F.broadcast(chosen), "doc_id").select(
-        F.lit(0).alias("one"), "doc_id", "text", "toxic")
+    chosen = first(1, sample_docs, sample_chars).union(first(0, 2 * sample_docs, 2 * sample_chars))
+    sample = (texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
+              .select(F.lit(0).alias("one"), "doc_id", "text", "toxic"))
 
     def fit_all(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values(["doc_id", "text"], kind="stable")
@@ -324,11 +347,12 @@ def train(documents: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOC
         if model is None:
             return pd.DataFrame({"feature": [], "weight": []})
         at = np.flatnonzero(np.abs(model.weights) > 1e-6)
+        del group
         rest = np.concatenate([model.step.ravel(), model.start, model.calibration])
         return pd.DataFrame({"feature": np.concatenate([at, -1 - np.arange(len(rest))]),
                              "weight": np.concatenate([model.weights[at], rest])})
 
-    # The sample has at most 3 * sample_docs rows of max_train_chars characters: one bounded group.
+    # At most 3 * sample_docs rows of 3 * sample_chars characters: one bounded group.
     fitted = (sample.groupBy("one").applyInPandas(fit_all, "feature bigint, weight double")).toPandas()
     if fitted.empty:
         return None

@@ -366,3 +366,30 @@ def test_url_lists_as_of_fetch(spark):
                                           (7, False), (8, False), (9, False), (10, False), (11, False)]
     assert dict((p, q) for p, _, q in out)[5] == "ok.bad.com/x"
     assert U.filter_urls(table.limit(0), entries).count() == 0 and U.filter_urls(table, entries.limit(0)).count() == 12
+
+
+def test_long_training_texts_lose_no_language_and_no_class(spark):
+    """A language, or a class of toxicity, whose labelled texts are all long."""
+    rng = random.Random(12)
+    long = lambda words: " ".join(rng.choice(words) for _ in range(4000))  # noqa: E731  over 20,000 characters
+    en, de = ["the", "house", "water", "garden", "window"], ["das", "haus", "wasser", "garten", "fenster"]
+    rows = [(i, long(de) if i % 2 else " ".join(rng.choice(en) for _ in range(40)), "de" if i % 2 else "en") for i in range(60)]
+    assert min(len(t) for _, t, lang in rows if lang == "de") > language_id.MAX_TRAIN_CHARS
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    found = {r["doc_id"]: r["lang_pred"] for r in language_id.language_id(docs).collect()}
+    assert all(found[i] == lang for i, _, lang in rows)
+    bad = [f"{w}loser{c}" for w in ("", "you ", "such a ") for c in ("", "s")]
+    texts = [(i, " ".join([long(en)] + [rng.choice(bad) + " " + rng.choice(en) for _ in range(60 * (i % 2))])) for i in range(60)]
+    labels = spark.createDataFrame([(i, i % 2) for i, _ in texts], "doc_id long, toxic int")
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    out = {r["doc_id"]: r["predicted"] for r in toxicity.toxicity(docs, labels).collect()}
+    assert sum(out[i] == i % 2 for i in out) >= 57
+
+
+def test_repeats_of_a_labelled_document_are_one_training_row(spark):
+    rows = [(i, f"{'what a loser you are' if i % 2 else 'a fine day in the garden'} {i % 7}") for i in range(60)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, toxic int")
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    many = docs.unionByName(spark.range(100_000).select(F.lit(1).cast("bigint").alias("doc_id"), F.lit(rows[1][1]).alias("text")))
+    one, other = toxicity.trained(docs, labels), toxicity.trained(many, labels)
+    assert (one.weights == other.weights).all() and (one.step == other.step).all()
