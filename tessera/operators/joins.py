@@ -73,45 +73,67 @@ def lookup_join(facts: DataFrame, dim: DataFrame, on, how: str = "inner",
     return facts.join(broadcast_if_small(dim, max_broadcast_bytes), on, how)
 
 
+def time_cuts(rows: DataFrame, heavy_rows: int, cuts: int) -> DataFrame:
+    """(_k, _cuts): for every key of more than ``heavy_rows`` rows (_k, _us) the times that
+    cut its rows into ``cuts`` parts of about equal depth, by a quantile sketch.
+
+    Keys are counted first, so sketches are made for heavy keys only.
+    """
+    heavy = rows.groupBy("_k").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > heavy_rows)
+    ranks = F.array(*[F.lit(i / cuts) for i in range(1, cuts)])
+    return (rows.join(heavy.select("_k"), "_k", "left_semi").groupBy("_k")
+            .agg(F.kll_sketch_get_quantile_bigint(F.kll_sketch_agg_bigint("_us"), ranks).alias("_cuts")))
+
+
 def asof_lookup(facts: DataFrame, versions: DataFrame, *, key: str, fact_time: str,
                 valid_from: str, order_tiebreak: str, payload: list[str],
-                bucket_seconds: int = 86_400) -> DataFrame:
+                heavy_rows: int = 1 << 20, cuts: int = 64) -> DataFrame:
     """Point-in-time lookup: each fact row gets the latest version of its key
     with ``valid_from <= fact_time`` (ties on ``valid_from`` broken by the
     largest ``order_tiebreak``). Facts without such a version get nulls, and so
     do facts without a key or time; versions without one never hold.
 
     No pair of rows within a key is ever formed. Facts and versions are merged
-    in time order inside (key, time bucket) partitions, so a hot key is spread
-    over its buckets; the version that carries into a bucket from earlier
-    buckets comes from a one-row-per-bucket summary.
+    in time order inside (key, part) partitions. A key of more than ``heavy_rows``
+    rows has ``cuts`` parts of equal depth, wherever its rows lie in time: facts of
+    one instant that several cuts fall on are dealt over the parts between them.
+    The version that carries into a part comes from a table of one row a part.
     """
     ver_struct = F.struct(*[F.col(c) for c in [valid_from, order_tiebreak] + payload])
-    to_bucket = lambda c: F.floor(F.unix_micros(F.col(c).cast("timestamp")) /
-                                  F.lit(bucket_seconds * 1_000_000))
+    micros = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
 
     versions = versions.where(F.col(key).isNotNull() & F.col(valid_from).isNotNull())
     v = versions.select(
-        F.col(key).alias("_k"), to_bucket(valid_from).alias("_b"),
+        F.col(key).alias("_k"), micros(valid_from).alias("_us"),
         F.col(valid_from).cast("timestamp").alias("_t"), F.lit(0).alias("_tag"),
         F.col(order_tiebreak).alias("_tb"), ver_struct.alias("_v"))
     f = facts.select(
-        "*", F.col(key).alias("_k"), to_bucket(fact_time).alias("_b"),
+        "*", F.col(key).alias("_k"), micros(fact_time).alias("_us"),
         F.col(fact_time).cast("timestamp").alias("_t"))
-
-    # Latest version of every (key, bucket) that has versions.
+    both = f.select("_k", "_us").unionByName(v.select("_k", "_us")).where(F.col("_k").isNotNull() & F.col("_us").isNotNull())
+    parts = time_cuts(both, heavy_rows, cuts)
+    none = F.array().cast("array<bigint>")
+    own = F.coalesce(F.col("_cuts"), none)
+    before = F.size(F.filter(own, lambda c: c < F.col("_us")))
+    upto = F.size(F.filter(own, lambda c: c <= F.col("_us")))
+    # A version stands in the first part that its instant reaches, so every fact of
+    # that instant is in its part or in a later one.
+    v = v.join(parts, "_k", "left").withColumn("_b", before).drop("_cuts", "_us")
+    dealt = before + F.pmod(F.xxhash64(F.monotonically_increasing_id()), upto - before + 1).cast("int")
+    anywhere = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(1024)).cast("int")
+    f = (f.join(parts, "_k", "left").withColumn("_b", F.when(F.col("_k").isNull(), anywhere).otherwise(dealt))
+         .drop("_cuts", "_us"))
+
+    # Latest version of every (key, part) that has versions.
     last_in_bucket = (v.groupBy("_k", "_b")
                       .agg(F.max_by("_v", F.struct("_t", "_tb")).alias("_bv")))
-    # Version carried into each fact bucket from strictly earlier buckets:
-    # one row per (key, bucket), so the window per key is bounded by the
-    # number of buckets the key spans, not by its row count.
-    fact_buckets = f.select("_k", "_b").distinct().withColumn("_bv", F.lit(None).cast(
-        last_in_bucket.schema["_bv"].dataType))
+    # Version carried into a part from earlier ones: a key has at most ``cuts`` parts.
+    numbers = F.explode(F.sequence(F.lit(0), F.size(own))).alias("_b")
+    keys = v.select("_k").distinct().join(parts, "_k", "left").select("_k", numbers)
     per_key = Window.partitionBy("_k").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    carry = (fact_buckets.unionByName(last_in_bucket)
-             .groupBy("_k", "_b").agg(F.max("_bv").alias("_bv"))
+    carry = (keys.join(last_in_bucket, ["_k", "_b"], "left")
              .withColumn("_carry", F.last("_bv", ignorenulls=True).over(per_key))
-             .select("_k", "_b", "_carry"))
+             .where(F.col("_carry").isNotNull()).select("_k", "_b", "_carry"))
 
     # Inside a bucket: merge facts and versions in time order (versions first
     # at equal times, since valid_from <= fact_time qualifies).

@@ -17,7 +17,7 @@ def test_asof_lookup_matches_brute_force(spark):
     fdf = spark.createDataFrame(facts, "fid int, k int, t timestamp_ntz")
     got = {r.fid: (r.vid, r.payload) for r in asof_lookup(
         fdf, vdf, key="k", fact_time="t", valid_from="valid_from", order_tiebreak="vid",
-        payload=["payload"], bucket_seconds=60).collect()}
+        payload=["payload"], heavy_rows=50, cuts=7).collect()}
     for fid, k, t in facts:
         cands = [(vf, vid, p) for kk, vf, vid, p in versions if kk == k and vf <= t]
         want = (max(cands)[1], max(cands)[2]) if cands else (None, None)
@@ -55,3 +55,24 @@ def test_only_a_side_of_bounded_size_is_hinted(spark):
     assert joins.fits_broadcast(words)
     assert joins.fits_broadcast(small) and joins.fits_broadcast(spark.range(10).withColumnRenamed("id", "k"))
     assert not joins.fits_broadcast(spark.range(100_000_000))
+
+
+def test_a_hot_key_on_one_instant_is_many_parts(spark):
+    from pyspark.sql import functions as F
+    t0 = dt.datetime(2024, 1, 1)
+    # A third of the rows are one key's; most of those at one instant.
+    facts = spark.range(6000).select(
+        F.col("id").alias("fid"), F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id") % 500 + 2).alias("k"),
+        F.lit(t0).alias("ft")).withColumn("ft", F.expr("ft + make_interval(0, 0, 0, 0, 0, 0, if(fid % 30 = 0, fid, 100))"))
+    versions = spark.createDataFrame([(1, t0 + dt.timedelta(seconds=s), s) for s in (0, 100, 101, 4000)], "k long, vf timestamp, vid int")
+    args = dict(key="k", fact_time="ft", valid_from="vf", order_tiebreak="vid", payload=[], heavy_rows=500, cuts=16)
+    got = {r.fid: r.vid for r in asof_lookup(facts, versions, **args).collect()}
+    want = {}
+    for r in facts.collect():
+        at = [s for s in (0, 100, 101, 4000) if r.k == 1 and t0 + dt.timedelta(seconds=s) <= r.ft]
+        want[r.fid] = max(at) if at else None
+    assert got == want and len(got) == 6000
+    rows = facts.select(F.col("k").alias("_k"), F.unix_micros("ft").alias("_us"))
+    cut = joins.time_cuts(rows, 500, 16).collect()
+    assert [r._k for r in cut] == [1] and len(cut[0]._cuts) == 15
+    assert len(set(cut[0]._cuts)) < 15  # several cuts on the instant, whose facts are dealt over them
