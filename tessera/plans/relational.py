@@ -12,13 +12,14 @@ from tessera.sources.tables import table
 FLAGSHIP_MIN_ACCTBAL = 5000
 
 FLAGSHIP_SQL = f"""
-select b, count(a) as cnt_a, cast(sum(c) as double) as sum_c, cast(sum(d) as double) as sum_d
-from (select T.* from (
-        select l_returnflag b, l_suppkey a, sum(cast(l_quantity as decimal(18,2))) c,
-               sum(cast(l_extendedprice as decimal(18,2))) d
-        from lineitem group by l_suppkey, l_returnflag) T
-      join supplier D on T.a = D.s_suppkey where D.s_acctbal > {FLAGSHIP_MIN_ACCTBAL}) X
-group by b
+with per_supplier as (
+  select l_suppkey, l_returnflag, sum(cast(l_quantity as decimal(18,2))) as quantity,
+         sum(cast(l_extendedprice as decimal(18,2))) as price
+  from lineitem group by all),
+wealthy as (select s_suppkey from supplier where s_acctbal > {FLAGSHIP_MIN_ACCTBAL})
+select l_returnflag as b, count(*) as cnt_a, cast(sum(quantity) as double) as sum_c, cast(sum(price) as double) as sum_d
+from per_supplier join wealthy on l_suppkey = s_suppkey
+group by l_returnflag
 """
 
 
