@@ -1,7 +1,7 @@
 """Declared keys and event-time lateness in batch form.
 
 Both are written so that a key holding a third of all rows is still spread:
-keep-one is an aggregate (partial per task before the shuffle), and the
+keep-one is a rank that is cut per task before the shuffle, and the
 running maximum behind the lateness check is computed inside (key, arrival
 bucket) partitions with a one-row-per-bucket carry between buckets.
 """
@@ -21,16 +21,12 @@ def duplicate_keys(df: DataFrame, key: list[str]) -> DataFrame:
 def keep_one_per_key(df: DataFrame, key: list[str], order: list[str]) -> DataFrame:
     """One row per key: the smallest by ``order`` then the remaining columns.
 
-    ``min`` over a struct is an ordinary aggregate with a partial step, so
-    rows are reduced per map task before the shuffle; no window ranks a whole
-    key group in one task. (With string fields Spark runs it sort-based,
-    which spills instead of failing on memory.)
+    Spark cuts a rank of 1 to one row per key inside every map task before the
+    shuffle, so a hot key brings at most one row a task.
     """
     rest = [c for c in df.columns if c not in key and c not in order]
-    packed = F.struct(*[F.col(c) for c in order + rest]).alias("_row")
-    kept = df.groupBy(*key).agg(F.min(packed).alias("_row"))
-    return kept.select(*key, *[F.col("_row").getField(c).alias(c) for c in order + rest]).select(
-        *df.columns)
+    first = Window.partitionBy(*key).orderBy(*order, *rest)
+    return df.withColumn("_rank", F.row_number().over(first)).where("_rank = 1").drop("_rank")
 
 
 def prior_max(df: DataFrame, key: str, order: str, value: str, bucket_width: int,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from tessera.operators import joins, relational as rel
@@ -90,11 +92,18 @@ def epoch_to_timestamp(spark, sf_dir):
                      F.date_format(ts, "yyyy-MM-dd HH:mm:ss").alias("ts_text"))
 
 
-@query("current_time_columns")
+@query("current_time_columns", """
+select event_id, 'timestamp_ntz' as local_type, 'timestamp' as proctime_type, true as local_is_now, true as same_instant
+from events""")
 def current_time_columns(spark, sf_dir):
-    # Wall-clock columns: no oracle can equal them, the driver checks rows only.
+    # Wall-clock columns have no fixed values: their types, that they are now, and that
+    # both name one instant are checked.
+    now = F.lit(dt.datetime.now(dt.timezone.utc))
+    local, proctime = F.localtimestamp(), F.current_timestamp()
     return table(spark, sf_dir, "events").select(
-        "event_id", F.localtimestamp().alias("local_ts"), F.current_timestamp().alias("proctime"))
+        "event_id", F.typeof(local).alias("local_type"), F.typeof(proctime).alias("proctime_type"),
+        (F.abs(F.unix_seconds(local.cast("timestamp")) - F.unix_seconds(now)) < 3600).alias("local_is_now"),
+        (local.cast("timestamp") == proctime).alias("same_instant"))
 
 
 @query("filter_compare", "select * from events where user_id = 12")

@@ -47,11 +47,17 @@ GEN_FIELDS = [
 ]
 
 
-# The generator is integer arithmetic valid in both engines, so the oracle
-# evaluates the same field expressions in DuckDB.
-@query("datagen_source", "select id, " + ", ".join(
-    f"{G.field_sql(f, i)} as {f.name}" for i, f in enumerate(GEN_FIELDS))
-    + " from (select o_orderkey as id from orders)")
+# One step of the published generator x -> (1103515245 x + 12345) mod 2^31 from the
+# order key plus 7919 times the field's place; a value is its share of 2^31.
+@query("datagen_source", """
+with steps as (
+  select o_orderkey as id, (o_orderkey + 7919) % 2147483648 * 1103515245 + 12345 as u,
+    (o_orderkey + 15838) % 2147483648 * 1103515245 + 12345 as c, (o_orderkey + 23757) % 2147483648 * 1103515245 + 12345 as t
+  from orders)
+select id, id + 1 as order_number, cast(1 + floor((u % 2147483648) / 2147483648 * 10) as integer) as user_id,
+  1 + floor((c % 2147483648) / 2147483648 * 1000000) / 1000000 * 99 as cost,
+  left(md5(cast(t % 2147483648 as varchar)), 8) as tag
+from steps""")
 def datagen_source(spark, sf_dir):
     return G.generate_from_ids(table(spark, sf_dir, "orders"), "o_orderkey", GEN_FIELDS)
 

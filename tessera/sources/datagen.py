@@ -1,8 +1,9 @@
 """Generated rows (A4, D9): per-field arithmetic on a row number.
 
 Every field is a pure integer expression of the row id, so the same rows come
-out in batch (``spark.range`` or the ids of a table), in a stream (the
-``rate`` source's ``value``) and in any SQL engine -- no ``rand()``.
+out in batch (``spark.range`` or the ids of a table) and in a stream (the
+``rate`` source's ``value``) -- no ``rand()``. Values are taken from the high bits
+of a linear congruential step, whose low bits repeat after a few rows.
 """
 
 from __future__ import annotations
@@ -26,8 +27,13 @@ class Field:
     length: int = 8           # STRING length
 
 
+def _below(r: str, n: int) -> str:
+    """``r`` (of 31 bits) scaled to 0 .. n - 1 by its high bits; n up to 2^31."""
+    return f"shiftright({r} * {n}L, 31)"
+
+
 def field_sql(f: Field, idx: int, id_col: str = "id") -> str:
-    """SQL text of one generated field (valid in Spark SQL and DuckDB)."""
+    """SQL text of one generated field."""
     if f.kind == "sequence":
         base = f"({int(f.min)} + {id_col})"
         return f"cast({base} as {f.type})"
@@ -36,10 +42,10 @@ def field_sql(f: Field, idx: int, id_col: str = "id") -> str:
     t = f.type.upper()
     if t in ("INT", "INTEGER", "BIGINT", "SMALLINT"):
         span = int(f.max) - int(f.min) + 1
-        return f"cast({int(f.min)} + {r} % {span} as {t})"
+        return f"cast({int(f.min)} + {_below(r, span)} as {t})"
     if t in ("DOUBLE", "FLOAT") or t.startswith("DECIMAL"):
         lo, hi = f"cast({float(f.min)} as double)", f"cast({float(f.max)} as double)"
-        v = f"({lo} + cast({r} % 1000000 as double) / 1000000 * ({hi} - {lo}))"
+        v = f"({lo} + cast({_below(r, 1000000)} as double) / 1000000 * ({hi} - {lo}))"
         return f"cast({v} as {t})" if t.startswith("DECIMAL") else v
     if t == "STRING":
         return f"substr(md5(cast({r} as string)), 1, {f.length})"
@@ -89,8 +95,9 @@ def typed_value_sql(ddl: str, seed: str) -> str:
         return f"array({typed_value_sql(inner, f'{seed} * 31 + 1')}, {typed_value_sql(inner, f'{seed} * 31 + 2')})"
     if low.startswith("map<"):
         k, v = _split_top(t[4:-1])
-        return (f"map({typed_value_sql(k, f'{seed} * 37 + 1')}, {typed_value_sql(v, f'{seed} * 37 + 2')}, "
-                f"{typed_value_sql(k, f'{seed} * 37 + 3')}, {typed_value_sql(v, f'{seed} * 37 + 4')})")
+        keys = [typed_value_sql(k, f"{seed} * 37 + {i}") for i in (1, 3)]
+        one, two = (f"{key}, {typed_value_sql(v, f'{seed} * 37 + {i}')}" for key, i in zip(keys, (2, 4), strict=True))
+        return f"if({keys[0]} <=> {keys[1]}, map({one}), map({one}, {two}))"  # a key stands once
     if low.startswith("struct<"):
         parts = []
         for i, f in enumerate(_split_top(t[7:-1])):
@@ -99,15 +106,15 @@ def typed_value_sql(ddl: str, seed: str) -> str:
             parts.append(f"'{label}', {typed_value_sql(ftype, f'{seed} * 41 + {i + 1}')}")
         return f"named_struct({', '.join(parts)})"
     if low in ("int", "bigint", "smallint"):
-        return f"cast({r} % 1000 as {low})"
+        return f"cast({_below(r, 1000)} as {low})"
     if low in ("double", "float"):
-        return f"cast(cast({r} % 1000000 as double) / 100 as {low})"
+        return f"cast(cast({_below(r, 1000000)} as double) / 100 as {low})"
     if low.startswith("decimal"):
-        return f"cast(cast({r} % 100000000 as double) / 100 as {low})"
+        return f"cast(cast({_below(r, 100000000)} as double) / 100 as {low})"
     if low == "string":
         return f"substr(md5(cast({r} as string)), 1, 12)"
     if low == "boolean":
-        return f"({r} % 2 = 0)"
+        return f"({_below(r, 2)} = 0)"
     if low == "binary":
         return f"unhex(substr(md5(cast({r} as string)), 1, 8))"
     if low == "date":
