@@ -11,7 +11,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.operators.joins import broadcast_if_small
 from tessera.functions.text import raw_tokens
 from tessera.operators.joins import broadcast_if_small
 
