@@ -3,6 +3,11 @@
 Each stage takes (spark, docs, sf_dir), works on all rows its predecessor kept
 and returns a DataFrame that is written as Parquet and read again as the next
 stage's docs. All but the last return the columns of ``documents``.
+
+Null and empty texts have no language and go in the first stage. Repeated rows of
+one doc_id and text become one in the near-duplicate stage; rows without doc_id
+pass all stages that their text passes. A stage that leaves no row gives an empty
+table to the next, which returns one too. Extra columns are carried through.
 """
 
 from __future__ import annotations
