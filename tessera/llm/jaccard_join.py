@@ -655,7 +655,8 @@ def jaccard_groups(documents: DataFrame, k: int = SHINGLE_WORDS, threshold: int
 
 def one_of_each(documents: DataFrame, k: int = SHINGLE_WORDS, threshold: int = THRESHOLD) -> DataFrame:
     """The rows of ``documents``, all columns, with one document of each component:
-    the one of smallest doc_id. Of rows with the same doc_id and text one stays."""
+    the one of smallest doc_id. Of rows with the same doc_id and text one stays. Rows
+    without doc_id always stay: nothing names the document that they would repeat."""
     groups = written(jaccard_groups(documents, k, threshold).select("doc_id", "component_id"), "groups")
     # Most documents stay, so the ids that go, or that need a closer look, are joined.
     looked_at = written(groups.where("doc_id is not null").groupBy("doc_id").agg(

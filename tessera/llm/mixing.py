@@ -157,7 +157,9 @@ def mix(documents: DataFrame, weights=WEIGHTS, max_passes: int = MAX_PASSES, see
         F.min("slot").alias("first_slot"), F.max("slot").alias("last_slot"), F.count("slot").alias("n_slots")).drop("row")
 
 
-ORACLE = rf"""
+def oracle_sql() -> str:
+    """DuckDB SQL for ``mix`` over ``documents``, with the module's slot sizes."""
+    return rf"""
 WITH s AS (
   SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size
   FROM documents),
@@ -214,3 +216,6 @@ SELECT doc_id, size, source, source_size, target, CAST(CASE WHEN source_size = 0
   first_slot, last_slot, CAST(coalesce(n_slots, 0) AS BIGINT) AS n_slots
 FROM p LEFT JOIN met USING (rid)
 """
+
+
+ORACLE = oracle_sql()

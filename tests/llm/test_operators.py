@@ -323,7 +323,7 @@ def test_mixing_meets_its_targets(spark, monkeypatch, seed):
     rows += [(1, "dup row", "a"), (1, "dup row", "a"), (None, "no id", "b"), (500, None, "empty")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string").withColumn("no", F.lit("x"))
     found = mixing.mix(docs)
-    against_sql(found, mixing.ORACLE, documents=frame(docs))
+    against_sql(found, mixing.oracle_sql(), documents=frame(docs))
     by = {}
     for r in found.collect():
         assert 0 <= r["taken"] <= 3 * r["size"]

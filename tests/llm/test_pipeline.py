@@ -4,7 +4,7 @@ import corpus_pipeline as P
 from tessera.llm import decontamination, jaccard_join, language_id, mixing, toxicity
 from tessera.llm.common import table, written
 from tests.conftest import SF001
-from tests.llm.cases import awkward_documents
+from tests.llm.cases import awkward_documents, empty_documents
 
 
 def ids(df):
@@ -37,3 +37,18 @@ def test_stages_take_anything(spark):
     for _, stage in P.STAGES[:-1]:
         docs = written(stage(spark, docs, SF001), "test-awkward")
     assert 0 < docs.count() < len(rows) and P.STAGES[-1][1](spark, docs, SF001).count() == docs.count()
+
+
+def test_a_stage_without_rows_gives_none(spark):
+    docs = empty_documents(spark)
+    for name, stage in P.STAGES:
+        out = stage(spark, docs, SF001)
+        assert out.count() == 0 and (name == "mixing" or out.columns == docs.columns)
+
+
+def test_rows_without_doc_id_stay(spark):
+    rows = [(None, "one two three four five six", "en"), (None, "one two three four five six", "en"),
+            (1, "one two three four five six", "en"), (2, "one two three four five six", "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    kept = jaccard_join.one_of_each(docs).collect()
+    assert sorted((r["doc_id"] for r in kept), key=repr) == [1, None, None]
