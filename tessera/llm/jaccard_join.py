@@ -616,12 +616,12 @@ def class_links(docs: DataFrame, posted: DataFrame, classes: DataFrame, grown: D
             break
         links = written(links.union(new), "links")
     dropped(signed)
-    label = written(joined(links), "label")
+    label = components(links)  # whole components: a group with one label is not looked at again
     now = written(labelled(grown, label, active), "labelled")
     sets = sets_of(docs, classes, active, k)
     fine = written(fine_signatures(sets), "fine")
     rest = written(across(possible_pairs(now, fine, threshold).join(tested, ["a", "b"], "left_anti"), label), "rest")
-    dropped(now, fine, label)
+    dropped(now, fine)
     links = written(links.union(verified(rest, sets, threshold)), "links")
     dropped(sets, rest)
     return links
