@@ -79,12 +79,13 @@ def column_stats(spark, sf_dir):
 
 
 @contextmanager
-def partitioned_table(spark, sf_dir, cols):
-    """lineitem as a catalog table with one file a partition; dropped afterwards (an
-    external table: its files stay)."""
+def partitioned_table(spark, sf_dir, cols, one_file: bool = False):
+    """lineitem as a catalog table; dropped afterwards (an external table: its files stay).
+    A large partition is written by several tasks, unless it is to be one file."""
     name = f"lineitem_{uuid.uuid4().hex[:10]}"
     li = partitioned(spark, sf_dir).select(*cols, *PART_COLS)
-    sinks.create_partitioned_table(spark, name, li.repartition(*PART_COLS), PART_COLS, scratch_path(spark, name))
+    li = li.repartition(*PART_COLS) if one_file else li.hint("rebalance", *PART_COLS)
+    sinks.create_partitioned_table(spark, name, li, PART_COLS, scratch_path(spark, name))
     try:
         yield name
     finally:
@@ -96,7 +97,7 @@ select l_returnflag, l_linestatus, count(*) as row_count, cast(1 as bigint) as f
 from {PART_SQL} group by l_returnflag, l_linestatus""")
 def partition_stats(spark, sf_dir):
     # Written with one file a partition, so the file count is known.
-    with partitioned_table(spark, sf_dir, ["l_orderkey"]) as name:
+    with partitioned_table(spark, sf_dir, ["l_orderkey"], one_file=True) as name:
         t = st.partition_file_stats(spark.table(name), PART_COLS)
         # A row a partition, kept so that the table can go.
         return cut_lineage(t.select(*PART_COLS, "row_count", "file_count", (F.col("total_size") > 0).alias("has_bytes")))

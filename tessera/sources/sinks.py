@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -53,15 +54,33 @@ def _spec_sql(spec: dict) -> str:
     return ", ".join(f"`{k}` = {literal(v)}" for k, v in spec.items())
 
 
+#: Files of different partitions that a writing task holds open; a task with more
+#: partitions than this sorts its remaining rows by partition.
+OPEN_FILES = 8
+
+
+@contextmanager
+def _setting(spark: SparkSession, key: str, value: str):
+    """A session setting for one write that takes no such write option."""
+    prev = spark.conf.get(key)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, prev)
+
+
 def create_partitioned_table(spark: SparkSession, name: str, df: DataFrame, part_cols: list[str],
                              location: str) -> None:
     """A catalog table over ``location`` partitioned by ``part_cols``, filled
-    with ``df`` (E9 create)."""
+    with ``df`` (E9 create). A task appends each row to its partition's open file, so that
+    it needs no memory for all its rows, as the sort by partition of a plain write does."""
     unknown = [c for c in part_cols if c not in df.columns]
     if unknown or len(set(part_cols)) != len(part_cols) or set(part_cols) >= set(df.columns):
         raise ValueError(f"partition columns {part_cols} must be distinct columns of {df.columns}, and not all")
-    (df.write.mode("overwrite").format("parquet").partitionBy(*part_cols)
-     .option("path", location).saveAsTable(name))
+    with _setting(spark, "spark.sql.maxConcurrentOutputFileWriters", str(OPEN_FILES)):
+        (df.write.mode("overwrite").format("parquet").partitionBy(*part_cols)
+         .option("path", location).saveAsTable(name))
 
 
 def replace_partition(df: DataFrame, table_name: str, spec: dict) -> None:
@@ -83,13 +102,8 @@ def replace_partitions(df: DataFrame, table_name: str) -> None:
     """Overwrite exactly the partitions present in ``df`` (dynamic mode);
     every other partition is left as it is (E9 replace)."""
     # ``insertInto`` takes no write option for this, so the setting is put back after it.
-    spark = df.sparkSession
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
+    with _setting(df.sparkSession, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
         df.write.insertInto(table_name, overwrite=True)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
 
 
 def drop_partition(spark: SparkSession, table_name: str, spec: dict[str, str]) -> None:

@@ -123,3 +123,48 @@ def test_partitions_are_listed_without_reading(spark):
         assert st.listed_partitions(spark, name, {"v": 1}).count() == 0
     finally:
         spark.sql(f"drop table {name}")
+
+
+def test_partitioned_write_needs_no_sort(spark, monkeypatch):
+    import uuid
+    from pyspark.sql import DataFrameWriter
+    from tessera.session import scratch_path
+    from tessera.sources import sinks
+    name = f"unsorted_{uuid.uuid4().hex[:8]}"
+    df = spark.createDataFrame([(i, None if i % 5 == 0 else f"k{i % 5}") for i in range(100)], "v int, k string")
+    df.createOrReplaceTempView(f"rows_{name}")
+    save, seen = DataFrameWriter.saveAsTable, []
+
+    def plan():
+        return spark.sql(f"explain insert into {name} select v, k from rows_{name}").first()[0]
+
+    def saved(writer, table, **options):
+        save(writer, table, **options)
+        seen.append(plan())
+    monkeypatch.setattr(DataFrameWriter, "saveAsTable", saved)
+    sinks.create_partitioned_table(spark, name, df, ["k"], scratch_path(spark, name))
+    try:
+        assert "Sort" not in seen[0] and "Sort" in plan()  # the setting holds for the write alone
+        assert {r.k: r.n for r in spark.table(name).groupBy("k").agg(F.count("v").alias("n")).collect()} == {
+            k: 20 for k in (None, "k1", "k2", "k3", "k4")}
+    finally:
+        spark.sql(f"drop table {name}")
+        spark.catalog.dropTempView(f"rows_{name}")
+
+
+def test_large_partition_is_written_by_several_tasks(spark, tmp_path):
+    from tessera.plans import stats as plans
+    flags = F.element_at(F.array(F.lit("A"), F.lit("N"), F.lit("R"), F.lit("R")), (F.col("id") % 4 + 1).cast("int"))
+    (spark.range(0, 60_000, numPartitions=6).select(F.xxhash64("id").alias("l_orderkey"), flags.alias("l_returnflag"), F.lit("F").alias("l_linestatus"))
+     .write.parquet(str(tmp_path / "lineitem.parquet")))
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    prev = spark.conf.get(key)
+    spark.conf.set(key, "32k")
+    try:
+        for one_file in (False, True):
+            with plans.partitioned_table(spark, str(tmp_path), ["l_orderkey"], one_file) as name:
+                files = {r.l_returnflag: r for r in st.partition_file_stats(spark.table(name), plans.PART_COLS).collect()}
+                assert {k: r.row_count for k, r in files.items()} == {"A": 15_000, "N": 15_000, "R": 30_000}
+                assert all((r.file_count == 1) == one_file for r in files.values())
+    finally:
+        spark.conf.set(key, prev)
