@@ -89,16 +89,19 @@ def _oriented(df: DataFrame, col: str, out: str, dirs, keep: list[str]) -> DataF
 
 
 def completion_tables(dictionary: DataFrame, k: int | None = None, dirs=BOTH,
-                      salt_buckets: int = DEFAULT_SALT_BUCKETS) -> CompletionTables:
+                      salt_buckets: int = DEFAULT_SALT_BUCKETS, keep_m: bool = False) -> CompletionTables:
     """Dictionary-side tables (G5, G6). ``dictionary`` must hold one row per
-    non-empty word: (word string, cou bigint)."""
+    non-empty word: (word string, cou bigint). ``keep_m`` writes ``m`` once, for a
+    caller that reads it beside the index."""
     d = _oriented(dictionary, "word", "w", dirs, ["word", "cou"])
     proper = (d.select("dir", "w", F.explode(prefixes("w", 1, F.length("w") - 1)).alias("x"))
               .select("dir", "w", F.col("x.i").alias("i"), F.col("x.p").alias("p")))
-    # m(v): the longest proper prefix of v that is itself a dictionary word.
-    m = (proper.join(d.select("dir", F.col("w").alias("p")), ["dir", "p"], "left_semi")
+    # m(v): the longest proper prefix of v that is itself a dictionary word. The words are
+    # evenly spread and far fewer than their prefixes, so these are probed, not sorted.
+    m = (proper.join(d.select("dir", F.col("w").alias("p")).hint("shuffle_hash"), ["dir", "p"], "left_semi")
          .groupBy("dir", "w").agg(F.max("i").alias("m")))
     dm = d.join(m, ["dir", "w"], "left").withColumn("m", F.coalesce(F.col("m"), F.lit(0)))
+    dm = cut_lineage(dm) if keep_m else dm
     index = (dm.select("dir", "word", "cou", F.explode(
                 prefixes("w", F.greatest(F.lit(1), F.col("m")), F.length("w") - 1)).alias("x"))
              .select("dir", F.col("x.p").alias("p"), "word", "cou"))
@@ -114,7 +117,8 @@ def longest_prefix_match(inputs: DataFrame, t: CompletionTables) -> DataFrame:
     qx = _oriented(inputs, "q", "x", t.dirs, ["q"])
     qp = (qx.select("dir", "q", "x", F.explode(prefixes("x", 1, F.length("x"))).alias("y"))
           .select("dir", "q", "x", F.col("y.i").alias("i"), F.col("y.p").alias("p")))
-    return (qp.join(t.nodes, ["dir", "p"], "left_semi")
+    # The prefix is the first key: a sort on the direction first tells no two rows apart.
+    return (qp.join(t.nodes, ["p", "dir"], "left_semi")
             .groupBy("dir", "q", "x").agg(F.max("i").alias("L")))
 
 
@@ -138,14 +142,16 @@ def prepare_inputs(raw: DataFrame, col: str) -> DataFrame:
 
 def complete_words(inputs: DataFrame, dictionary: DataFrame, k: int | None = None,
                    tables: CompletionTables | None = None,
-                   salt_buckets: int = DEFAULT_SALT_BUCKETS) -> DataFrame:
+                   salt_buckets: int = DEFAULT_SALT_BUCKETS,
+                   matched: DataFrame | None = None) -> DataFrame:
     """(q, rank, word, cou): ranked completions of every input word.
 
     ``inputs`` has a column ``q`` (see ``prepare_inputs``); ``k`` keeps the
-    first k per input (None = the whole list).
+    first k per input (None = the whole list). ``matched``: the inputs'
+    ``longest_prefix_match`` with ``tables``, if it is at hand.
     """
     t = tables or completion_tables(dictionary, k, BOTH, salt_buckets)
-    arms, passes = relaxed_arms(longest_prefix_match(inputs, t))
+    arms, passes = relaxed_arms(longest_prefix_match(inputs, t) if matched is None else matched)
     # Tail candidates count only where the tail matched strictly longer:
     # one aggregate over both directions' pass lengths.
     use_tail = passes.groupBy("q").agg(

@@ -8,10 +8,14 @@ stays distributed and is pre-aggregated before any shuffle.
 
 from __future__ import annotations
 
+import re
+
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.functions.text import raw_tokens
+from tessera.functions.text import TOKEN_RUN, raw_tokens
 from tessera.operators.joins import broadcast_if_small
 
 # ---- fixed values (must equal the reference dictionary) -------------------
@@ -134,11 +138,29 @@ def keyword_frequency(docs: DataFrame, text_col: str, dictionary: DataFrame) ->
             .select("word", (F.coalesce(F.col("n"), F.lit(0)) + 1).cast("bigint").alias("cou")))
 
 
+#: Each byte of a UTF-8 text as its token character in lower case, or as a space (token
+#: characters are ASCII).
+_SPACED = bytes(ord(chr(i).lower()) if i < 128 and re.fullmatch(TOKEN_RUN, chr(i)) else 32 for i in range(256))
+
+
+def _counted(batches):
+    """(word, n) of each batch of texts, as bytes; the empty word comes between spaces."""
+    for batch in batches:
+        texts = pa.array([t.as_py().translate(_SPACED) for t in batch.column(0) if t.is_valid], pa.large_binary())
+        words = pc.ascii_split_whitespace(texts.cast(pa.large_string())).flatten()
+        counts = pc.value_counts(words)
+        yield pa.RecordBatch.from_arrays([counts.field("values").cast(pa.string()), counts.field("counts")], ["word", "n"])
+
+
 def token_counts(docs: DataFrame, text_col: str, min_count: int = 1) -> DataFrame:
     """(word, cou) for every token of the corpus seen ``min_count`` times or more
-    -- a dictionary learned from data."""
-    return (tokenize(docs, text_col).groupBy("word").agg(F.count(F.lit(1)).alias("cou"))
-            .where(F.col("cou") >= min_count))
+    -- a dictionary learned from data.
+
+    A task counts the tokens of each batch of its texts instead of making a row of
+    every token; the counts are then summed by word."""
+    texts = docs.select(F.col(text_col).cast("string").cast("binary"))
+    counts = texts.mapInArrow(_counted, "word string, n bigint").where(F.col("word") != "")
+    return counts.groupBy("word").agg(F.sum("n").alias("cou")).where(F.col("cou") >= min_count)
 
 
 def merge_dictionaries(*dicts: DataFrame) -> DataFrame:

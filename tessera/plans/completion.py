@@ -30,7 +30,7 @@ def learned_dictionary(spark, sf_dir):
 
 
 def conversation_inputs(spark, sf_dir):
-    toks = kw.tokenize(text_table(spark, sf_dir, "conversations", ["text"]), "text")
+    toks = kw.token_counts(text_table(spark, sf_dir, "conversations", ["text"]), "text")
     return C.prepare_inputs(toks, "word")
 
 
@@ -59,11 +59,13 @@ def complete_words(spark, sf_dir):
 
 @query("matches_both_ways", S.completion_sql(LARGE_BASE, "learned_dict", None, both=True))
 def matches_both_ways(spark, sf_dir):
+    # Both uses of the dictionary tables and of the inputs' matches read them as written.
     inputs, d = _materialized(spark, sf_dir)
-    t = C.completion_tables(d)
-    r = C.complete_words(inputs, d, tables=t).withColumn("rank", F.col("rank").cast("bigint"))
-    arms, _ = C.relaxed_arms(C.longest_prefix_match(inputs, t))
-    both = C.words_both_ways(cut_lineage(arms), t, d.count()).select("q", "word", F.lit(True).alias("both"))
+    t = C.completion_tables(d, keep_m=True)
+    matched = cut_lineage(C.longest_prefix_match(inputs, t))
+    r = C.complete_words(inputs, d, tables=t, matched=matched).withColumn("rank", F.col("rank").cast("bigint"))
+    arms, _ = C.relaxed_arms(matched)
+    both = C.words_both_ways(arms, t, d.count()).select("q", "word", F.lit(True).alias("both"))
     return r.join(both, ["q", "word"], "left").select(
         "q", "rank", "word", "cou", F.coalesce("both", F.lit(False)).alias("both"))
 

@@ -1,5 +1,7 @@
 import random
 
+from pyspark.sql import functions as F
+
 from tessera.functions.text import last_token
 from tessera.operators import completion as C
 from tessera.operators import keywords as kw
@@ -140,3 +142,34 @@ def test_no_nested_loop_or_cartesian(spark):
     q = C.prepare_inputs(spark.createDataFrame([("sel",)], "w string"), "w")
     plan = C.complete_words(q, d, k=5)._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_token_counts_make_no_row_of_every_token(spark):
+    rng = random.Random(5)
+    texts = [None, "", " ", "Aa_1 aA_1--b", "été x\u212a naïve\u0130b", "tab\tnew\nline\x1fend\x00x", "日本語", "_ __ _"] + [
+        "".join(rng.choice("aB_9 -.é\u3000") for _ in range(rng.randint(0, 80))) for _ in range(200)]
+    df = spark.createDataFrame([(t,) for t in texts], "text string").repartition(3)
+    want = {r.word: r.n for r in kw.tokenize(df, "text").groupBy("word").agg(F.count("word").alias("n")).collect()}
+    got = kw.token_counts(df, "text")
+    assert got.schema.simpleString() == "struct<word:string,cou:bigint>"
+    assert {r.word: r.cou for r in got.collect()} == want
+    assert {r.word for r in kw.token_counts(df, "text", 5).collect()} == {w for w, n in want.items() if n >= 5}
+    assert kw.token_counts(df.where("text is null"), "text").count() == 0
+    assert "Generate" not in got._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_matches_both_ways_matches_inputs_once(spark, tmp_path, monkeypatch):
+    from tessera.plans import completion as plans
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choice("abc") for _ in range(rng.randint(1, 6)))
+    for name in ("documents", "conversations"):
+        rows = [(i, " ".join(word() for _ in range(8)) if i else None) for i in range(25)]
+        spark.createDataFrame(rows, "id int, text string").coalesce(1).write.parquet(str(tmp_path / f"{name}.parquet"))
+    calls, match = [], C.longest_prefix_match
+    monkeypatch.setattr(C, "longest_prefix_match", lambda *a: calls.append(a) or match(*a))
+    got = plans.matches_both_ways(spark, str(tmp_path))
+    assert len(calls) == 1
+    inputs, d = plans.conversation_inputs(spark, str(tmp_path)), plans.learned_dictionary(spark, str(tmp_path))
+    want = C.matches_both_ways(C.complete_words(inputs, d), d)
+    rows = lambda df: sorted(map(tuple, df.collect()))
+    assert rows(got) == rows(want) and got.where("both").count() > 0
